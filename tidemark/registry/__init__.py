@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["market"]
+MODULES = ["market", "measures", "answers"]
 
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}

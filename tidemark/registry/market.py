@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import growth
+from tidemark.functions.numbers import growth, snap
 from tidemark.operators import bars, filters, joins, ranking, series, sets
 from tidemark.plans import metrics, questions, views
 from tidemark.plans.metrics import Tables
@@ -21,7 +21,7 @@ def tables(m) -> Tables:
 
 
 def rounded(df, digits: int, *names: str):
-    return df.withColumns({n: F.round(n, digits) for n in names})
+    return df.withColumns({n: snap(F.col(n), digits) for n in names})
 
 
 # --- views -----------------------------------------------------------------------------------------------
@@ -213,7 +213,7 @@ def _(m):
     on c.exchange = 'nyse' and c.date = r.date and c.is_open group by 1"""))
 def _(m):
     rows = joins.on_open_days(series.daily_returns(m.prices_daily), m.trading_calendar, "nyse")
-    return rows.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("ret"), 8).alias("avg_ret"))
+    return rows.groupBy("date").agg(F.count(F.lit(1)).alias("n"), snap(F.avg("ret"), 8).alias("avg_ret"))
 
 
 @query("join5_prices_on_any_open_day", sql("""
@@ -457,7 +457,7 @@ def _(m):
     select ticker, round(avg(cast(ret > 0 as int)), 9) up_rate from daily_returns group by 1"""))
 def _(m):
     return series.daily_returns(m.prices_daily).groupBy("ticker").agg(
-        F.round(bars.true_rate(F.col("ret") > 0), 9).alias("up_rate"))
+        snap(bars.true_rate(F.col("ret") > 0), 9).alias("up_rate"))
 
 
 @query("agg15_group_having", sql("""
@@ -482,7 +482,7 @@ def _(m):
 @query("win1_daily_return", sql("select ticker, count(ret) n, round(max(ret), 8) best from daily_returns group by 1"))
 def _(m):
     return series.daily_returns(m.prices_daily).groupBy("ticker").agg(
-        F.count("ret").alias("n"), F.round(F.max("ret"), 8).alias("best"))
+        F.count("ret").alias("n"), snap(F.max("ret"), 8).alias("best"))
 
 
 @query("win2_lagged_returns", sql("""
@@ -510,7 +510,7 @@ def _(m):
     from prices_daily"""))
 def _(m):
     rows = series.first_last_close(m.prices_daily)
-    return rows.select("ticker", "date", F.round(growth(F.col("close"), F.col("first_close")), 8).alias("since_first"))
+    return rows.select("ticker", "date", snap(growth(F.col("close"), F.col("first_close")), 8).alias("since_first"))
 
 
 @query("win5_last_value_whole_series", sql("""
@@ -518,7 +518,7 @@ def _(m):
     join (select ticker, arg_max(close, date) as close from prices_daily group by 1) l on p.ticker = l.ticker"""))
 def _(m):
     rows = series.first_last_close(m.prices_daily)
-    return rows.select("ticker", "date", F.round(growth(F.col("last_close"), F.col("close")), 8).alias("to_last"))
+    return rows.select("ticker", "date", snap(growth(F.col("last_close"), F.col("close")), 8).alias("to_last"))
 
 
 @query("win6_rolling_deviation", sql("""
@@ -609,7 +609,7 @@ def _(m):
         select sector, ticker, sum(cash_amount) total from dividends join tickers using (ticker) group by 1, 2))
     where rank <= 3"""))
 def _(m):
-    cash = m.dividends.join(m.tickers, "ticker").groupBy("sector", "ticker").agg(F.round(F.sum("cash_amount"), 6).alias("total"))
+    cash = m.dividends.join(m.tickers, "ticker").groupBy("sector", "ticker").agg(snap(F.sum("cash_amount"), 6).alias("total"))
     return ranking.top_per_group(cash, ["sector"], "total", 3, ["ticker"], descending=False).withColumn(
         "rank", F.col("rank").cast("long"))
 
@@ -619,7 +619,7 @@ def _(m):
     from corporate_actions group by 1"""))
 def _(m):
     return sets.corporate_actions(m.dividends, m.splits).groupBy("action_type").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("cash_amount"), 6).alias("cash"), F.sum("split_to").alias("split_to"))
+        F.count(F.lit(1)).alias("n"), snap(F.sum("cash_amount"), 6).alias("cash"), F.sum("split_to").alias("split_to"))
 
 
 @query("set2_tickers_with_actions", sql("select ticker from dividends union select ticker from splits"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from tidemark.functions.numbers import SNAP_EDGE
+
 TABLES: dict[str, str] = {
     "prices_daily": """
 select d as date, ticker, open, high, low, close, volume, vwap, transactions from (
@@ -45,7 +47,8 @@ select concat('S', cast(s_suppkey as varchar(20))) ticker, cast(10 + s_suppkey a
 from supplier where s_acctbal > 5000""",
     "trading_calendar": """
 select e.exchange, d.date,
-  dayofweek(d.date) between 1 and 5 or (dayofweek(d.date) = 6 and e.exchange = 'nasdaq') is_open,
+  (dayofweek(d.date) between 1 and 5 and strftime(d.date, '%m-%d') not in ('01-01', '07-04', '12-25'))
+    or (dayofweek(d.date) = 6 and e.exchange = 'nasdaq') is_open,
   d.date + interval '14 hours 30 minutes' market_open_utc, d.date + interval '21 hours' market_close_utc
 from (select distinct cast(l_shipdate as date) as date from lineitem) d
 cross join (select 'nyse' exchange union all select 'nasdaq') e""",
@@ -98,9 +101,23 @@ def define(name: str, text: str) -> None:
     TABLES[name] = text
 
 
+def _snapped(text: str) -> str:
+    """Spells round(x, d) as the scaled floor of ``functions.numbers.snap``."""
+    while (at := text.find("round(")) >= 0:
+        depth, commas, i = 1, [], at + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[i], 0)
+            if text[i] == "," and depth == 1:
+                commas.append(i)
+            i += 1
+        x, digits = text[at + 6:commas[-1]], text[commas[-1] + 1:i - 1].strip()
+        text = f"{text[:at]}(floor(({x}) * 1e{digits} + {SNAP_EDGE}) / 1e{digits}){text[i:]}"
+    return text
+
+
 def sql(body: str) -> str:
     """The body with a WITH clause of every core table it names; a body may start with its own WITH."""
-    body = body.strip()
+    body = _snapped(body.strip())
     own = body.lower().startswith("with ")
     found: list[str] = []
     _needed(body, found)

@@ -116,12 +116,13 @@ class Market:
 
     @cached_property
     def trading_calendar(self) -> DataFrame:
-        """Every trade date for two exchanges, open Monday to Friday, nasdaq also on Saturday."""
+        """Every trade date for two exchanges, open on weekdays but three holidays, nasdaq also on Saturday."""
         days = self._lines.select("date").distinct()
         weekday = F.weekday("date")
+        holiday = F.date_format("date", "MM-dd").isin("01-01", "07-04", "12-25")
         raw = days.select(F.explode(F.array(F.lit("NYSE"), F.lit("NASDAQ"))).alias("exchange"), "date").select(
             "exchange", "date",
-            ((weekday < 5) | ((weekday == 5) & (F.col("exchange") == "NASDAQ"))).alias("is_open"),
+            (((weekday < 5) & ~holiday) | ((weekday == 5) & (F.col("exchange") == "NASDAQ"))).alias("is_open"),
             (F.col("date").cast("timestamp_ntz") + F.expr("interval 14 hours 30 minutes")).alias("market_open_utc"),
             (F.col("date").cast("timestamp_ntz") + F.expr("interval 21 hours")).alias("market_close_utc"))
         return core_calendar(new_york_hours(raw))
