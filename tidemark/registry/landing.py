@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.functions.text import LABELS
 from tidemark.operators import cleaning
 from tidemark.plans import views
 from tidemark.registry import query
@@ -244,13 +244,17 @@ def _(m):
     return sinks.load_summary(m.tickers, before, after)
 
 
+_LISTED = ("region", "nation", "lineitem", "documents", "embeddings")
+
+
 @query("cat1_list_columns", """
-    select table_name, column_name, ordinal_position - 1 as position from information_schema.columns
-    where table_name in ('region', 'nation', 'lineitem', 'documents', 'embeddings')""")
+    select table_name, column_name, ordinal_position - 1 as position, n from information_schema.columns
+    join (""" + " union all ".join(f"select '{t}' table_name, count(*) n from {t}" for t in _LISTED) + """)
+    using (table_name)""")
 def _(m):
-    names = ["region", "nation", "lineitem", "documents", "embeddings"]
-    listed = sinks.columns_of(m.spark, {n: m.table(n) for n in names}).select("table_name", "column_name", "position")
-    return listed.withColumn("position", F.col("position").cast("int"))
+    listed = sinks.columns_of(m.spark, {n: m.table(n) for n in _LISTED}).select("table_name", "column_name", "position")
+    counts = [m.table(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n in _LISTED]
+    return listed.join(functools.reduce(lambda a, b: a.union(b), counts), "table_name")
 
 
 @query("cat2_numeric_columns", """
