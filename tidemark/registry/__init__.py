@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["market", "measures", "answers", "landing", "texts"]
+MODULES = ["market", "measures", "answers", "landing", "texts", "corpora"]
 
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
