@@ -8,6 +8,7 @@ from tidemark import schema
 from tidemark.functions import slots
 from tidemark.functions.dates import phrase_range
 from tidemark.functions.numbers import snap
+from tidemark.functions.staging import once
 from tidemark.functions.text import identifier_tokens, normalize_sql, tokens
 from tidemark.operators import corpus, ranking, scoring
 from tidemark.plans import requests
@@ -384,8 +385,8 @@ _LINKS = ", ".join(f"({i}, {_literal(n)}, [{', '.join(_literal(w) for w in words
     select id, cast(row_number() over (partition by id order by score desc, pos desc) as bigint) rank, name as column_name,
       cast(score as bigint) score from s qualify rank <= 8"""))
 def _(m):
-    linked = slots.linked_columns(tokens(F.col("question")), LINK_COLUMNS, 8)
-    rows = _filled(m, QUESTIONS, "question").select("id", F.posexplode(linked).alias("at", "c"))
+    linked = slots.linked_columns(F.col("words"), LINK_COLUMNS, 8)
+    rows = once(_filled(m, QUESTIONS, "question"), words=tokens(F.col("question"))).select("id", F.posexplode(linked).alias("at", "c"))
     return rows.select("id", (F.col("at") + 1).cast("long").alias("rank"), F.col("c.name").alias("column_name"),
                        F.col("c.score").cast("long").alias("score"))
 
