@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schema
@@ -110,12 +110,16 @@ def as_of(requests: DataFrame, bars: DataFrame, day: str = "as_of", value: str =
 def range_join(requests: DataFrame, bars: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """Requests with the bars of their ticker dated within [start, end].
 
-    Both sides carry the year, so a request is compared only with bars of the years it covers.
+    Both sides carry a month number, so a request is compared only with bars of the months it covers, and
+    a much asked ticker spreads over its months.
     """
-    asked = requests.withColumn("year_", F.explode(F.sequence(F.year(start), F.year(end))))
-    dated = bars.withColumn("year_", F.year("date"))
-    return (asked.join(dated, ["ticker", "year_"])
-            .filter(F.col("date").between(F.col(start), F.col(end))).drop("year_"))
+    def month(day: str) -> Column:
+        return F.year(day) * 12 + F.month(day)
+
+    asked = requests.withColumn("month_", F.explode(F.sequence(month(start), month(end))))
+    dated = bars.withColumn("month_", month("date"))
+    return (asked.join(dated, ["ticker", "month_"])
+            .filter(F.col("date").between(F.col(start), F.col(end))).drop("month_"))
 
 
 def neighbour_open_days(days: DataFrame, calendar: DataFrame, day: str = "date") -> DataFrame:

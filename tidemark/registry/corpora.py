@@ -385,8 +385,9 @@ _LINKS = ", ".join(f"({i}, {_literal(n)}, [{', '.join(_literal(w) for w in words
     select id, cast(row_number() over (partition by id order by score desc, pos desc) as bigint) rank, name as column_name,
       cast(score as bigint) score from s qualify rank <= 8"""))
 def _(m):
-    linked = slots.linked_columns(F.col("words"), LINK_COLUMNS, 8)
-    rows = once(_filled(m, QUESTIONS, "question"), words=tokens(F.col("question"))).select("id", F.posexplode(linked).alias("at", "c"))
+    known = F.array_intersect(tokens(F.col("question")), F.array(*[F.lit(w) for w in slots.schema_words(LINK_COLUMNS)]))
+    linked = slots.linked_columns(F.col("known"), LINK_COLUMNS, 8)
+    rows = once(_filled(m, QUESTIONS, "question"), known=known).select("id", F.posexplode(linked).alias("at", "c"))
     return rows.select("id", (F.col("at") + 1).cast("long").alias("rank"), F.col("c.name").alias("column_name"),
                        F.col("c.score").cast("long").alias("score"))
 
