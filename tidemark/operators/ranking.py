@@ -22,7 +22,7 @@ def seeded_hash(seed: int, *cols: str) -> Column:
 
 
 def ranked(df: DataFrame, order_hash: str, by: Sequence[str] = (), tie: Sequence[str] = (),
-           prefix: int = 3, name: str = "rank") -> DataFrame:
+           prefix: int = 4, name: str = "rank") -> DataFrame:
     """Exact 0-based rank by a uniform hex column, with no task that holds a whole group.
 
     The first ``prefix`` digits cut each group into equal buckets. Bucket counts (combined map-side) give
