@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination
+from tidemark.llm import decontamination, packing, quality_rules
 from tidemark.llm.common import stored, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the fertility bands reject go."""
+    return quality_rules.kept(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words come from benchmark items to a twentieth or more go."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("benchmark decontamination", benchmark_decontamination)]
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and the sequences they are packed in."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("best-fit packing", best_fit_packing),
+]
 ORACLE_SQL = None
 
 

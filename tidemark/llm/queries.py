@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, license_scan, packing, token_output, url_filter
+from tidemark.llm import (decontamination, license_scan, packing, quality_classifier, quality_rules, token_output,
+                          url_filter)
 from tidemark.llm.common import table
 from tidemark.session import new_path
 
@@ -15,6 +16,15 @@ def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.digest(spark, path)
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_classifier.scored(docs, quality_classifier.fitted(docs, table(spark, folder, "labels")))
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
@@ -32,6 +42,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filtered(pages, url_filter.labelled_outcomes(pages, labels))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_output, op6_best_fit_packing, op7_benchmark_decontamination,
-                                   op9_license_scan, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (
+    op2_token_output, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_benchmark_decontamination,
+    op9_license_scan, op10_url_filter)}
 ORACLES: dict[str, str] = {}

@@ -3,9 +3,9 @@
 Documents are range-partitioned by id, so partition (shard) p holds smaller ids than p + 1, and each shard is cut into
 segments of whole documents. A segment is one row of a Parquet table in a folder that all machines see:
 
-    shard int, segment int, tokens long, docs int, width int, base long, ids binary, ends binary, keys binary
+    shard int, segment int, begin long, tokens long, docs int, width int, base long, ids binary, ends binary, keys binary
 
-``ids`` is the concatenation of the documents' ids, little-endian, ``width`` bytes each (2 where the vocabulary
+``begin`` is the number of the shard's tokens before the segment, ``ids`` the concatenation of the documents' ids, little-endian, ``width`` bytes each (2 where the vocabulary
 allows). ``ends`` is the Elias-Fano code of the documents' ends, counted in tokens from the segment's begin; ``keys``
 that of doc_id - ``base``. Code: 8-byte header (count, low bits), low bits packed, high parts in unary, and the place of
 every 64th one bit, from which ``select`` starts; some 2 + log2(tokens / docs) bits a document instead of 64.
@@ -32,7 +32,8 @@ from tidemark.llm.tokens import encoder, public_path
 #: Tokens after which a segment is closed; a longer document has a segment of its own.
 SEGMENT_TOKENS = 1 << 20
 SELECT_EVERY = 64
-SEGMENTS = ("shard int, segment int, tokens long, docs int, width int, base long, ids binary, ends binary, keys binary")
+SEGMENTS = ("shard int, segment int, begin long, tokens long, docs int, width int, base long, ids binary, ends binary, "
+            "keys binary")
 
 
 def ef_encode(values: np.ndarray) -> bytes:
@@ -96,7 +97,7 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: Callable[[],
 
         coder = encoder(vocabulary())
         end = np.asarray([end_id], coder.type).tobytes()
-        shard, segment = TaskContext.get().partitionId(), 0
+        shard, segment, begin = TaskContext.get().partitionId(), 0, 0
         ids: list[bytes] = []
         keys: list[int] = []
         size = 0
@@ -104,9 +105,9 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: Callable[[],
         def row() -> pa.RecordBatch:
             ends = np.cumsum([len(x) // coder.width for x in ids])
             base = keys[0]
-            values = [shard, segment, int(ends[-1]), len(keys), coder.width, base, b"".join(ids), ef_encode(ends),
+            values = [shard, segment, begin, int(ends[-1]), len(keys), coder.width, base, b"".join(ids), ef_encode(ends),
                       ef_encode(np.asarray([k - base for k in keys]))]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)],
                                               names=[f.split()[0] for f in SEGMENTS.split(", ")])
 
@@ -114,7 +115,7 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: Callable[[],
             for key, coded in zip(batch.column("doc_id").to_pylist(), coder.encode(byte_texts(batch, "text"))):
                 if keys and size + len(coded) > segment_tokens * coder.width:
                     yield row()
-                    segment, size, ids, keys = segment + 1, 0, [], []
+                    segment, begin, size, ids, keys = segment + 1, begin + size // coder.width, 0, [], []
                 ids.append(coded + end)
                 keys.append(key)
                 size += len(coded) + len(end)
@@ -139,12 +140,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
 def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     segments = spark.read.schema(SEGMENTS).parquet(f"{path}/segments")
     shards = segments.groupBy("shard").agg(F.sum("tokens").alias("n"))  # one row a shard: no more than partitions
-    begins = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("begin"))
-    within = segments.select("shard", "segment", "tokens").withColumn(
-        "within", F.sum("tokens").over(Window.partitionBy("shard").orderBy("segment")) - F.col("tokens"))
-    # one row a segment of a million tokens, without its ids
-    placed = within.join(F.broadcast(begins), "shard").select("shard", "segment", (F.col("begin") + F.col("within")
-                                                                                   ).alias("begin"))
+    begins = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
     crc = "ids_crc32" in schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,5 +157,5 @@ def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
                     [pa.array(keys), pa.array(starts + row["begin"]), pa.array(ends - starts), last],
                     names=[f.split()[0] for f in schema.split(", ")])
 
-    return segments.join(placed, ["shard", "segment"]).select("width", "base", "ids", "ends", "keys", "begin"
-                                                              ).mapInArrow(run, schema)
+    placed = segments.join(F.broadcast(begins), "shard").withColumn("begin", F.col("begin") + F.col("before"))
+    return placed.select("width", "base", "ids", "ends", "keys", "begin").mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import lower_ascii, stored
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Suffixes of two labels under which domains are registered (fixed values; the caller may give others).
@@ -76,6 +76,7 @@ def reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES, bound: f
              .agg(F.coalesce(F.sum(F.col("good").cast("double")), F.lit(0.0)).alias("good"),
                   F.count("good").cast("double").alias("n"))
              .withColumns({"domain": domain, "suffix": suffix}))
+    hosts = stored(hosts, "hosts")  # read once for each level
     total = hosts.agg(F.sum("good"), F.sum("n")).first()
     rate = (total[0] + 1) / (total[1] + 2) if total[1] else 0.5
     above, columns = None, ["suffix", "domain", "host"]
