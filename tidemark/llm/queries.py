@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (decontamination, license_scan, packing, quality_classifier, quality_rules, token_output,
-                          url_filter)
+from tidemark.llm import (decontamination, html_extraction, license_scan, packing, quality_classifier, quality_rules,
+                          token_output, url_filter)
 from tidemark.llm.common import table
 from tidemark.session import new_path
 
@@ -16,6 +16,10 @@ def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.digest(spark, path)
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, folder, "pages"))
+
+
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality_classifier.scored(docs, quality_classifier.fitted(docs, table(spark, folder, "labels")))
@@ -43,6 +47,6 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_output, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_benchmark_decontamination,
+    op2_token_output, op3_html_extraction, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_benchmark_decontamination,
     op9_license_scan, op10_url_filter)}
 ORACLES: dict[str, str] = {}
