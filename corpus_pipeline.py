@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, packing, quality_rules
+from tidemark.llm import decontamination, packing, quality_rules, simhash, suffix_dedup
 from tidemark.llm.common import stored, table
 
 
@@ -13,6 +14,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.kept(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of exact and near copies the document of the smallest id stays."""
+    return simhash.deduplicated(docs)
+
+
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes or more that stand elsewhere before are cut out; n_chars follows."""
+    cut = suffix_dedup.deduplicated(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words come from benchmark items to a twentieth or more go."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -25,6 +37,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality rules", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("suffix-array dedup", passage_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("best-fit packing", best_fit_packing),
 ]

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (decontamination, html_extraction, license_scan, packing, quality_classifier, quality_rules,
-                          token_output, url_filter)
+                          simhash, suffix_dedup, token_output, url_filter)
 from tidemark.llm.common import table
 from tidemark.session import new_path
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.classes(table(spark, folder, "documents"))
+
+
 def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     token_output.write(table(spark, folder, "documents"), path)
@@ -37,6 +41,10 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontamination.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, folder, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scanned(table(spark, folder, "documents"))
 
@@ -47,6 +55,6 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_output, op3_html_extraction, op4_quality_classifier, op5_quality_rules, op6_best_fit_packing, op7_benchmark_decontamination,
-    op9_license_scan, op10_url_filter)}
+    op1_simhash, op2_token_output, op3_html_extraction, op4_quality_classifier, op5_quality_rules,
+    op6_best_fit_packing, op7_benchmark_decontamination, op8_suffix_dedup, op9_license_scan, op10_url_filter)}
 ORACLES: dict[str, str] = {}
