@@ -35,6 +35,8 @@ from tidemark.llm.common import byte_texts, partitions, slices, stored
 from tidemark.llm.components import components
 
 SEED, WIDTH, BITS, SHARED = 42, 4, 4, 2
+#: Fingerprints of a text's different words that near copies are searched by.
+TABLES = 6
 FAN = 8
 #: Fingerprints of a cell at most, about.
 CELL = 4096
@@ -73,22 +75,37 @@ def majority(values: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(values), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH, once: bool = False, id_column: str = "doc_id",
+def word_fingerprints(words: list[bytes], tables: int) -> list[int]:
+    """Fingerprints of a text's different words, one for each of several unrelated hash functions."""
+    values = hashes(sorted(set(words)), 1)
+    out = []
+    for n in range(tables):
+        mixed = values + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
+        mixed ^= mixed >> np.uint64(30)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(27)
+        out.append(majority(mixed))
+    return out
+
+
+def fingerprints(docs: DataFrame, width: int = WIDTH, tables: int | None = None, id_column: str = "doc_id",
                  text_column: str = "text") -> DataFrame:
-    """doc_id, fp (signed long) and text_hash per document. ``once`` counts each different shingle once."""
+    """doc_id, fps (signed longs) and text_hash per document: the fingerprint of its shingles, or with ``tables`` so
+    many of its different words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
             fps = []
             for text in byte_texts(batch, "text"):
                 words = text.lower().split()
-                fps.append(majority(hashes(sorted(set(words)) if once and width == 1 else words, width)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64()), batch.column("text_hash")],
-                                             names=["doc_id", "fp", "text_hash"])
+                fps.append(word_fingerprints(words, tables) if tables else [majority(hashes(words, width))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(fps, pa.list_(pa.int64())), batch.column("text_hash")],
+                names=["doc_id", "fps", "text_hash"])
 
     text = F.coalesce(F.col(text_column), F.lit(""))
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"),
                        F.unhex(F.md5(text)).alias("text_hash")
-                       ).mapInArrow(run, "doc_id long, fp long, text_hash binary")
+                       ).mapInArrow(run, "doc_id long, fps array<long>, text_hash binary")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -195,7 +212,7 @@ class GrayIndex:
 
 def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tuple[int, ...] | None = None,
           cell: int = CELL) -> DataFrame:
-    """``nodes`` has distinct fp and node (long). Gives a, b, differences: links that hold together, bucket by bucket,
+    """``nodes`` has fp and node (long), each fp once, or once for each number in a column ``fp_table``. Gives a, b, differences: links that hold together, bucket by bucket,
     all that lie within ``bits`` of each other. ``passes`` are limits searched one after the other, so that links of few
     differences come first (default: all at once)."""
     limits = passes or (bits,)
@@ -204,7 +221,8 @@ def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tupl
     block = [sum(1 << i for i in range(a, b)) for a, b in zip(edges, edges[1:])]
     masks = [sum(block[i] for i in chosen) for chosen in combinations(range(n_blocks), shared)]
     signed = lambda m: m - (1 << 64) if m >> 63 else m
-    keys = F.array(*[F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed(m)))) for n, m in enumerate(masks)])
+    kind = F.col("fp_table") if "fp_table" in nodes.columns else F.lit(0)
+    keys = F.array(*[F.xxhash64(kind, F.lit(n), F.col("fp").bitwiseAND(F.lit(signed(m)))) for n, m in enumerate(masks)])
     # equal hashes of different buckets would only put more fingerprints into one cell
     routed = nodes.select("fp", "node", F.explode(keys).alias("bucket"))
     heavy = routed.groupBy("bucket").count().where(F.col("count") > cell).select(
@@ -255,7 +273,8 @@ def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tupl
 def classes(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int = SHARED, id_column: str = "doc_id",
             text_column: str = "text") -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id it is linked to)."""
-    known = stored(fingerprints(docs, width, False, id_column, text_column).select("doc_id", "fp"), "fingerprints")
+    known = stored(fingerprints(docs, width, None, id_column, text_column).select("doc_id", F.col("fps")[0].alias("fp")),
+                   "fingerprints")
     nodes = stored(known.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     tied = components(links(nodes, bits, shared))
     named = (nodes.join(tied, "node", "left")
@@ -264,19 +283,22 @@ def classes(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int =
                                           "component_id")
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits: int = 8, id_column: str = "doc_id",
-                text_column: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits: int = BITS, tables: int = TABLES,
+                id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, root of every document that has a near copy: shingles of ``width`` words, Jaccard ``similarity``.
 
-    A few changed words hardly move a fingerprint of the different words of a text, so these give the candidate links;
-    each link is then checked exactly on the texts' shingles. Equal texts are one node from the start."""
-    known = stored(fingerprints(docs, 1, True, id_column, text_column), "fingerprints")
-    texts = known.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"))
-    texts = stored(texts, "texts")
-    nodes = stored(texts.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    same = texts.join(nodes, "fp").where(F.col("doc_id") != F.col("node")).select(F.col("doc_id").alias("a"),
-                                                                                F.col("node").alias("b"))
-    asked = stored(links(nodes, bits, passes=(bits // 4, bits // 2, bits)).select("a", "b").union(same).distinct(), "asked")
+    A few changed words hardly move a fingerprint of the different words of a text, so close fingerprints give the
+    candidate links, those of fewest differences first. At a similarity of 0.8 some four or five bits differ, so several
+    unrelated fingerprints are searched, each within few bits, which keeps buckets small at any size. Every link is then
+    checked exactly on the texts' shingles. Equal texts are one node from the start."""
+    known = stored(fingerprints(docs, tables=tables, id_column=id_column, text_column=text_column), "fingerprints")
+    texts = stored(known.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.first("fps").alias("fps")), "texts")
+    each = texts.select("doc_id", F.posexplode("fps").alias("fp_table", "fp"))
+    nodes = stored(each.groupBy("fp_table", "fp").agg(F.min("doc_id").alias("node")), "nodes")
+    same = each.join(nodes, ["fp_table", "fp"]).where(F.col("doc_id") != F.col("node")).select(
+        F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    close = links(nodes, bits, passes=(bits // 2, bits)).where("a <> b").select("a", "b")
+    asked = stored(close.union(same).distinct(), "asked")
     ends = asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct()
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
