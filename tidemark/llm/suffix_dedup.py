@@ -188,7 +188,7 @@ def _split(docs: DataFrame, first: bool, length: int, whole: bool) -> tuple[Data
     """Texts with strips that may repeat (all texts if ``whole``; others then have null parts), and the spans to remove:
     doc_id, tag, start, windows."""
     strip = stored(_stripped(docs, length), "strips")
-    often = strip.groupBy("anchor").count().where("count > 1").select("anchor")
+    often = stored(strip.groupBy("anchor").count().where("count > 1").select("anchor"), "often")
     met = stored(strip.join(often, "anchor", "left_semi"), "met")
     contents = stored(met.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct(*_KEY, "place")).alias("one")),
                       "contents")
@@ -222,7 +222,7 @@ def _split(docs: DataFrame, first: bool, length: int, whole: bool) -> tuple[Data
                                              names=["doc_id", "tag", "start", "windows", "anchor", "hot", "bytes"])
 
     schema = "doc_id long, tag int, start int, windows int, anchor long, hot boolean, bytes binary"
-    pieces = stored(texts.where(F.size("parts") > 0).dropDuplicates(_KEY).select(*_KEY, "text", "parts")
+    pieces = stored(texts.where(F.size("parts") > 0).select(*_KEY, "text", "parts")
                     .mapInArrow(cut_out, schema), "pieces")
     span = "doc_id long, tag int, start int, windows int"
     cold = (pieces.where("not hot").repartition(partitions(docs), "anchor")
@@ -323,7 +323,7 @@ def digests(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", te
     keyed = _keyed(docs, id_column, text_column)
     texts, spans = _split(keyed, False, length, whole=False)
     listed = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
-    found = texts.dropDuplicates(_KEY).select(*_KEY, "text").join(listed, _KEY)
+    found = texts.select(*_KEY, "text").join(listed, _KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 200):
@@ -338,6 +338,7 @@ def digests(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", te
                 names=["doc_id", "tag", "removed", "runs", "sha"])
 
     cut = found.mapInArrow(run, "doc_id long, tag int, removed long, runs long, sha string")
+    cut = cut.dropDuplicates(_KEY)  # rows that repeat id and text were cut alike
     all_docs = keyed.select(*_KEY, F.octet_length("text").cast("long").alias("n_bytes"),
                             F.sha2(F.col("text"), 256).alias("own"))
     zero = F.lit(0).cast("long")
