@@ -39,7 +39,7 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
           "base_failed boolean, kept boolean, chars_per_piece double, chars_per_byte_token double, fallback double, "
           "entropy double")
 #: Words whose pieces a worker remembers.
-CACHE = 500_000
+CACHE = 350_000
 #: Bits of token entropy that prose of any length is held against: as many as a language's common pieces give.
 MOST_BITS = 7.0
 
