@@ -18,9 +18,10 @@ D = dt.date
 
 # --- ranks and splits --------------------------------------------------------------------------------------
 
-def test_ranks_are_exact_with_a_third_of_rows_in_one_group(spark):
+def test_ranks_are_exact_with_a_third_of_rows_in_one_group(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 10)
     rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("g"))
-    out = ranking.ranked(rows.withColumn("h", F.md5(F.col("id").cast("string"))), "h", ["g"], ["id"], prefix=1).collect()
+    out = ranking.ranked(rows.withColumn("h", F.md5(F.col("id").cast("string"))), "h", ["g"], ["id"]).collect()
     by_group = collections.defaultdict(list)
     for r in out:
         by_group[r.g].append((r.h, r.id, r["rank"], r.group_rows))
@@ -74,15 +75,14 @@ def test_chunks_of_a_paragraph_repeat_its_tail():
     assert documents.chunk_text("", 10, 2) == [] and documents.chunk_text("  x ", 10, 2) == ["x"]
 
 
-@pytest.mark.parametrize("in_blocks", [False, True])
-def test_nearest_is_exact_with_ties(spark, in_blocks, monkeypatch):
+def test_nearest_is_exact_with_ties(spark, monkeypatch):
     monkeypatch.setattr(documents, "BLOCK_ROWS", 16)
     rng = np.random.default_rng(1)
     grid = rng.integers(0, 3, (90, 3)).astype(float)
     items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(grid)], "item_id long, vector array<double>")
     asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(grid[:40])], "query_id long, vector array<double>")
     got = collections.defaultdict(list)
-    for r in documents.nearest(asked, items, 5, in_blocks=in_blocks).orderBy("query_id", "rank").collect():
+    for r in documents.nearest(asked, items, 5).orderBy("query_id", "rank").collect():
         got[r.query_id].append(r.item_id)
     for q in range(40):
         want = sorted(range(90), key=lambda i: (np.sqrt(((grid[i] - grid[q]) ** 2).sum()), i))[:5]
@@ -215,3 +215,40 @@ def test_partition_writes_and_incremental_load(spark, tmp_path):
 def test_broken_json_lines_are_skipped(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": "1", "sql": "s"}\n{"id": "2"\n\n{"id": "3", "sql": "t"}\n')
     assert sorted(r.id for r in readers.json_lines(spark, str(tmp_path), "id string, sql string").collect()) == ["1", "3"]
+
+
+def test_draws_never_land_on_missing_values(spark):
+    from tidemark.operators import corpus
+    tickers = spark.createDataFrame([("A", "x"), ("B", None), ("C", "y")], "ticker string, sector string")
+    days = spark.createDataFrame([(D(2024, 1, 2),), (None,), (D(2024, 1, 3),)], "date date")
+    assert corpus.draws(spark, tickers, days, 50, 1).count() == 50 * len(corpus.TEMPLATES)
+
+
+def test_negative_rolling_windows_are_rejected(spark):
+    rows = spark.createDataFrame([(1, "rolling_volatility", -3), (2, "rolling_volatility", 5), (3, "close", -3), (4, None, 1)],
+                                 "request_id long, metric string, window int")
+    assert sorted(r.request_id for r in requests.rejected(rows).collect()) == [1, 4]
+
+
+def test_portfolio_in_a_request_stands_alone(spark):
+    bars = spark.createDataFrame([("A", D(2024, 1, 2), 1.0), ("B", D(2024, 1, 2), 2.0)], "ticker string, date date, close double")
+    held = spark.createDataFrame([("B", 1.0, 1.0)], "ticker string, shares double, avg_cost double")
+    asked = spark.createDataFrame([(1, "close", ["My Portfolio", "A"]), (2, "close", ["a"])],
+                                  "request_id long, metric string, assets array<string>")
+    got = requests._asked(asked, Tables(bars, portfolio=held)).collect()
+    assert sorted((r.request_id, r.ticker) for r in got) == [(1, "B"), (2, "A")]
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    from tidemark import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Fake:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "yarn"})()
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Fake())

@@ -143,8 +143,9 @@ def draws(spark, tickers: DataFrame, days: DataFrame, per_template: int, seed: i
     picks = {"ticker": (tickers, "ticker"), "sector": (tickers, "sector"), "day": (days, "date"),
              "one": (days, "date"), "two": (days, "date")}
     for name, (source, column) in picks.items():
-        size = source.select(column).distinct().agg(F.count(F.lit(1))).scalar()
-        listed = _numbered(source.filter(F.col(column).isNotNull()), column, name)
+        values = source.filter(F.col(column).isNotNull())  # a draw never lands on a missing value
+        size = values.select(column).distinct().agg(F.count(F.lit(1))).scalar()
+        listed = _numbered(values, column, name)
         rows = rows.withColumn(f"{name}_at", uniform(seed, name, "template", "draw") % size).join(
             listed, f"{name}_at").drop(f"{name}_at")
     k = F.element_at(F.array(*[F.lit(n) for n in TOP_K]), (uniform(seed, "k", "template", "draw") % len(TOP_K) + 1).cast("int"))

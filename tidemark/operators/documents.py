@@ -17,7 +17,6 @@ CHUNK_SIZE, CHUNK_OVERLAP = 1500, 500
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 BLOCK_ROWS = 4096
-BROADCAST_QUERIES = 1000
 
 
 def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[tuple[str, bool]]:
@@ -112,24 +111,9 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 _HIT = "query_id long, item_id long, distance double"
 
 
-def _nearest_in_place(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """A few queries go to the items, which are never shuffled."""
-    rows = queries.select("query_id", "vector").toPandas()
-    if rows.empty:
-        return queries.sparkSession.createDataFrame([], _HIT)
-    shared = queries.sparkSession.sparkContext.broadcast((rows["query_id"].to_numpy(), _matrix(rows["vector"])))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, matrix = shared.value
-        for batch in batches:
-            if len(batch):
-                yield _hits(query_ids, matrix, batch["item_id"].to_numpy(), _matrix(batch["vector"]), k)
-
-    return items.select("item_id", "vector").mapInPandas(search, _HIT)
-
-
 def _nearest_in_blocks(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """Many queries: blocks of either side meet pairwise, each meeting a task of bounded size."""
+    """Blocks of either side meet pairwise, each meeting a task of bounded size. Few queries are one block, and then
+    no item is sent twice."""
     def blocks(df: DataFrame) -> int:
         return max(1, -(-df.count() // BLOCK_ROWS))
 
@@ -151,15 +135,13 @@ def _nearest_in_blocks(queries: DataFrame, items: DataFrame, k: int) -> DataFram
     return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(search, _HIT)
 
 
-def nearest(queries: DataFrame, items: DataFrame, k: int = 8, in_blocks: bool | None = None) -> DataFrame:
+def nearest(queries: DataFrame, items: DataFrame, k: int = 8) -> DataFrame:
     """The k nearest items of every query by Euclidean distance, exact, ties by item id.
 
-    queries(query_id, vector), items(item_id, vector). Up to 1000 queries are shipped to the items;
-    more are met block by block. Either way a task hands on at most k items per query.
+    queries(query_id, vector), items(item_id, vector). Blocks of queries meet blocks of items; a meeting hands on at
+    most k items per query.
     """
-    if in_blocks is None:
-        in_blocks = queries.limit(BROADCAST_QUERIES + 1).count() > BROADCAST_QUERIES
-    hits = (_nearest_in_blocks if in_blocks else _nearest_in_place)(queries, items, k)
+    hits = _nearest_in_blocks(queries, items, k)
     return top_per_group(hits, ["query_id"], "distance", k, ["item_id"], descending=False)
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Rows of one bucket of a rank, about: what one task numbers.
+BUCKET_ROWS = 100_000
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row per key by ``order``, as an aggregate: copies of one key shrink map-side."""
     rest = [c for c in df.columns if c not in keys]
@@ -22,13 +26,18 @@ def seeded_hash(seed: int, *cols: str) -> Column:
 
 
 def ranked(df: DataFrame, order_hash: str, by: Sequence[str] = (), tie: Sequence[str] = (),
-           prefix: int = 4, name: str = "rank") -> DataFrame:
+           name: str = "rank") -> DataFrame:
     """Exact 0-based rank by a uniform hex column, with no task that holds a whole group.
 
-    The first ``prefix`` digits cut each group into equal buckets. Bucket counts (combined map-side) give
-    each bucket's offset; rows are then numbered only within their bucket. Use a longer prefix for more
-    rows: 16 ** prefix buckets per group. Adds the rank and ``group_rows``, the size of the row's group.
+    The hash's first digits cut each group into equal buckets, as many digits as leave some ``BUCKET_ROWS``
+    rows in a bucket if one group holds them all; the rows are counted for that. Bucket counts (combined
+    map-side) give each bucket's offset; rows are then numbered only within their bucket. Adds the rank and
+    ``group_rows``, the size of the row's group.
     """
+    prefix = 1
+    rows = df.count()
+    while rows > BUCKET_ROWS * 16 ** prefix:
+        prefix += 1
     cut = df.withColumn("bucket_", F.substring(order_hash, 1, prefix))
     groups = [*by, "bucket_"]
     counts = cut.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_"))
@@ -81,7 +90,8 @@ def split_by_size(df: DataFrame, sizes: dict[str, int], seed: int, key: str, sha
 
 def sample_rows(df: DataFrame, rows: int, seed: int, key: str) -> DataFrame:
     """A repeatable sample of exactly ``rows`` rows (all rows when there are fewer)."""
-    return df.orderBy(seeded_hash(seed, key), key).limit(rows)
+    out = ranked(df.withColumn("hash_", seeded_hash(seed, key)), "hash_", (), [key], name="rank_")
+    return out.filter(F.col("rank_") < rows).drop("hash_", "rank_", "group_rows")
 
 
 def top(df: DataFrame, by: str, k: int, tie: Sequence[str], descending: bool = True) -> DataFrame:

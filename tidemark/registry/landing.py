@@ -244,7 +244,8 @@ def _(m):
     return sinks.load_summary(m.tickers, before, after)
 
 
-_LISTED = ("region", "nation", "lineitem", "documents", "embeddings")
+_LISTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+           "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query("cat1_list_columns", """

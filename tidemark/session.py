@@ -28,9 +28,12 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a local one where it is unset."""
+    """The folder all executors see: ``spark.checkpoint.dir``. Where it is unset, as in tests, a local master gets a
+    folder of its own; on a cluster that is an error, because other machines would not see it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         configured = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
