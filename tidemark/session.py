@@ -32,7 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder of its own; on a cluster that is an error, because other machines would not see it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         configured = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", configured)
