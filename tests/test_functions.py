@@ -93,3 +93,17 @@ def test_vocabulary_means_itself(spark):
     assert one(spark, slots.canonical(F.col("t"), "layer"), t=" Precio de cierre ") == "price"
     assert one(spark, slots.canonical(F.col("t"), "metric"), t="ytd_return") == "ytd_return"
     assert one(spark, slots.canonical(F.col("t"), "time"), t="someday") is None
+
+
+def test_shared_folder_is_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark.session import shared_folder
+
+    def session(master, folder=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("spark://host:7077", "/shared/")) == "/shared"
+    assert shared_folder(session("local[8]")) == shared_folder(session("local"))
+    with pytest.raises(ValueError):
+        shared_folder(session("spark://host:7077"))

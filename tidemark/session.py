@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -31,13 +32,18 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``. Where it is unset, as in tests, a local master gets a
     folder of its own; on a cluster that is an error, because other machines would not see it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
-        configured = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    """One folder for each process: a running session does not take the setting any more."""
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
