@@ -6,12 +6,6 @@ from tests.conftest import SMALL
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session", autouse=True)
-def shared_folder(spark, tmp_path_factory):
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 def odd_rows():
     """Nulls, empty, blank and long texts, ties, repeated rows and a repeated id."""
     long = "".join(f"wort{i % 977} " for i in range(30000))

@@ -155,4 +155,27 @@ def test_near_copies_one_of_each_group_stays(spark, docs, empty):
     assert all(d in left for d in range(len(data)) if d not in near)
     assert simhash.deduplicated(empty).count() == 0 and simhash.classes(empty).count() == 0
     ids = [r.doc_id for r in simhash.deduplicated(docs).collect()]
-    assert 900006 in ids and 900007 not in ids and ids.count(900008) == 2
+    assert 900006 in ids and 900007 not in ids and ids.count(900008) == 1 and ids.count(900009) == 2
+
+
+P, Q = (" ".join(f"{c}{i}" for i in range(80)) for c in "pq")
+UNNAMED = [(None, P), (None, P), (1, P), (2, Q), (2, Q), (2, "another text"), (None, None), (3, ""), (None, Q + " z"),
+           (None, "alone here"), (None, "p " * 300)]
+
+
+def test_rows_without_id(spark):
+    """Null and repeated ids, beside columns whose names the operators use themselves."""
+    frame = spark.createDataFrame([(i, t, "x", "y", 0, None) for i, t in UNNAMED],
+                                  "doc_id long, text string, key string, row string, tag int, root long")
+    got = Counter((r.doc_id, r.component_id) for r in simhash.classes(frame).collect())
+    assert got[None, 1] == 2 and got[1, 1] == 1 and got[None, 3] == 1 and got[3, 3] == 1
+    assert got[2, 2] == 3 and got[None, 2] == 1 and got[None, None] == 2
+    left = simhash.deduplicated(frame)
+    assert left.columns == frame.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(
+        [(1, P), (2, Q), (2, "another text"), (3, ""), (None, "alone here"), (None, "p " * 300)])
+    assert Counter(map(tuple, suffix_dedup.digests(frame).collect())) == slow_repeats(UNNAMED)
+    cut = suffix_dedup.deduplicated(frame)
+    assert cut.columns == frame.columns
+    assert Counter((r.doc_id, r.text) for r in cut.collect() if len(r.text or "") > 60) == Counter(
+        [(1, P), (2, Q), (2, Q), (None, "p " * 100)])

@@ -114,6 +114,10 @@ def test_token_files_round_trip(spark, docs, rows, whole_ids, empty, tmp_path):
     assert Counter((d, bytes(b)) for d, _, _, b in got) == want
     digest = {(r.start, r.ids_crc32) for r in token_output.digest(spark, f"{tmp_path}/a").collect()}
     assert digest == {(s, zlib.crc32(b)) for _, s, _, b in got}
+    unnamed = spark.createDataFrame([(None, "b"), (7, "x"), (None, None), (-3, "y")], "doc_id long, text string")
+    token_output.write(unnamed, f"{tmp_path}/c", segment_tokens=3)
+    got = sorted(token_output.digest(spark, f"{tmp_path}/c").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, -3, 7] and [r.n_tokens for r in got][0] == 1
     token_output.write(empty, f"{tmp_path}/b")
     assert token_output.read(spark, f"{tmp_path}/b").count() == 0
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.session import new_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Keys of rows without an id start here.
+UNNAMED = 1 << 62
 #: Lower-cases A-Z and turns every ASCII byte that is no letter or digit into a space; bytes of other characters stay.
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -36,6 +38,12 @@ def byte_texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [v or b"" for v in values.to_pylist()]
 
 
+def key_of(row_id: Column, *text: Column) -> Column:
+    """A row's id; a null one is replaced by a number from 2**62 up that its text gives, so that it sorts behind ids and
+    joins by equality."""
+    return F.coalesce(row_id.cast("long"), F.shiftrightunsigned(F.xxhash64(*text), 2) + UNNAMED)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared folder and read back: its lineage ends there and its work is done once."""
     spark = df.sparkSession

@@ -7,7 +7,7 @@ chosen by a hash of their ids; scoring is one pass over all documents without a
 
 Defined results: null or empty texts are a bag of one empty passage and get a score; labels of unknown documents and null
 labels are ignored, and of repeated label rows the worst counts; without labelled rows every score is 0.5, with one
-class alone it is nearly that class; repeated rows get equal scores; extra columns are ignored.
+class alone it is nearly that class; repeated rows get equal scores (to nine digits); a null id is not held out; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -133,7 +133,7 @@ class Constant:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
 def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id",
@@ -169,7 +169,7 @@ def scored(docs: DataFrame, model, threshold: float = THRESHOLD, id_column: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 200):
             bags = [passages(t) for t in byte_texts(batch, "text")]
-            scores = shared.value.score(bags) if bags else np.zeros(0)
+            scores = np.round(shared.value.score(bags), 9) if bags else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
                  pa.array((scores >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])

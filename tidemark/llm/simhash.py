@@ -17,8 +17,10 @@ dense group costs a spanning forest and not all its pairs.
 ones are one node, formed by an aggregate that combines before the shuffle.
 
 Defined results: null, empty or blank texts have fingerprint zero and are linked like any other; fewer words than a
-shingle are one shingle; repeated rows are copies of each other; ids are not null; an empty table gives no rows; extra
-columns pass through ``deduplicated`` and are ignored elsewhere.
+shingle are one shingle; rows without an id are linked like any other, and a group of such rows alone has a null
+component; ``deduplicated`` keeps one row of each group, that of the smallest id (of texts that share it, one; rows with an
+id before rows without), also of rows that repeat each other; an id with several texts stands for several documents; an
+empty table gives no rows; extra columns pass through ``deduplicated`` and are ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -28,10 +30,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_texts, partitions, slices, stored
+from tidemark.llm.common import UNNAMED, byte_texts, key_of, partitions, slices, stored
 from tidemark.llm.components import components
 
 SEED, WIDTH, BITS, SHARED = 42, 4, 4, 2
@@ -88,6 +90,10 @@ def word_fingerprints(words: list[bytes], tables: int) -> list[int]:
     return out
 
 
+def _text_hash(text_column: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_column), F.lit(""))))
+
+
 def fingerprints(docs: DataFrame, width: int = WIDTH, tables: int | None = None, id_column: str = "doc_id",
                  text_column: str = "text") -> DataFrame:
     """doc_id, fps (signed longs) and text_hash per document: the fingerprint of its shingles, or with ``tables`` so
@@ -104,7 +110,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, tables: int | None = None,
 
     text = F.coalesce(F.col(text_column), F.lit(""))
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"),
-                       F.unhex(F.md5(text)).alias("text_hash")
+                       _text_hash(text_column).alias("text_hash")
                        ).mapInArrow(run, "doc_id long, fps array<long>, text_hash binary")
 
 
@@ -275,24 +281,34 @@ def classes(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int =
     """Per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id it is linked to)."""
     known = stored(fingerprints(docs, width, None, id_column, text_column).select("doc_id", F.col("fps")[0].alias("fp")),
                    "fingerprints")
-    nodes = stored(known.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    least = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = stored(least.select("fp", key_of(F.col("least"), F.col("fp")).alias("node"), F.col("least").isNull().alias("unnamed")),
+                   "nodes")
     tied = components(links(nodes, bits, shared))
+    root = F.coalesce("root", "node")
     named = (nodes.join(tied, "node", "left")
-             .select("fp", F.coalesce("root", "node").alias("component_id")))
+             .select("fp", F.when(~(F.col("unnamed") & (root >= UNNAMED)), root).alias("component_id")))
     return known.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                           "component_id")
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits: int = BITS, tables: int = TABLES,
                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, root of every document that has a near copy: shingles of ``width`` words, Jaccard ``similarity``.
+    """doc_id, text_hash, least, own of every row: shingles of ``width`` words, Jaccard ``similarity``. ``own`` tells
+    whether the row's text is the one of its group that stays, ``least`` is the text's smallest id.
 
     A few changed words hardly move a fingerprint of the different words of a text, so close fingerprints give the
     candidate links, those of fewest differences first. At a similarity of 0.8 some four or five bits differ, so several
     unrelated fingerprints are searched, each within few bits, which keeps buckets small at any size. Every link is then
     checked exactly on the texts' shingles. Equal texts are one node from the start."""
     known = stored(fingerprints(docs, tables=tables, id_column=id_column, text_column=text_column), "fingerprints")
-    texts = stored(known.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.first("fps").alias("fps")), "texts")
+    each_text = stored(known.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "texts")
+    # of several texts with one id, one has the id as its number
+    bearer = (each_text.where("least is not null").groupBy("least").agg(F.min("text_hash").alias("text_hash"))
+              .select("text_hash", F.lit(True).alias("bears")))
+    number = key_of(F.when(F.col("bears"), F.col("least")), F.col("text_hash"))
+    texts = stored(each_text.join(bearer, "text_hash", "left").select("text_hash", "least", number.alias("doc_id"), "fps"),
+                   "numbered")
     each = texts.select("doc_id", F.posexplode("fps").alias("fp_table", "fp"))
     nodes = stored(each.groupBy("fp_table", "fp").agg(F.min("doc_id").alias("node")), "nodes")
     same = each.join(nodes, ["fp_table", "fp"]).where(F.col("doc_id") != F.col("node")).select(
@@ -300,6 +316,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
     close = links(nodes, bits, passes=(bits // 2, bits)).where("a <> b").select("a", "b")
     asked = stored(close.union(same).distinct(), "asked")
     ends = asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct()
+    ends = ends.join(texts.select("doc_id", "text_hash", key_of(F.col("least"), F.col("text_hash")).alias("key")), "doc_id")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 200):
@@ -307,8 +324,10 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
                                              names=["doc_id", "shingles"])
 
-    chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
-                         ).join(ends, "doc_id", "left_semi")
+    text_hash = _text_hash(text_column)
+    chosen = docs.select(key_of(F.col(id_column), text_hash).alias("key"), text_hash.alias("text_hash"),
+                         F.col(text_column).alias("text")
+                         ).join(ends, ["key", "text_hash"]).select("doc_id", "text")
     sets = stored(chosen.mapInArrow(shingled, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "shingles")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,13 +342,27 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
     pairs = (asked.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
              .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
     tied = components(pairs.select("a", "b", "x", "y").mapInArrow(checked, "a long, b long"))
-    named = texts.join(tied, texts.doc_id == tied.node, "left").select(
-        "text_hash", F.coalesce("root", texts.doc_id).alias("root"))
-    return known.join(named, "text_hash").select("doc_id", "root")
+    members = tied.union(tied.select("root", "root").distinct())  # roots are not listed as nodes
+    linked = texts.join(members, texts.doc_id == members.node).select("root", "text_hash", "least")
+    kept = linked.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "text_hash"))["text_hash"].alias("kept"))
+    others = linked.join(kept, "root").where("text_hash <> kept").select("text_hash", F.lit(False).alias("own"))
+    named = texts.select("text_hash", "least").join(others, "text_hash", "left")
+    return known.select("doc_id", "text_hash").join(named, "text_hash").select(
+        "doc_id", "text_hash", "least", F.coalesce("own", F.lit(True)).alias("own"))
 
 
 def deduplicated(docs: DataFrame, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of each group of near copies, the one of the smallest id, with all its columns; the others go."""
-    roots = near_copies(docs, similarity, id_column=id_column, text_column=text_column)
-    gone = roots.where(F.col("doc_id") != F.col("root")).select(F.col("doc_id").alias(id_column)).distinct()
-    return docs.join(gone, id_column, "left_anti")
+    rows = near_copies(docs, similarity, id_column=id_column, text_column=text_column)
+    stays = F.col("own") & F.col("doc_id").eqNullSafe(F.col("least"))
+    counted = stored(rows.groupBy(key_of(F.col("doc_id"), F.col("text_hash")).alias("key"), "text_hash")
+                     .agg(F.max(stays).alias("stays"), F.count("*").alias("n")), "counted")
+    row, key = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]), ["key", "text_hash"]
+    text_hash = _text_hash(text_column)
+    keyed = docs.select(row.alias("row"), key_of(F.col(id_column), text_hash).alias("key"), text_hash.alias("text_hash"))
+    left = keyed.join(counted.where("not stays"), key, "left_anti")
+    again = counted.where("stays and n > 1")
+    if not again.isEmpty():  # rows that repeat each other
+        once = keyed.join(again, key, "left_semi").dropDuplicates(key)
+        left = left.join(again, key, "left_anti").union(once)
+    return left.select([F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

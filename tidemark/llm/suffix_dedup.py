@@ -19,7 +19,8 @@ to 128 bits, through an aggregate instead.
 otherwise every occurrence goes.
 
 Defined results: null text is empty; texts shorter than ``LENGTH`` have no window and stay; matches never cross documents;
-rows that repeat id and text are copies of each other; rows that repeat an id with another text are documents of their own;
+rows that repeat id and text are copies of each other, and ``first`` cuts them alike, as the first of them; rows that repeat
+an id with another text are documents of their own; rows without an id are known by their text and come last in order;
 an empty table gives no rows; other columns pass through ``deduplicated`` and are ignored elsewhere.
 """
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_texts, partitions, slices, stored
+from tidemark.llm.common import byte_texts, key_of, partitions, slices, stored
 
 LENGTH, ANCHOR = 200, 32
 HOT = 2048
@@ -181,7 +182,8 @@ def repeated_windows(pieces: list[bytes], counts: list[int], keys: list, starts:
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The documents with their key: the id, and a hash that tells texts of one id apart."""
     text = F.coalesce(F.col(text_column), F.lit(""))
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.hash(text).alias("tag"), text.alias("text"))
+    return docs.select(F.col(id_column).cast("long").alias("id"), key_of(F.col(id_column), text).alias("doc_id"),
+                       F.hash(text).alias("tag"), text.alias("text"))
 
 
 def _split(docs: DataFrame, first: bool, length: int, whole: bool) -> tuple[DataFrame, DataFrame]:
@@ -339,11 +341,11 @@ def digests(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", te
 
     cut = found.mapInArrow(run, "doc_id long, tag int, removed long, runs long, sha string")
     cut = cut.dropDuplicates(_KEY)  # rows that repeat id and text were cut alike
-    all_docs = keyed.select(*_KEY, F.octet_length("text").cast("long").alias("n_bytes"),
+    all_docs = keyed.select("id", *_KEY, F.octet_length("text").cast("long").alias("n_bytes"),
                             F.sha2(F.col("text"), 256).alias("own"))
     zero = F.lit(0).cast("long")
     return all_docs.join(cut, _KEY, "left").select(
-        "doc_id", "n_bytes", F.coalesce("removed", zero).alias("n_removed"), F.coalesce("runs", zero).alias("n_spans"),
+        F.col("id").alias("doc_id"), "n_bytes", F.coalesce("removed", zero).alias("n_removed"), F.coalesce("runs", zero).alias("n_spans"),
         F.coalesce("sha", "own").alias("kept_sha256"))
 
 
@@ -352,7 +354,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id
     that nothing remains of go."""
     names = docs.columns
     inner = [c for c in names if c not in (id_column, text_column)]
-    keyed = docs.select(F.col(id_column).cast("long").alias("doc_id"),
+    keyed = docs.select(key_of(F.col(id_column), F.coalesce(F.col(text_column), F.lit(""))).alias("doc_id"),
                         F.hash(F.coalesce(F.col(text_column), F.lit(""))).alias("tag"),
                         F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.struct(
                             F.col(id_column).alias("id"), F.col(text_column).isNull().alias("null_text"),

@@ -12,7 +12,7 @@ every 64th one bit, from which ``select`` starts; some 2 + log2(tokens / docs) b
 Shards' begins are a running sum over one row for each shard.
 
 Defined results: null text is empty and has the end id only; repeated doc_ids stand beside each other in the order of
-their texts; an empty table gives an empty folder table; other columns are ignored.
+their texts; documents without an id come first and are the ``docs`` that ``keys`` lacks; an empty table gives an empty folder table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -104,9 +104,10 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: Callable[[],
 
         def row() -> pa.RecordBatch:
             ends = np.cumsum([len(x) // coder.width for x in ids])
-            base = keys[0]
+            named = [k for k in keys if k is not None]  # null ids sort first
+            base = named[0] if named else 0
             values = [shard, segment, begin, int(ends[-1]), len(keys), coder.width, base, b"".join(ids), ef_encode(ends),
-                      ef_encode(np.asarray([k - base for k in keys]))]
+                      ef_encode(np.asarray([k - base for k in named]))]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)],
                                               names=[f.split()[0] for f in SEGMENTS.split(", ")])
@@ -148,13 +149,15 @@ def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
             for row in batch.to_pylist():
                 ends = EliasFano(row["ends"]).all().astype(np.int64)
                 starts = np.concatenate(([0], ends[:-1]))
-                keys = EliasFano(row["keys"]).all().astype(np.int64) + row["base"]
+                named = EliasFano(row["keys"]).all().astype(np.int64) + row["base"]
+                unnamed = len(ends) - len(named)
+                keys = pa.array(np.concatenate((np.zeros(unnamed, np.int64), named)), mask=np.arange(len(ends)) < unnamed)
                 ids = np.frombuffer(row["ids"], "<u2" if row["width"] == 2 else "<u4").astype("<u4")
                 parts = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
                 last = (pa.array([zlib.crc32(p) for p in parts], pa.int64()) if crc
                         else pa.array([p.tobytes() for p in parts], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(starts + row["begin"]), pa.array(ends - starts), last],
+                    [keys, pa.array(starts + row["begin"]), pa.array(ends - starts), last],
                     names=[f.split()[0] for f in schema.split(", ")])
 
     placed = segments.join(F.broadcast(begins), "shard").withColumn("begin", F.col("begin") + F.col("before"))
