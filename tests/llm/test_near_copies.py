@@ -158,6 +158,29 @@ def test_near_copies_one_of_each_group_stays(spark, docs, empty):
     assert 900006 in ids and 900007 not in ids and ids.count(900008) == 1 and ids.count(900009) == 2
 
 
+def test_copies_of_one_text_that_are_unlike_each_other(spark):
+    """Each copy is alike enough to the first text, and hardly any two copies to each other."""
+    rng = random.Random(5)
+    base = [f"b{rng.randrange(9999)}" for _ in range(150)]
+    data = [(0, " ".join(base))]
+    for c in range(1, 1500):
+        text = list(base)
+        for at in (20, 60, 100):
+            text[at + rng.randrange(-9, 9)] = f"c{rng.randrange(99999)}"
+        data.append((c, " ".join(text)))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in data)]
+    near = [d for d in range(1, len(data)) if len(sets[d] & sets[0]) >= 0.8 * len(sets[d] | sets[0])]
+    left = {r.doc_id for r in simhash.deduplicated(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert 0 in left and len(near) > 1400 and len(left & set(near)) <= 0.01 * len(near)
+
+
+def test_hubs_lie_in_the_middle():
+    codes = np.array([0, 1, 2, 4, 8, 16, 1 << 40, 3 << 40], np.uint64)
+    index = simhash.GrayIndex(np.array([0, 0, 0, 0, 0, 0, 1, 1]), codes)
+    index.forest(2)
+    assert sorted(zip(*(x.tolist() for x in index.hubs()))) == [(i, 0) for i in range(1, 6)]
+
+
 P, Q = (" ".join(f"{c}{i}" for i in range(80)) for c in "pq")
 UNNAMED = [(None, P), (None, P), (1, P), (2, Q), (2, Q), (2, "another text"), (None, None), (3, ""), (None, Q + " z"),
            (None, "alone here"), (None, "p " * 300)]

@@ -198,6 +198,20 @@ class GrayIndex:
         a, b, d = (np.concatenate(x) for x in zip(*found))
         return self.order[a], self.order[b], d
 
+    def hubs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each member of a class of three or more with the member nearest to the class's majority bits (positions)."""
+        by = np.argsort(self.label, kind="stable")
+        label, codes = self.label[by], self.ones[0][by]
+        starts = np.flatnonzero(np.concatenate(([True], label[1:] != label[:-1])))
+        sizes = np.diff(np.append(starts, len(by)))
+        bits = np.unpackbits(codes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+        major = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+        nearest = np.lexsort((np.bitwise_count(codes ^ np.repeat(major, sizes)), label))[starts]
+        a, b = self.order[by], self.order[by[np.repeat(nearest, sizes)]]
+        some = (np.repeat(sizes, sizes) > 2) & (a != b)
+        return a[some], b[some]
+
     def _opened(self, level: int, a: np.ndarray, b: np.ndarray, sofar: np.ndarray, fixed: np.ndarray, bits: int):
         """The child pairs of node pairs that stay within the limit, with their accumulated differences."""
         first, ones, mask = self.first[level - 1], self.ones[level - 1], self.mask[level - 1]
@@ -217,10 +231,11 @@ class GrayIndex:
 
 
 def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tuple[int, ...] | None = None,
-          cell: int = CELL) -> DataFrame:
-    """``nodes`` has fp and node (long), each fp once, or once for each number in a column ``fp_table``. Gives a, b, differences: links that hold together, bucket by bucket,
-    all that lie within ``bits`` of each other. ``passes`` are limits searched one after the other, so that links of few
-    differences come first (default: all at once)."""
+          cell: int = CELL, hubs: bool = False) -> DataFrame:
+    """``nodes`` has fp and node (long), each fp once, or once for each number in a column ``fp_table``. Gives a, b, hub:
+    links that hold together, bucket by bucket, all that lie within ``bits`` of each other. ``passes`` are limits searched
+    one after the other, so that links of few differences come first (default: all at once). ``hubs`` adds rows (hub true)
+    from each member of a group to its hub, at any distance: one more for each member and cell."""
     limits = passes or (bits,)
     n_blocks = bits + shared
     edges = [64 * i // n_blocks for i in range(n_blocks + 1)]
@@ -247,13 +262,16 @@ def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tupl
         cells = np.cumsum(new) - 1
         many = np.bincount(cells)[cells] > 1
         cells, fp, node = cells[many], fp[many], node[many]
-        out = [np.zeros(0, np.int64)] * 3
+        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, bool)]
         if len(fp):
             index = GrayIndex(cells, fp.view(np.uint64))
             got = [index.forest(limit) for limit in limits]
-            a, b, d = (np.concatenate(x) for x in zip(*got))
-            out = [np.maximum(node[a], node[b]), np.minimum(node[a], node[b]), d.astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b", "differences"])
+            if hubs:
+                got.append(index.hubs())
+            a, b = (np.concatenate([g[i] for g in got]) for i in range(2))
+            to_hub = np.repeat(np.arange(len(got)) == len(limits), [len(g[0]) for g in got])
+            out = [np.maximum(node[a], node[b]), np.minimum(node[a], node[b]), to_hub]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["a", "b", "hub"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -273,7 +291,7 @@ def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tupl
         if rows:
             yield search(pa.Table.from_batches(held).combine_chunks())
 
-    return dealt.mapInArrow(run, "a long, b long, differences long")
+    return dealt.mapInArrow(run, "a long, b long, hub boolean")
 
 
 def classes(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int = SHARED, id_column: str = "doc_id",
@@ -300,7 +318,10 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
     A few changed words hardly move a fingerprint of the different words of a text, so close fingerprints give the
     candidate links, those of fewest differences first. At a similarity of 0.8 some four or five bits differ, so several
     unrelated fingerprints are searched, each within few bits, which keeps buckets small at any size. Every link is then
-    checked exactly on the texts' shingles. Equal texts are one node from the start."""
+    checked exactly on the texts' shingles. Equal texts are one node from the start.
+
+    Edited copies of one text may lie closer to each other by chance than to that text, though they are less alike. Where
+    the links of a dense group fail the check, its members are therefore tried against the hub of each of their buckets."""
     known = stored(fingerprints(docs, tables=tables, id_column=id_column, text_column=text_column), "fingerprints")
     each_text = stored(known.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "texts")
     # of several texts with one id, one has the id as its number
@@ -313,8 +334,9 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
     nodes = stored(each.groupBy("fp_table", "fp").agg(F.min("doc_id").alias("node")), "nodes")
     same = each.join(nodes, ["fp_table", "fp"]).where(F.col("doc_id") != F.col("node")).select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    close = links(nodes, bits, passes=(bits // 2, bits)).where("a <> b").select("a", "b")
-    asked = stored(close.union(same).distinct(), "asked")
+    close = links(nodes, bits, passes=(bits // 2, bits), hubs=True).where("a <> b")
+    found = stored(close.union(same.withColumn("hub", F.lit(False))).groupBy("a", "b").agg(F.min("hub").alias("hub")), "asked")
+    asked = found.where("not hub").select("a", "b")
     ends = asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct()
     ends = ends.join(texts.select("doc_id", "text_hash", key_of(F.col("least"), F.col("text_hash")).alias("key")), "doc_id")
 
@@ -339,9 +361,19 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
                 keep.append(both >= similarity * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = (asked.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
-    tied = components(pairs.select("a", "b", "x", "y").mapInArrow(checked, "a long, b long"))
+    def alike(pairs: DataFrame) -> DataFrame:
+        pairs = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+                 .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
+        return pairs.select("a", "b", "x", "y").mapInArrow(checked, "a long, b long")
+
+    tied = components(alike(asked))
+    to_hub = found.where("hub")
+    for end in ("a", "b"):
+        to_hub = to_hub.join(tied.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    more = stored(alike(stored(to_hub.where(apart).select("a", "b"), "to-hubs")), "hub-links")
+    if not more.isEmpty():
+        tied = components(tied.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     members = tied.union(tied.select("root", "root").distinct())  # roots are not listed as nodes
     linked = texts.join(members, texts.doc_id == members.node).select("root", "text_hash", "least")
     kept = linked.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "text_hash"))["text_hash"].alias("kept"))
