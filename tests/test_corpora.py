@@ -162,7 +162,8 @@ def test_evaluation_of_every_request_kind(spark):
     assert got == [(1, "A", 4.0), (2, "A", 2.0), (2, "B", 2.0), (3, "B", 1.0), (4, "A", 1.5), (5, "B", 6.0)]
     rolled = {r.date.day: r.value for r in requests.evaluate(table, t).filter("request_id = 8").collect()}
     assert rolled == {2: None, 3: 0.0, 9: pytest.approx(0.875)}
-    assert [r.request_id for r in requests.rejected(table).collect()] == [6]
+    why = {r.request_id: r.reason for r in requests.rejected(table).collect()}
+    assert why == {6: "unknown metric", 7: "start after end"}
     names = spark.createDataFrame([("A", "Ay Inc")], "ticker string, name string")
     lines = {(r.request_id, r.part): r.line for r in requests.answer_lines(table, requests.evaluate(table, t), names).collect() if r.request_id != 8}
     assert lines[(1, 0)] == "The closing price for Ay Inc is 4.0000."
@@ -225,11 +226,31 @@ def test_draws_never_land_on_missing_values(spark):
 
 
 def test_negative_rolling_windows_are_rejected(spark):
-    rows = spark.createDataFrame([(1, "rolling_volatility", -3), (2, "rolling_volatility", 5), (3, "close", -3), (4, None, 1)],
-                                 "request_id long, metric string, window int")
+    rows = spark.createDataFrame([(1, "rolling_volatility", -3, ["A"]), (2, "rolling_volatility", 5, ["A"]), (3, "close", -3, ["A"]), (4, None, 1, ["A"])],
+                                 "request_id long, metric string, window int, assets array<string>")
     assert sorted(r.request_id for r in requests.rejected(rows).collect()) == [1, 4]
 
 
+def test_filters_text_arguments_and_reasons(spark):
+    prices = spark.createDataFrame([(D(y, 1, d), "A", c, c, c, c, 1, c, 1) for y, d, c in ((1998, 2, 4.0), (1998, 3, 8.0), (2024, 2, 2.0))],
+                                   schema.PRICES_DAILY)
+    one = '"entities": {"assets": ["A"]}'
+    texts = [
+        (1, '{"metric": {"name": "close"}, %s, "filters": [{"field": "close", "op": ">", "value": 5}]}' % one),
+        (2, '{"metric": {"name": "ytd_return", "arguments": {"year": "1998"}}, %s}' % one),
+        (3, '{"metric": {"name": "close"}, %s, "filters": [{"field": "date", "op": "between", "value": ["1998-01-03", "2023-01-01"]}]}' % one),
+        (4, '{"metric": {"name": "close"}, %s, "filters": [{"field": "close", "op": "IN", "value": [4, 2]}, {"field": "ticker", "op": "LIKE", "value": "A%%"}]}' % one),
+        (5, '{"metric": {"name": "close"}, %s, "filters": [{"field": "colour", "value": "red"}]}' % one),
+        (6, '{"metric": {"name": "ytd_return", "arguments": {"year": "soon"}}, %s}' % one),
+        (7, '{"metric": {"name": "ytd_return"}}'), (8, "words only"),
+        (9, '{"metric": {"name": "ytd_return", "arguments": {"year": 1998}}, %s, "filters": [{"field": "close", "op": ">", "value": 5}]}' % one)]
+    flat = requests.flat_requests(requests.parsed(spark.createDataFrame(texts, "request_id long, text string")))
+    got = sorted((r.request_id, r.value) for r in requests.evaluate(flat, Tables(prices)).collect())
+    assert got == [(1, 8.0), (2, 1.0), (3, 8.0), (4, 2.0), (4, 4.0), (9, 1.0)]
+    assert {r.request_id: r.reason for r in requests.rejected(flat).collect()} == {
+        5: "unclear filter", 6: "unreadable argument", 7: "no assets", 8: "no request"}
+
+
 def test_portfolio_in_a_request_stands_alone(spark):
     bars = spark.createDataFrame([("A", D(2024, 1, 2), 1.0), ("B", D(2024, 1, 2), 2.0)], "ticker string, date date, close double")
     held = spark.createDataFrame([("B", 1.0, 1.0)], "ticker string, shares double, avg_cost double")

@@ -48,7 +48,7 @@ TEMPLATES = (
              "select * from views.prices_monthly where ticker = '{ticker}' and month = date_trunc('month', date '{day}')",
              "ticker_month", ("views.prices_monthly",)),
     Template("calendar_filter", "Was NYSE open on {day}?",
-             "select is_open from core.trading_calendar where exchange = 'nyse' and date = '{day}'", "always",
+             "select is_open from core.trading_calendar where exchange = 'nyse' and date = '{day}'", "calendar_day",
              ("core.trading_calendar",)),
     Template("dividend_yield", "Dividend yield TTM time series for {ticker}.",
              "select date, dividend_yield_ttm from views.dividend_yield_ttm where ticker = '{ticker}' order by date",
@@ -171,7 +171,7 @@ def pairs(drawn: DataFrame) -> DataFrame:
 
 
 def answerable(rows: DataFrame, prices: DataFrame, dividends: DataFrame, splits: DataFrame, tickers: DataFrame,
-               portfolio: DataFrame) -> DataFrame:
+               portfolio: DataFrame, calendar: DataFrame) -> DataFrame:
     """Keeps the pairs whose query returns rows, by joining parameters with the keys that exist.
 
     One key join per kind of need, instead of running one query per pair.
@@ -202,6 +202,7 @@ def answerable(rows: DataFrame, prices: DataFrame, dividends: DataFrame, splits:
     have(days.select("date"), [day], "day_")
     have(members.select("sector", "date"), [F.col("sector"), day], "sector_day_")
     have(days.join(portfolio.select("ticker"), "ticker", "left_semi").select("date"), [day], "held_day_")
+    have(calendar.filter("exchange = 'nyse'").select("date"), [day], "calendar_")
     have(dividends.select("ticker").union(splits.select("ticker")), [ticker], "actions_")
     last_before(days, "day", "before_")
     last_before(days, "end", "price_")
@@ -211,7 +212,7 @@ def answerable(rows: DataFrame, prices: DataFrame, dividends: DataFrame, splits:
     tests = {
         "always": F.lit(True), "ticker": F.col("ticker_"), "ticker_day": F.col("ticker_day_"),
         "ticker_week": F.col("ticker_week_"), "ticker_month": F.col("ticker_month_"),
-        "ticker_year": F.col("ticker_year_"), "day": F.col("day_"), "sector_day": F.col("sector_day_"),
+        "ticker_year": F.col("ticker_year_"), "calendar_day": F.col("calendar_"), "day": F.col("day_"), "sector_day": F.col("sector_day_"),
         "held_day": F.col("held_day_"), "actions": F.col("actions_"), "ticker_before": F.col("before_").isNotNull(),
         "ticker_range": F.col("price_") >= start, "dividends_range": F.col("dividend_") >= start,
         "splits_range": F.col("split_") >= start,

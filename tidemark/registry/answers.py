@@ -31,7 +31,7 @@ def _(m):
 
 
 @query("qry3_7_and_30_row_returns", sql("""
-    with n as (select ticker, date, close, row_number() over (partition by ticker order by date) rn from prices_daily)
+    with n as materialized (select ticker, date, close, row_number() over (partition by ticker order by date) rn from prices_daily)
     select n.date, n.ticker, n.close, round(n.close / a.close - 1, 8) r7, round(n.close / b.close - 1, 8) r30
     from n left join n a on a.ticker = n.ticker and a.rn = n.rn - 7
     left join n b on b.ticker = n.ticker and b.rn = n.rn - 30"""))

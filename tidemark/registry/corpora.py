@@ -15,6 +15,7 @@ from tidemark.plans import requests
 from tidemark.registry import query
 from tidemark.registry.market import rounded, tables
 from tidemark.registry.oracle import define, sql
+from tidemark.session import new_path
 
 
 def _literal(text: str) -> str:
@@ -91,11 +92,14 @@ def _model_texts(m):
     metric = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (key % len(KINDS) + 1).cast("int"))
     args = F.struct(F.year(day).alias("year"), F.month(day).alias("month"), day.cast("string").alias("start_date"),
                     end.alias("end_date"), F.lit(10).alias("window"))
+    later = F.struct(F.lit("date").alias("field"), F.lit(">=").alias("op"), F.date_add(day, 30).cast("string").alias("value"))
+    dear = F.struct(F.lit("volume").alias("field"), F.lit(">").alias("op"), F.lit("20").alias("value"))
+    filters = F.when(key % 10 == 1, F.array(later)).when(key % 10 == 2, F.array(later, dear))
     request = F.struct(
         F.lit("compute_metric").alias("intent"), F.struct(assets.alias("assets")).alias("entities"),
         F.struct(metric.alias("name"), args.alias("arguments")).alias("metric"),
         F.struct(F.struct(F.lit("between_dates").alias("type"), day.cast("string").alias("start"),
-                          end.alias("end")).alias("range")).alias("time"))
+                          end.alias("end")).alias("range")).alias("time"), filters.alias("filters"))
     body = F.to_json(request)
     text = F.when(key % 40 == 3, F.concat(F.lit("IR: "), F.expr("left(x, length(x) - 1)"))).otherwise(
         F.concat(F.lit("Sure } here: "), F.col("x"), F.lit(' and {"other": 1}')))
@@ -155,10 +159,12 @@ define("evaluated", """
 select q.request_id, metric, q.ticker, date, case metric when 'close' then close when 'open' then open when 'high' then high
   when 'low' then low when 'volume' then volume else vwap end as value
 from requested q join prices_daily p on p.ticker = q.ticker and date between lo and hi
-where metric in ('close', 'open', 'high', 'low', 'volume', 'vwap')
+where metric in ('close', 'open', 'high', 'low', 'volume', 'vwap') and (q.request_id % 10 not in (1, 2) or date >= lo + 30)
+  and (q.request_id % 10 != 2 or volume > 20)
 union all
-select q.request_id, metric, q.ticker, date, ret from requested q join daily_returns p on p.ticker = q.ticker and date between lo and hi
-where metric = 'daily_return'
+select q.request_id, metric, q.ticker, r.date, ret from requested q join daily_returns r on r.ticker = q.ticker and r.date between lo and hi
+join prices_daily p on p.ticker = r.ticker and p.date = r.date
+where metric = 'daily_return' and (q.request_id % 10 not in (1, 2) or r.date >= lo + 30) and (q.request_id % 10 != 2 or volume > 20)
 union all
 select q.request_id, metric, q.ticker, max(date), max(close) / arg_min(close, date) - 1
 from requested q join prices_daily p on p.ticker = q.ticker and date between lo and hi
@@ -175,11 +181,14 @@ from requested q join daily_returns p on p.ticker = q.ticker and date between lo
 where metric in ('rolling_volatility', 'rolling_return')
 window w as (partition by q.request_id, q.ticker order by date rows between 10 preceding and current row)
 union all
-select q.request_id, metric, q.ticker, date, dividend_yield_ttm
-from requested q join ttm_yields p on p.ticker = q.ticker and date between lo and hi where metric = 'dividend_yield_ttm'
+select q.request_id, metric, q.ticker, r.date, dividend_yield_ttm
+from requested q join ttm_yields r on r.ticker = q.ticker and r.date between lo and hi
+join prices_daily p on p.ticker = r.ticker and p.date = r.date
+where metric = 'dividend_yield_ttm' and (q.request_id % 10 not in (1, 2) or r.date >= lo + 30) and (q.request_id % 10 != 2 or volume > 20)
 union all
 select q.request_id, metric, q.ticker, event_date, cash_amount
 from requested q join dividends p on p.ticker = q.ticker and event_date between lo and hi where metric = 'dividend_amount'
+  and (q.request_id % 10 != 1 or event_date >= lo + 30) and q.request_id % 10 != 2
 union all
 select request_id, metric, ticker, null, shares * last_close from model_requests, held_values where metric = 'portfolio_value'""")
 
@@ -189,10 +198,14 @@ def _(m):
     return rounded(_evaluated(m)[1], 6, "value")
 
 
-@query("req1_rejected_requests", sql("select request_id, metric from model_requests where metric = 'magic_number'"))
+@query("req1_rejected_requests", sql(f"""
+    select request_id, metric, case when metric = 'magic_number' then 'unknown metric' when len(assets) = 0
+      and metric in {requests.TEMPLATE_METRICS} then 'no assets' else 'unclear filter' end as reason
+    from model_requests where metric = 'magic_number' or len(assets) = 0 and metric in {requests.TEMPLATE_METRICS}
+      or metric = 'dividend_amount' and request_id % 10 = 2
+    union all select o_orderkey, null, 'no request' from orders where o_orderkey % 40 = 3"""))
 def _(m):
-    flat = requests.flat_requests(requests.parsed(_model_texts(m)).filter(F.col("request").isNotNull()))
-    return requests.rejected(flat)
+    return requests.rejected(requests.flat_requests(requests.parsed(_model_texts(m))))
 
 
 @query("fmt1_answers", sql("""
@@ -206,15 +219,17 @@ def _(m):
       from (select * replace (round(value, 4) as value) from evaluated) e join words w using (request_id) left join tickers t using (ticker))
     select request_id, cast(case when n = 1 then 0 else 1 end as bigint) part, ticker, date,
       case when n = 1 then 'The ' || said || ' for ' || coalesce(company, ticker) || ' is ' || shown || '.'
-        else '- ' || coalesce(company, ticker) || ': ' || shown end line from lines where metric in ('close', 'ytd_return', 'volume')
+        else '- ' || coalesce(company, ticker) || ': ' || shown end line from lines
     union all select request_id, 0, null, null, 'The ' || said || ' for your portfolio are:' from words
-      where n > 1 and metric in ('close', 'ytd_return', 'volume')
+      where n > 1
     union all select request_id, 0, null, null, 'There is no data available for this query.' from model_requests
-      where metric in ('close', 'ytd_return', 'volume') and request_id not in (select request_id from c)"""))
+      where request_id not in (select request_id from c)"""))
 def _(m):
     flat, values = _evaluated(m)
-    wanted = F.col("metric").isin("close", "ytd_return", "volume")
-    lines = requests.answer_lines(flat.filter(wanted), rounded(values.filter(wanted), 4, "value"), m.tickers)
+    path = new_path(m.spark, "evaluated")  # the answer reads the values several times
+    # both engines settle ties of the last printed digit in their own way, so the check rounds before printing
+    rounded(values, 4, "value").write.parquet(path)
+    lines = requests.answer_lines(flat, m.spark.read.schema(values.schema).parquet(path), m.tickers)
     return lines.withColumn("part", F.col("part").cast("long"))
 
 
@@ -465,6 +480,7 @@ select * from pair_rows r where case needs when 'always' then true
   when 'ticker_month' then (ticker, date_trunc('month', day)) in (select (ticker, date_trunc('month', date)) from prices_daily)
   when 'ticker_year' then (ticker, y) in (select (ticker, year(date)) from prices_daily)
   when 'day' then day in (select date from prices_daily)
+  when 'calendar_day' then day in (select date from trading_calendar where exchange = 'nyse')
   when 'sector_day' then (sector, day) in (select (sector, date) from prices_daily join tickers using (ticker))
   when 'held_day' then day in (select date from prices_daily join portfolio using (ticker))
   when 'actions' then ticker in (select ticker from corporate_actions)
@@ -478,7 +494,7 @@ qualify row_number() over (partition by sql order by template, draw) = 1""")
 
 
 def _good(m):
-    return corpus.answerable(corpus.pairs(_drawn(m)), m.prices_daily, m.dividends, m.splits, m.tickers, m.portfolio)
+    return corpus.answerable(corpus.pairs(_drawn(m)), m.prices_daily, m.dividends, m.splits, m.tickers, m.portfolio, m.trading_calendar)
 
 
 def _kept(m):

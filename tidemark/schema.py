@@ -47,7 +47,7 @@ SPLITS_PAYLOAD = T.StructType([
 ])
 STATUS_PAYLOAD = _struct(exchange=_S, date=_S, status=_S, open=_S, close=_S)
 
-# One request: what to compute, for which assets, over which time.
+# One request: what to compute, for which assets, over which time. Arguments are read as text: models write 1998 or "1998".
 REQUEST = T.StructType([
     T.StructField("intent", _S),
     T.StructField("entities", T.StructType([
@@ -55,9 +55,7 @@ REQUEST = T.StructType([
     T.StructField("metric", T.StructType([
         T.StructField("name", _S), T.StructField("type", _S),
         T.StructField("arguments", T.StructType([
-            T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
-            T.StructField("start_date", _S), T.StructField("end_date", _S),
-            T.StructField("window", T.IntegerType()), T.StructField("window_unit", _S)]))])),
+            T.StructField(name, _S) for name in ("year", "month", "start_date", "end_date", "window", "window_unit")]))])),
     T.StructField("time", T.StructType([
         T.StructField("range", T.StructType([
             T.StructField("type", _S), T.StructField("value", _S),
