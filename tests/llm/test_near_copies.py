@@ -202,3 +202,37 @@ def test_rows_without_id(spark):
     assert cut.columns == frame.columns
     assert Counter((r.doc_id, r.text) for r in cut.collect() if len(r.text or "") > 60) == Counter(
         [(1, P), (2, Q), (2, Q), (None, "p " * 100)])
+
+
+def block_edits(rng, n):
+    """Texts and, for each, copies with words appended, put in front, cut, replaced in one run, and changed here and there,
+    as many as leave a similarity of somewhat over 0.8."""
+    words = [f"w{i}" for i in range(5000)]
+    data, edits = [], []
+    for _ in range(n):
+        base = rng.choices(words, k=rng.randint(150, 400))
+        some = rng.choices(words, k=len(base) * 22 // 100)
+        at, few = rng.randrange(len(base) * 8 // 10), len(base) // 13
+        spread = list(base)
+        for i in rng.sample(range(len(base)), len(base) // 55):
+            spread[i] = rng.choice(words)
+        data.append((len(data), " ".join(base)))
+        for kind, copy in (("appended", base + some), ("header", some + base), ("cut", base[:len(base) * 82 // 100]),
+                           ("replaced", base[:at] + some[:few] + base[at + few:]), ("scattered", spread)):
+            edits.append((kind, len(data), data[-1][0] if data[-1][1] == " ".join(base) else edits[-1][2]))
+            data.append((len(data), " ".join(copy)))
+    return data, edits
+
+
+def test_near_copies_by_block_edits(spark):
+    """One copy of each text, so that no other copy can tie them."""
+    texts, edits = block_edits(random.Random(8), 600)
+    texts, pairs = dict(texts), [e for n, e in enumerate(edits) if n % 5 == n // 5 % 5]
+    sets = {d: {tuple(w[i:i + 5]) for i in range(len(w) - 4)} for _, *p in pairs for d in p for w in [texts[d].split()]}
+    near = [(kind, d) for kind, d, base in pairs if len(sets[d] & sets[base]) >= 0.8 * len(sets[d] | sets[base])]
+    frame = spark.createDataFrame([(d, texts[d]) for _, *p in pairs for d in p], "doc_id long, text string")
+    left = {r.doc_id for r in simhash.deduplicated(frame).collect()}
+    asked, missed = Counter(k for k, _ in near), Counter(k for k, d in near if d in left)
+    assert len(asked) == 5 and min(asked.values()) >= 60, asked
+    assert all(missed[k] <= 0.03 * asked[k] for k in asked), (asked, missed)
+    assert {base for *_, base in pairs} <= left and len(left) == len(pairs) + sum(missed.values()) + len(pairs) - len(near)

@@ -25,6 +25,8 @@ empty table gives no rows; extra columns pass through ``deduplicated`` and are i
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -37,8 +39,12 @@ from tidemark.llm.common import UNNAMED, byte_texts, key_of, partitions, slices,
 from tidemark.llm.components import components
 
 SEED, WIDTH, BITS, SHARED = 42, 4, 4, 2
-#: Fingerprints of a text's different words that near copies are searched by.
+#: Fingerprints of a text's different shingles that near copies are searched by.
 TABLES = 6
+#: Bits of a bucket's key in the search for near copies, and the least share of pairs at the limit that meet in a bucket.
+KEY_BITS, RECALL = 18, 0.995
+#: Share of pairs at the limit that may differ by more bits than are searched.
+MISS = 0.001
 FAN = 8
 #: Fingerprints of a cell at most, about.
 CELL = 4096
@@ -68,18 +74,24 @@ def hashes(words: list[bytes], width: int) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(p, SEED) for p in parts), np.uint64, len(parts))
 
 
+#: A byte's bits, the lowest first, as eight bytes in a row.
+SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
 def majority(values: np.ndarray) -> int:
     """The fingerprint of 64-bit values, as a signed number."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(values), 1 << 14):
         part = values[at:at + (1 << 14)]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        lanes = SPREAD[np.ascontiguousarray(part).view(np.uint8).reshape(-1, 8)]
+        sums = np.add.reduceat(lanes, np.arange(0, len(part), 255), axis=0)  # 255 ones fill a lane's byte
+        counts += sums.view(np.uint8).reshape(-1, 64).sum(0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(values), bitorder="little").view("<i8")[0])
 
 
-def word_fingerprints(words: list[bytes], tables: int) -> list[int]:
-    """Fingerprints of a text's different words, one for each of several unrelated hash functions."""
-    values = hashes(sorted(set(words)), 1)
+def set_fingerprints(words: list[bytes], width: int, tables: int) -> list[int]:
+    """Fingerprints of a text's different shingles, one for each of several unrelated hash functions."""
+    values = np.unique(hashes(words, width))
     out = []
     for n in range(tables):
         mixed = values + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
@@ -97,13 +109,13 @@ def _text_hash(text_column: str) -> Column:
 def fingerprints(docs: DataFrame, width: int = WIDTH, tables: int | None = None, id_column: str = "doc_id",
                  text_column: str = "text") -> DataFrame:
     """doc_id, fps (signed longs) and text_hash per document: the fingerprint of its shingles, or with ``tables`` so
-    many of its different words."""
+    many of its different shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
             fps = []
             for text in byte_texts(batch, "text"):
                 words = text.lower().split()
-                fps.append(word_fingerprints(words, tables) if tables else [majority(hashes(words, width))])
+                fps.append(set_fingerprints(words, width, tables) if tables else [majority(hashes(words, width))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(fps, pa.list_(pa.int64())), batch.column("text_hash")],
                 names=["doc_id", "fps", "text_hash"])
@@ -230,30 +242,80 @@ class GrayIndex:
         return x[keep], y[keep], differ[keep], known[keep]
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def differing(similarity: float) -> float:
+    """The chance that a bit differs between the fingerprints of two sets of this Jaccard similarity, at most: the angle
+    between sets of one size, which is the widest there is at a given similarity, over pi."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def within(similarity: float, bits: int, miss: float) -> int:
+    """Differences that all but a share ``miss`` of the pairs at this similarity stay within."""
+    p, left = differing(similarity), 1.0
+    for limit in range(bits):
+        left -= math.comb(bits, limit) * p ** limit * (1 - p) ** (bits - limit)
+        if left <= miss:
+            return limit
+    return bits
+
+
+def sampled_keys(similarity: float, tables: int = TABLES, recall: float = RECALL) -> list[tuple[int, list[int]]]:
+    """Per key the table whose fingerprint is compared in its buckets, and the bits of the others that make the key: as
+    many keys as let a pair at this similarity agree in one of them with the chance ``recall``."""
+    agree = (1 - differing(similarity)) ** KEY_BITS
+    rng = random.Random(SEED)
+    n_keys = max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree))) if agree < 1 else 1
+    return [(n % tables, rng.sample([at for at in range(64 * tables) if at // 64 != n % tables], KEY_BITS))
+            for n in range(n_keys)]
+
+
+def routed_by_samples(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Rows fp, node, bucket for nodes with ``fps``: one for each key."""
+    keys = sampled_keys(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = 1 << np.arange(KEY_BITS, dtype=np.int64)
+        for batch in slices(batches, 1000):
+            fps = batch.column("fps").flatten().to_numpy().reshape(batch.num_rows, -1)
+            bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
+            bucket = [n << KEY_BITS | bits[:, at] @ weights for n, (_, at) in enumerate(keys)]
+            fp = [fps[:, table] for table, _ in keys]
+            node = np.tile(batch.column("node").to_numpy(), len(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(fp)), pa.array(node), pa.array(np.concatenate(bucket))],
+                                             names=["fp", "node", "bucket"])
+
+    return nodes.select("node", "fps").mapInArrow(run, "fp long, node long, bucket long")
+
+
 def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tuple[int, ...] | None = None,
-          cell: int = CELL, hubs: bool = False) -> DataFrame:
-    """``nodes`` has fp and node (long), each fp once, or once for each number in a column ``fp_table``. Gives a, b, hub:
-    links that hold together, bucket by bucket, all that lie within ``bits`` of each other. ``passes`` are limits searched
-    one after the other, so that links of few differences come first (default: all at once). ``hubs`` adds rows (hub true)
-    from each member of a group to its hub, at any distance: one more for each member and cell."""
+          cell: int = CELL) -> DataFrame:
+    """``nodes`` has fp and node (long), each fp once. Gives a, b, hub: links that hold together, bucket by bucket, all that
+    lie within ``bits`` of each other. ``passes`` are limits searched one after the other, so that links of few differences
+    come first (default: all at once)."""
     limits = passes or (bits,)
     n_blocks = bits + shared
     edges = [64 * i // n_blocks for i in range(n_blocks + 1)]
     block = [sum(1 << i for i in range(a, b)) for a, b in zip(edges, edges[1:])]
     masks = [sum(block[i] for i in chosen) for chosen in combinations(range(n_blocks), shared)]
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    kind = F.col("fp_table") if "fp_table" in nodes.columns else F.lit(0)
-    keys = F.array(*[F.xxhash64(kind, F.lit(n), F.col("fp").bitwiseAND(F.lit(signed(m)))) for n, m in enumerate(masks)])
+    keys = F.array(*[F.xxhash64(F.lit(0), F.lit(n), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for n, m in enumerate(masks)])
+    return _held_together(nodes.select("fp", "node", F.explode(keys).alias("bucket")), limits, cell)
+
+
+def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int, hubs: bool = False) -> DataFrame:
+    """Links (a, b, hub) within each bucket of rows fp, node, bucket. ``hubs`` adds rows (hub true) from each member of a
+    group to its hub, at any distance: one more for each member and cell."""
     # equal hashes of different buckets would only put more fingerprints into one cell
-    routed = nodes.select("fp", "node", F.explode(keys).alias("bucket"))
     heavy = routed.groupBy("bucket").count().where(F.col("count") > cell).select(
         "bucket", F.ceil(F.col("count") / cell).cast("int").alias("chunks"))
-    chunk = F.pmod(F.hash("fp"), F.col("chunks"))
+    chunk = F.pmod(F.hash("fp", "node"), F.col("chunks"))
     spread = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("chunks") - 1),
                     lambda other: F.least(chunk, other).cast("bigint") * (1 << 20) + F.greatest(chunk, other)))
     dealt = (routed.join(heavy, "bucket", "left").select("fp", "node", "bucket", F.explode(spread).alias("part"))
-             .repartition(partitions(nodes), "bucket", "part").sortWithinPartitions("bucket", "part"))
+             .repartition(partitions(routed), "bucket", "part").sortWithinPartitions("bucket", "part"))
 
     def search(table: pa.Table) -> pa.RecordBatch:
         bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
@@ -310,19 +372,21 @@ def classes(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int =
                                           "component_id")
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits: int = BITS, tables: int = TABLES,
+def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, tables: int = TABLES,
                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, text_hash, least, own of every row: shingles of ``width`` words, Jaccard ``similarity``. ``own`` tells
     whether the row's text is the one of its group that stays, ``least`` is the text's smallest id.
 
-    A few changed words hardly move a fingerprint of the different words of a text, so close fingerprints give the
-    candidate links, those of fewest differences first. At a similarity of 0.8 some four or five bits differ, so several
-    unrelated fingerprints are searched, each within few bits, which keeps buckets small at any size. Every link is then
-    checked exactly on the texts' shingles. Equal texts are one node from the start.
+    Candidates come from fingerprints of the different shingles that the check itself compares: the bits that differ then
+    follow from the similarity alone, whether words are changed here and there or a passage is added, cut or replaced. At
+    0.8 that is a bit in seven, more than blocks of one fingerprint can bridge, so buckets are made by samples of bits from
+    several fingerprints, as many as ``RECALL`` takes, and compared in another one, links of fewest differences first.
+    Every link is then checked exactly on the texts' shingles. Equal texts are one node from the start, and so are texts
+    with equal fingerprints in all tables.
 
     Edited copies of one text may lie closer to each other by chance than to that text, though they are less alike. Where
     the links of a dense group fail the check, its members are therefore tried against the hub of each of their buckets."""
-    known = stored(fingerprints(docs, tables=tables, id_column=id_column, text_column=text_column), "fingerprints")
+    known = stored(fingerprints(docs, width, tables, id_column, text_column), "fingerprints")
     each_text = stored(known.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "texts")
     # of several texts with one id, one has the id as its number
     bearer = (each_text.where("least is not null").groupBy("least").agg(F.min("text_hash").alias("text_hash"))
@@ -330,11 +394,11 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
     number = key_of(F.when(F.col("bears"), F.col("least")), F.col("text_hash"))
     texts = stored(each_text.join(bearer, "text_hash", "left").select("text_hash", "least", number.alias("doc_id"), "fps"),
                    "numbered")
-    each = texts.select("doc_id", F.posexplode("fps").alias("fp_table", "fp"))
-    nodes = stored(each.groupBy("fp_table", "fp").agg(F.min("doc_id").alias("node")), "nodes")
-    same = each.join(nodes, ["fp_table", "fp"]).where(F.col("doc_id") != F.col("node")).select(
+    nodes = stored(texts.groupBy("fps").agg(F.min("doc_id").alias("node")), "nodes")
+    same = texts.join(nodes, "fps").where(F.col("doc_id") != F.col("node")).select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    close = links(nodes, bits, passes=(bits // 2, bits), hubs=True).where("a <> b")
+    limit = within(similarity, 64, MISS)
+    close = _held_together(routed_by_samples(nodes, similarity), (limit // 2, limit), CELL, hubs=True).where("a <> b")
     found = stored(close.union(same.withColumn("hub", F.lit(False))).groupBy("a", "b").agg(F.min("hub").alias("hub")), "asked")
     asked = found.where("not hub").select("a", "b")
     ends = asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct()
