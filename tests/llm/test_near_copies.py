@@ -236,3 +236,25 @@ def test_near_copies_by_block_edits(spark):
     assert len(asked) == 5 and min(asked.values()) >= 60, asked
     assert all(missed[k] <= 0.03 * asked[k] for k in asked), (asked, missed)
     assert {base for *_, base in pairs} <= left and len(left) == len(pairs) + sum(missed.values()) + len(pairs) - len(near)
+
+
+def test_near_copies_behind_a_link_that_fails(spark):
+    """Texts of the same words in other orders, of which some are near copies: none is hidden by a text that is none. And
+    pairs of different roots in one cell are found to the last."""
+    rng = random.Random(4)
+    data = []
+    for _ in range(40):
+        bag = [f"w{rng.randrange(4000)}" for _ in range(300)]
+        other = rng.sample(bag, len(bag))
+        data += [(len(data), " ".join(bag)), (len(data) + 1, " ".join(other)), (len(data) + 2, " ".join(other[1:] + other[:1]))]
+    left = {r.doc_id for r in simhash.deduplicated(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert left == {d for d, _ in data if d % 3 < 2}
+
+
+def test_pairs_between_roots():
+    rng = np.random.default_rng(7)
+    codes = rng.integers(0, 1 << 10, 300, dtype=np.uint64)
+    cells, roots = np.sort(rng.integers(0, 3, 300)), rng.integers(0, 90, 300)
+    got = [tuple(sorted(p)) for x in simhash.GrayIndex(cells, codes).between(3, roots) for p in zip(*(y.tolist() for y in x))]
+    near = (np.bitwise_count(codes[:, None] ^ codes) <= 3) & (cells[:, None] == cells) & (roots[:, None] != roots)
+    assert len(got) == len(set(got)) and set(got) == set(zip(*(x.tolist() for x in np.nonzero(np.triu(near)))))

@@ -183,33 +183,45 @@ class GrayIndex:
         high = np.maximum.reduceat(self.label, self.begin[level])
         return np.minimum(low[a], low[b]) != np.maximum(high[a], high[b])
 
-    def forest(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Links within ``bits`` differences (positions in the given order, differences) that tie classes together."""
+    def _near(self, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Blocks of pairs of members within ``bits`` differences, and the differences; pairs of nodes whose members are of
+        one class when they are opened are left out."""
         top = len(self.ones) - 1
         roots = np.arange(len(self.ones[top]))
         shared = self.mask[top]
         stack = [(top, roots[at:at + OPEN], roots[at:at + OPEN], np.zeros(len(roots[at:at + OPEN]), np.uint8),
                   shared[at:at + OPEN]) for at in range(0, len(roots), OPEN)]
-        found: list[tuple] = []
         while stack:
             level, a, b, sofar, fixed = stack.pop()
             if level == 0:
                 ends = a != b
-                a, b, sofar = a[ends], b[ends], sofar[ends]
-                by = np.argsort(sofar, kind="stable")
-                tie = by[self._join(a[by], b[by])]
-                found.append((a[tie], b[tie], sofar[tie]))
+                yield a[ends], b[ends], sofar[ends]
                 continue
             keep = self._apart(level, a, b)
             a, b, sofar, fixed = a[keep], b[keep], sofar[keep], fixed[keep]
             if len(a) > OPEN:  # what lies under this block is done before the rest is opened
                 stack.append((level, a[OPEN:], b[OPEN:], sofar[OPEN:], fixed[OPEN:]))
             stack.append((level - 1, *self._opened(level, a[:OPEN], b[:OPEN], sofar[:OPEN], fixed[:OPEN], bits)))
+
+    def forest(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links within ``bits`` differences (positions in the given order, differences) that tie classes together."""
+        found: list[tuple] = []
+        for a, b, differ in self._near(bits):
+            by = np.argsort(differ, kind="stable")
+            tie = by[self._join(a[by], b[by])]
+            found.append((a[tie], b[tie], differ[tie]))
         if not found:
             return tuple(np.zeros(0, np.int64) for _ in range(3))
         a, b, d = (np.concatenate(x) for x in zip(*found))
         return self.order[a], self.order[b], d
 
+    def between(self, bits: int, roots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Blocks of all pairs (positions) within ``bits`` differences whose members have different roots."""
+        self.label = np.unique(roots, return_inverse=True)[1][self.order]
+        for a, b, _ in self._near(bits):
+            apart = self.label[a] != self.label[b]
+            yield self.order[a[apart]], self.order[b[apart]]
+
     def hubs(self) -> tuple[np.ndarray, np.ndarray]:
         """Each member of a class of three or more with the member nearest to the class's majority bits (positions)."""
         by = np.argsort(self.label, kind="stable")
@@ -273,7 +285,8 @@ def sampled_keys(similarity: float, tables: int = TABLES, recall: float = RECALL
 
 
 def routed_by_samples(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Rows fp, node, bucket for nodes with ``fps``: one for each key."""
+    """Rows fp, node, bucket for nodes with ``fps``: one for each key. A column ``root`` goes along."""
+    others = [c for c in nodes.columns if c != "fps"]
     keys = sampled_keys(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,11 +296,11 @@ def routed_by_samples(nodes: DataFrame, similarity: float) -> DataFrame:
             bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
             bucket = [n << KEY_BITS | bits[:, at] @ weights for n, (_, at) in enumerate(keys)]
             fp = [fps[:, table] for table, _ in keys]
-            node = np.tile(batch.column("node").to_numpy(), len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(fp)), pa.array(node), pa.array(np.concatenate(bucket))],
-                                             names=["fp", "node", "bucket"])
+            along = [np.tile(batch.column(c).to_numpy(), len(keys)) for c in others]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(fp), np.concatenate(bucket), *along)],
+                                             names=["fp", "bucket", *others])
 
-    return nodes.select("node", "fps").mapInArrow(run, "fp long, node long, bucket long")
+    return nodes.mapInArrow(run, ", ".join(f"{c} long" for c in ("fp", "bucket", *others)))
 
 
 def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tuple[int, ...] | None = None,
@@ -306,7 +319,9 @@ def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tupl
 
 def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int, hubs: bool = False) -> DataFrame:
     """Links (a, b, hub) within each bucket of rows fp, node, bucket. ``hubs`` adds rows (hub true) from each member of a
-    group to its hub, at any distance: one more for each member and cell."""
+    group to its hub, at any distance: one more for each member and cell. Rows with a column ``root`` give all pairs within
+    the last limit whose roots differ instead."""
+    rooted = "root" in routed.columns
     # equal hashes of different buckets would only put more fingerprints into one cell
     heavy = routed.groupBy("bucket").count().where(F.col("count") > cell).select(
         "bucket", F.ceil(F.col("count") / cell).cast("int").alias("chunks"))
@@ -314,26 +329,32 @@ def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int, hubs:
     spread = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("chunks") - 1),
                     lambda other: F.least(chunk, other).cast("bigint") * (1 << 20) + F.greatest(chunk, other)))
-    dealt = (routed.join(heavy, "bucket", "left").select("fp", "node", "bucket", F.explode(spread).alias("part"))
+    dealt = (routed.join(heavy, "bucket", "left").select(*routed.columns, F.explode(spread).alias("part"))
              .repartition(partitions(routed), "bucket", "part").sortWithinPartitions("bucket", "part"))
 
-    def search(table: pa.Table) -> pa.RecordBatch:
+    def search(table: pa.Table) -> Iterator[pa.RecordBatch]:
         bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
         fp, node = table.column("fp").to_numpy(), table.column("node").to_numpy()
         new = np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])))
         cells = np.cumsum(new) - 1
         many = np.bincount(cells)[cells] > 1
         cells, fp, node = cells[many], fp[many], node[many]
-        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, bool)]
         if len(fp):
             index = GrayIndex(cells, fp.view(np.uint64))
+            if rooted:
+                for a, b in index.between(limits[-1], table.column("root").to_numpy()[many]):
+                    yield linked(node[a], node[b], np.zeros(len(a), bool))
+                return
             got = [index.forest(limit) for limit in limits]
             if hubs:
                 got.append(index.hubs())
             a, b = (np.concatenate([g[i] for g in got]) for i in range(2))
             to_hub = np.repeat(np.arange(len(got)) == len(limits), [len(g[0]) for g in got])
-            out = [np.maximum(node[a], node[b]), np.minimum(node[a], node[b]), to_hub]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["a", "b", "hub"])
+            yield linked(node[a], node[b], to_hub)
+
+    def linked(x: np.ndarray, y: np.ndarray, hub: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y)), pa.array(hub)],
+                                          names=["a", "b", "hub"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -347,11 +368,11 @@ def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int, hubs:
             bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
             starts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
             if len(starts):
-                yield search(table.slice(0, int(starts[-1])))
+                yield from search(table.slice(0, int(starts[-1])))
                 table = table.slice(int(starts[-1]))
             held, rows = table.to_batches(), table.num_rows
         if rows:
-            yield search(pa.Table.from_batches(held).combine_chunks())
+            yield from search(pa.Table.from_batches(held).combine_chunks())
 
     return dealt.mapInArrow(run, "a long, b long, hub boolean")
 
@@ -385,7 +406,10 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, tables
     with equal fingerprints in all tables.
 
     Edited copies of one text may lie closer to each other by chance than to that text, though they are less alike. Where
-    the links of a dense group fail the check, its members are therefore tried against the hub of each of their buckets."""
+    the links of a dense group fail the check, its members are therefore tried against the hub of each of their buckets.
+    Links that fail also leave pairs unasked that the forests took for joined, and so do texts of equal fingerprints, of
+    which one is searched for all. Where a link failed, the texts that had links are therefore dealt once more, each with
+    its own fingerprints, and every pair within the limit whose ends are still apart and that was not asked is checked."""
     known = stored(fingerprints(docs, width, tables, id_column, text_column), "fingerprints")
     each_text = stored(known.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "texts")
     # of several texts with one id, one has the id as its number
@@ -438,6 +462,23 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, tables
     more = stored(alike(stored(to_hub.where(apart).select("a", "b"), "to-hubs")), "hub-links")
     if not more.isEmpty():
         tied = components(tied.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    tied = stored(tied, "tied")
+    root = F.coalesce("root", "doc_id").alias("root")
+    rooted = stored(ends.select("doc_id").join(tied, F.col("doc_id") == F.col("node"), "left").select("doc_id", root), "rooted")
+    failed = asked
+    for end in ("a", "b"):
+        failed = failed.join(rooted.select(F.col("doc_id").alias(end), F.col("root").alias(f"root_{end}")), end)
+    if not failed.where("root_a <> root_b").isEmpty():
+        left = texts.join(rooted, "doc_id").select(F.col("doc_id").alias("node"), "fps", "root")
+        open_pairs = (_held_together(routed_by_samples(left, similarity), (limit,), CELL).select("a", "b").distinct()
+                      .join(found.select("a", "b"), ["a", "b"], "left_anti"))
+        for end in ("a", "b"):
+            open_pairs = open_pairs.join(left.select(F.col("node").alias(end), F.col("fps").alias(f"fps_{end}")), end)
+        differ = F.aggregate(F.zip_with("fps_a", "fps_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        open_pairs = open_pairs.where(differ <= within(similarity, 64 * tables, MISS)).select("a", "b")
+        more = stored(alike(stored(open_pairs, "open")), "open-links")
+        if not more.isEmpty():
+            tied = components(tied.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     members = tied.union(tied.select("root", "root").distinct())  # roots are not listed as nodes
     linked = texts.join(members, texts.doc_id == members.node).select("root", "text_hash", "least")
     kept = linked.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "text_hash"))["text_hash"].alias("kept"))
