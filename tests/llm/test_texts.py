@@ -152,6 +152,17 @@ def test_local_search_saves_a_bin():
     assert len(packing.pack([5, 5, 4, 3, 3], 10)) == 2 and sorted(i for b in bins for i in b) == [0, 1, 2, 3, 4] and len(bins) == 2
 
 
+@pytest.mark.parametrize("low, high, most", [(1000, 1700, 506), (900, 1900, 536), (700, 1500, 402)])
+def test_local_search_of_middling_pieces(low, high, most):
+    """1500 pieces of a quarter to a half of a sequence; ``most`` is a few over what the search over all bins reaches."""
+    lengths = np.random.default_rng(3).integers(low, high, 1500).tolist()
+    bins = packing.pack(lengths)
+    assert sorted(i for b in bins for i in b) == list(range(1500)) and max(sum(lengths[i] for i in b) for b in bins) <= 4096
+    assert -(-sum(lengths) // 4096) <= len(bins) <= most
+    search = packing._Search(bins, lengths, 4096)
+    assert not any(search.step(b) for b in range(len(bins)) if search.fill[b] < 4096)
+
+
 def test_classifier_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

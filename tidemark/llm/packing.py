@@ -2,9 +2,9 @@
 
 Texts become pieces in one pass; only the pieces' lengths go on. They are dealt by a hash of document and piece into
 groups of about ``GROUP`` pieces, so a hot source or a group of copies spreads evenly, and each group is packed by
-itself: best fit with the longest first, then a local search that moves a piece, or swaps one for one or two for one,
-between underfull bins whenever the sum of squared fills grows, until bins run empty. A group wastes less than one bin
-on average, against thousands it fills.
+itself: best fit with the longest first, then a local search that moves one or two pieces, or swaps them for one,
+between any two bins with room whenever the sum of squared fills grows, until no step helps. Short pieces leave less than
+a bin of waste to a group; where all are a quarter to a half of a sequence, some bins cannot be filled.
 
 Defined results: null text is empty and has the end id only; longer documents are cut into whole-size pieces and a
 rest; equal lengths are told apart by document and piece; repeated doc_ids are packed as they stand; an empty table
@@ -29,8 +29,6 @@ from tidemark.llm.tokens import encoder, public_path
 SIZE = 4096
 #: Pieces of one group, about: what one task packs at once.
 GROUP = 20_000
-#: Bins of a group that the local search starts from: the emptiest ones, where a bin can be saved.
-UNDERFULL = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
@@ -82,72 +80,86 @@ def best_fit(lengths: Sequence[int], size: int = SIZE) -> list[list[int]]:
 
 
 class _Search:
-    """Bins under local search. A step's gain is half the growth of the sum of squared fills, always positive, so the
-    search ends. It works on the emptiest bins; each of them is tried against the others until no step helps."""
+    """All bins with room under local search: a move of one or two pieces, or a swap of them for one, from a bin into one at
+    least as full. A step's gain is half the growth of the sum of squared fills, always positive, so the search ends.
+
+    What a bin can give, each piece and each sum of two, lies in one table sorted by length, so a bin looks only at what
+    would fill it further. A full bin neither gives nor takes and leaves the table."""
 
     def __init__(self, bins: list[list[int]], lengths: Sequence[int], size: int):
         self.bins, self.lengths, self.size = bins, lengths, size
-        self.fill = [sum(lengths[i] for i in b) for b in bins]
-
-    def _apply(self, a: int, b: int, given: Sequence[int], taken: Sequence[int]) -> None:
-        """Bin a gives some pieces to b and takes others."""
-        for i in given:
-            self.bins[a].remove(i)
-        for i in taken:
-            self.bins[b].remove(i)
-        self.bins[a] += taken
-        self.bins[b] += given
-        grown = sum(self.lengths[i] for i in given) - sum(self.lengths[i] for i in taken)
-        self.fill[a] -= grown
-        self.fill[b] += grown
-
-    def step(self, a: int, b: int) -> bool:
-        """The best move or swap that makes b, the fuller one, fuller at a's cost."""
-        room, lengths = self.size - self.fill[b], self.lengths
-        if not room or not self.bins[a]:
-            return False
-        best: tuple[int, Sequence[int], Sequence[int]] = (0, (), ())
-        mine = sorted(self.bins[a], key=lengths.__getitem__)
-        for i in mine:
-            if best[0] < lengths[i] <= room:
-                best = (lengths[i], (i,), ())
-        values = [lengths[i] for i in mine]
-        for k in self.bins[b]:
-            most = lengths[k] + room
-            at = bisect.bisect_right(values, most) - 1
-            if at >= 0 and values[at] - lengths[k] > best[0]:
-                best = (values[at] - lengths[k], (mine[at],), (k,))
-            low, high = 0, len(mine) - 1  # two of mine for k: the largest pair sum within the room
-            while low < high:
-                pair = values[low] + values[high]
-                if pair > most:
-                    high -= 1
-                    continue
-                if pair - lengths[k] > best[0]:
-                    best = (pair - lengths[k], (mine[low], mine[high]), (k,))
-                low += 1
-        if best[0] <= 0:
+        self.fill = np.asarray([sum(lengths[i] for i in b) for b in bins], np.int64)
+        offers = [self._offers(b) for b in np.flatnonzero(self.fill < size).tolist()]
+        self.value = np.concatenate([np.zeros(0, np.int64), *(v for v, _ in offers)])
+        self.owner = np.concatenate([np.zeros(0, np.int64), *(o for _, o in offers)])
+        by = np.argsort(self.value, kind="stable")
+        self.value, self.owner = self.value[by], self.owner[by]
+
+    def _offers(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """The different lengths that bin b can give."""
+        own = np.asarray([self.lengths[i] for i in self.bins[b]], np.int64)
+        x, y = np.triu_indices(len(own), 1)
+        values = np.unique(np.concatenate((own, own[x] + own[y])))
+        return values, np.full(len(values), b, np.int64)
+
+    def _taken(self, a: int, value: int) -> list[int]:
+        """One piece of bin a of this length, or else two."""
+        seen: dict[int, int] = {}
+        for i in self.bins[a]:
+            if self.lengths[i] == value:
+                return [i]
+        for i in self.bins[a]:
+            if value - self.lengths[i] in seen:
+                return [seen[value - self.lengths[i]], i]
+            seen[self.lengths[i]] = i
+        raise ValueError("no such pieces")
+
+    def step(self, b: int) -> bool:
+        """The best move or swap that makes b fuller at the cost of a bin that is no fuller."""
+        room, best = self.size - int(self.fill[b]), (0, 0, 0, None)
+        firsts: dict[int, int] = {self.lengths[k]: k for k in reversed(self.bins[b])}
+        for given, k in [(0, None), *firsts.items()]:
+            low, high = np.searchsorted(self.value, (given + best[0], given + room), "right")
+            if low < high:
+                owner = self.owner[low:high]
+                good = np.flatnonzero((self.fill[owner] <= self.fill[b]) & (owner != b))
+                if len(good):
+                    at = low + int(good[-1])
+                    best = (int(self.value[at]) - given, int(self.owner[at]), int(self.value[at]), k)
+                    if best[0] == room:
+                        break
+        gain, a, value, k = best
+        if not gain:
             return False
-        self._apply(a, b, best[1], best[2])
+        taken = self._taken(a, value)
+        self.bins[a] = [i for i in self.bins[a] if i not in taken] + ([] if k is None else [k])
+        self.bins[b] = [i for i in self.bins[b] if i != k] + taken
+        self.fill[a] -= gain
+        self.fill[b] += gain
+        stay = (self.owner != a) & (self.owner != b)
+        value, owner = self.value[stay], self.owner[stay]
+        fresh = [self._offers(c) for c in (a, b) if self.fill[c] < self.size]
+        new_value, new_owner = (np.concatenate(x) for x in zip(*fresh))
+        by = np.argsort(new_value, kind="stable")
+        at = np.searchsorted(value, new_value[by])
+        self.value, self.owner = np.insert(value, at, new_value[by]), np.insert(owner, at, new_owner[by])
         return True
 
-    def run(self, underfull: int) -> list[list[int]]:
-        open_bins = [b for b in range(len(self.bins)) if self.fill[b] < self.size]
-        open_bins = sorted(open_bins, key=self.fill.__getitem__)[:underfull]
+    def run(self, underfull: int | None = None) -> list[list[int]]:
+        """Passes over all bins with room, or only so many of the emptiest, the fullest first, until no step helps."""
         moved = True
         while moved:
             moved = False
-            open_bins = sorted((b for b in open_bins if self.bins[b]), key=lambda b: (self.fill[b], b))
-            for at, a in enumerate(open_bins):
-                for b in reversed(open_bins[at + 1:]):
-                    while self.bins[a] and self.fill[a] <= self.fill[b] and self.step(a, b):
-                        moved = True
+            takers = sorted(np.flatnonzero(self.fill < self.size).tolist(), key=lambda b: (-self.fill[b], b))
+            for b in takers[-underfull:] if underfull else takers:
+                while 0 < self.fill[b] < self.size and self.step(b):
+                    moved = True
         return [b for b in self.bins if b]
 
 
-def pack(lengths: Sequence[int], size: int = SIZE, underfull: int = UNDERFULL) -> list[list[int]]:
+def pack(lengths: Sequence[int], size: int = SIZE) -> list[list[int]]:
     """Bins of indexes: best fit, then local search."""
-    return _Search(best_fit(lengths, size), lengths, size).run(underfull)
+    return _Search(best_fit(lengths, size), lengths, size).run()
 
 
 def packed(docs: DataFrame, size: int = SIZE, end_id: int = 1, vocabulary: Callable[[], str] = public_path,
