@@ -11,7 +11,7 @@ from tidemark.llm.common import stored, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the fertility bands reject go."""
-    return quality_rules.kept(docs)
+    return quality_rules.kept(docs, labels=table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Licences, decontamination, rules, classifier, token files, packing, extraction and url filters on small fixtures."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -88,6 +89,29 @@ def test_rule_counts_match_brute_force(docs, rows, empty):
     assert Counter(r.doc_id for r in quality_rules.kept(docs).collect()) == Counter(r.doc_id for r in got if r.kept)
 
 
+PROSE = ("The committee met on Tuesday evening to discuss the new library building, which had been delayed for almost two years "
+         "because of a dispute over the cost of the roof. Several members said that they would rather repair the old hall, "
+         "while others argued that a growing town needs more room for children and for public lectures. In the end they "
+         "agreed to ask three local firms for detailed offers before the summer and to vote again in September. ")
+
+
+def test_ordinary_prose_is_kept(spark, docs):
+    """Without labels the bands take it; with labels they follow the clean documents, at any length."""
+    for lang in ("en", None, "xx"):
+        assert quality_rules.verdict(PROSE.encode(), lang)[6]
+    real = [(i, " ".join(random.Random(i).sample(PROSE.split(), 70)), "en") for i in range(40)]
+    real += [(90, PROSE, "en"), (92, " ".join(random.Random(92).choices(PROSE.split(), k=4000)), "en")]
+    assert quality_rules.verdict(real[-1][1].encode(), "en")[6]
+    junk = [(91, " ".join("".join(random.Random(i).choices("bcdfghjklmnpqrstvwxz", k=7)) for i in range(300)), "en")]
+    frame = spark.createDataFrame(real + junk, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_rules.judged(frame, labels=labels).collect()}
+    assert all(got[i].kept for i, *_ in real) and not got[91].kept and not got[91].base_failed
+    assert {r.doc_id for r in quality_rules.kept(frame, labels=labels).collect()} == {i for i, r in got.items() if r.kept}
+    wide = {"chars_per_piece": (2.2, 3.6, 0.3)}
+    assert quality_rules.inside((2.4, 0, 0, 1), 20000, wide) and not quality_rules.inside((2.6, 0, 0, 1), 20000, wide)
+
+
 def test_word_encoding_is_the_tokenizers(rows):
     from tokenizers import Tokenizer
 

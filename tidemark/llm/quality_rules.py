@@ -2,7 +2,8 @@
 
 Measured over the words of a text (characters other than ASCII white space): characters per token under two
 vocabularies, the share of tokens that fall back to single bytes, and the entropy of the tokens in bits over that of as
-many different ones, or 7 bits for long texts. Each language has bands; a text outside one of them is rejected. One pass, no shuffle.
+many different ones, or 7 bits for long texts. Each language has bands; a text outside one of them is rejected. One pass
+over texts; with labels the bands come from the clean documents among all rows, by an aggregate of the measures.
 
 Defined results: null text counts as empty and has no words, so it fails the base rule; unknown, null or odd languages
 use the band of ``None``; repeated rows are judged alike; the text's own columns are read and no others.
@@ -16,24 +17,30 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_texts, slices
+from tidemark.llm.common import byte_texts, slices, stored
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
-#: Bands per language: a centre and the slack of a one-word text, which narrows with the root of the word count; or,
-#: for what no centre is known, the lowest and highest value. Parameters; a caller may give others. ``None`` holds for
-#: every other language. Slack and limits leave room beyond what labelled prose shows.
-BANDS: dict[str | None, dict[str, tuple[float, float]]] = {
-    "en": {"chars_per_piece": (2.22, 3.6), "chars_per_byte_token": (2.24, 3.6), "fallback": (0, 0.05), "entropy": (0.79, 1)},
-    "de": {"chars_per_piece": (2.24, 3.2), "chars_per_byte_token": (2.04, 3.2), "fallback": (0, 0.05), "entropy": (0.80, 1)},
-    "fr": {"chars_per_piece": (1.98, 3.6), "chars_per_byte_token": (1.85, 3.6), "fallback": (0, 0.05), "entropy": (0.78, 1)},
-    "es": {"chars_per_piece": (1.94, 3.0), "chars_per_byte_token": (1.77, 3.2), "fallback": (0, 0.05), "entropy": (0.79, 1)},
+#: What a text in any of the four languages may give that no labelled documents speak for: ordinary prose has some four
+#: characters a token in English, less in other languages and in rare words.
+PROSE = {"chars_per_piece": (3.0, 3.6, 1.6), "chars_per_byte_token": (3.0, 3.6, 1.6), "fallback": (0, 0.05)}
+#: Bands per language: a centre, the slack of a one-word text, which narrows with the root of the word count, and the least
+#: slack, the spread between documents; or, for what no centre is known, the lowest and highest value. ``None`` holds for
+#: every other language. Centre and slacks are taken from labelled documents where there are any (``fitted``).
+BANDS: dict[str | None, dict[str, tuple[float, ...]]] = {
+    "en": PROSE | {"entropy": (0.79, 1)},
+    "de": PROSE | {"entropy": (0.80, 1)},
+    "fr": PROSE | {"entropy": (0.78, 1)},
+    "es": PROSE | {"entropy": (0.79, 1)},
     None: {"fallback": (0, 0.9), "entropy": (0.4, 1)},
 }
+#: Labelled documents from which a language's centre and spread are taken, at least; the share of them within the slacks;
+#: and the room beyond.
+LEAST_LABELLED, WITHIN, ROOM = 30, 0.99, 1.5
 MEASURES = ("chars_per_piece", "chars_per_byte_token", "fallback", "entropy")
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, kept boolean, chars_per_piece double, chars_per_byte_token double, fallback double, "
@@ -134,22 +141,69 @@ def fertility(words: list[bytes], chars: int) -> tuple[float, float, float, floa
             float(min(1.0, entropy / most)) if most else 1.0)
 
 
-def inside(measures: tuple[float, ...], n_words: int, band: Mapping[str, tuple[float, float]]) -> bool:
+def inside(measures: tuple[float, ...], n_words: int, band: Mapping[str, tuple[float, ...]]) -> bool:
     """Whether all measures lie in the language's bands."""
     for name, value in zip(MEASURES, measures):
         if name in band:
-            low, high = band[name]
+            low, high, *least = band[name]
             if name.startswith("chars"):
-                slack = high / max(1, n_words) ** 0.5
-                low, high = low - slack, low + 2 * slack
+                slack = max(high / max(1, n_words) ** 0.5, *least, 0)
+                low, high = low - slack, low + slack
             if not low <= value <= high:
                 return False
     return True
 
 
-def judged(docs: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float, float]]] = BANDS,
-           id_column: str = "doc_id", text_column: str = "text", lang_column: str | None = "lang") -> DataFrame:
-    """Per document: the base counts, base_failed, kept and the measures."""
+def fitted(measured: DataFrame, labels: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float, ...]]] = BANDS,
+           id_column: str = "doc_id", label_column: str = "quality") -> dict[str | None, dict[str, tuple[float, ...]]]:
+    """``bands`` with the characters per token of each language's labelled clean documents: the median, and slacks that hold
+    ``WITHIN`` of them with ``ROOM`` beyond. ``measured`` has the rows of ``judged`` and lang; one row per language returns."""
+    clean = labels.where(F.col(label_column) == 1).select(F.col(id_column).cast("long").alias("doc_id")).distinct()
+    rows = measured.where("not base_failed").join(clean, "doc_id")
+    chars = [m for m in MEASURES if m.startswith("chars")]
+    centres = rows.groupBy("lang").agg(F.count("*").alias("n"), *[F.percentile_approx(m, 0.5).alias(f"{m}_mid") for m in chars]
+                                       ).where(F.col("n") >= LEAST_LABELLED).withColumnRenamed("lang", "of")
+    off = {m: F.abs(F.col(m) - F.col(f"{m}_mid")) for m in chars}
+    spread = (rows.join(centres, F.col("lang").eqNullSafe(F.col("of"))).groupBy("lang").agg(*[x for m in chars for x in (
+        F.first(f"{m}_mid").alias(f"{m}_mid"), F.percentile_approx(off[m] * F.sqrt("n_words"), WITHIN).alias(f"{m}_word"),
+        F.percentile_approx(off[m], WITHIN).alias(f"{m}_least"))]))
+    return dict(bands) | {r["lang"]: dict(bands.get(r["lang"], bands[None])) | {
+        m: (r[f"{m}_mid"], ROOM * r[f"{m}_word"], ROOM * r[f"{m}_least"]) for m in chars}
+        for r in spread.collect() if r["lang"] is not None}
+
+
+def _fits(bands: Mapping[str | None, Mapping[str, tuple[float, ...]]]) -> Column:
+    """``inside`` as a column of measured rows."""
+    def of(band: Mapping[str, tuple[float, ...]]) -> Column:
+        out = F.lit(True)
+        for name in MEASURES:
+            if name in band:
+                low, high, *least = band[name]
+                if name.startswith("chars"):
+                    slack = F.greatest(F.lit(float(high)) / F.sqrt(F.greatest("n_words", F.lit(1))), F.lit(float(max([0, *least]))))
+                    out &= F.col(name).between(F.lit(float(low)) - slack, F.lit(float(low)) + slack)
+                else:
+                    out &= F.col(name).between(float(low), float(high))
+        return out
+
+    known = [lang for lang in bands if lang is not None]
+    return functools.reduce(lambda rest, lang: F.when(F.col("lang") == lang, of(bands[lang])).otherwise(rest), known, of(bands[None]))
+
+
+def _measured(docs: DataFrame, id_column: str, text_column: str, lang_column: str | None) -> DataFrame:
+    """Stored: the rows of ``judged`` with lang and the text's hash. Each text is measured once."""
+    lang = F.col(lang_column).cast("string") if lang_column else F.lit(None).cast("string")
+    inner = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), lang.alias("lang"),
+                        _text_hash(text_column).alias("text_hash"))
+    return stored(inner.mapInArrow(_rows(BANDS, ("lang", "text_hash")), SCHEMA + ", lang string, text_hash binary"), "measured")
+
+
+def _text_hash(text_column: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_column), F.lit(""))))
+
+
+def _rows(bands: Mapping, along: tuple[str, ...] = ()):
+    """The function from batches of doc_id, text, lang to judged rows, with other columns as they are."""
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     types = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 4
 
@@ -159,11 +213,24 @@ def judged(docs: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float,
                                                                batch.column("lang").to_pylist())]
             columns = list(zip(*rows)) if rows else [[]] * 11
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")] + [pa.array(c, t) for c, t in zip(columns, types[1:])], names=names)
+                [batch.column("doc_id")] + [pa.array(c, t) for c, t in zip(columns, types[1:])]
+                + [batch.column(c) for c in along], names=[*names, *along])
+
+    return run
+
 
+def judged(docs: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float, ...]]] = BANDS,
+           id_column: str = "doc_id", text_column: str = "text", lang_column: str | None = "lang",
+           labels: DataFrame | None = None) -> DataFrame:
+    """Per document: the base counts, base_failed, kept and the measures. With ``labels`` the bands are fitted to the
+    documents labelled clean."""
+    if labels is not None:
+        rows = _measured(docs, id_column, text_column, lang_column)
+        fits = ~F.col("base_failed") & _fits(fitted(rows, labels, bands))
+        return rows.withColumn("kept", fits).select([f.split()[0] for f in SCHEMA.split(", ")])
     lang = F.col(lang_column).cast("string") if lang_column else F.lit(None).cast("string")
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
-                       lang.alias("lang")).mapInArrow(run, SCHEMA)
+                       lang.alias("lang")).mapInArrow(_rows(bands), SCHEMA)
 
 
 def verdict(text: bytes, lang: str | None, bands: Mapping = BANDS) -> tuple:
@@ -175,9 +242,18 @@ def verdict(text: bytes, lang: str | None, bands: Mapping = BANDS) -> tuple:
     return (*counts, failed, good, *measures)
 
 
-def kept(docs: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float, float]]] = BANDS,
-         text_column: str = "text", lang_column: str = "lang") -> DataFrame:
-    """The rows that the rules keep, with all their columns."""
+def kept(docs: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float, ...]]] = BANDS,
+         text_column: str = "text", lang_column: str = "lang", labels: DataFrame | None = None,
+         id_column: str = "doc_id") -> DataFrame:
+    """The rows that the rules keep, with all their columns. With ``labels`` the bands are fitted first; texts are measured
+    once, and the rejected rows go by id, text and language."""
+    if labels is not None:
+        rows = _measured(docs, id_column, text_column, lang_column)
+        gone = rows.where(F.col("base_failed") | ~_fits(fitted(rows, labels, bands)))
+        gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), F.col("lang").alias("gone_lang"))
+        same = ((_text_hash(text_column) == F.col("gone_hash")) & F.col(id_column).cast("long").eqNullSafe(F.col("gone_id"))
+                & F.col(lang_column).cast("string").eqNullSafe(F.col("gone_lang")))
+        return docs.join(gone, same, "left_anti")
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.judged(table(spark, folder, "documents"))
+    return quality_rules.judged(table(spark, folder, "documents"), labels=table(spark, folder, "labels"))
 
 
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
