@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemark.llm import (decontamination, html_extraction, license_scan, packing, quality_classifier, quality_rules, queries,
@@ -108,6 +109,12 @@ def test_ordinary_prose_is_kept(spark, docs):
     got = {r.doc_id: r for r in quality_rules.judged(frame, labels=labels).collect()}
     assert all(got[i].kept for i, *_ in real) and not got[91].kept and not got[91].base_failed
     assert {r.doc_id for r in quality_rules.kept(frame, labels=labels).collect()} == {i for i, r in got.items() if r.kept}
+    named = frame.select("*", *[F.lit(i).alias(c) for i, c in enumerate(("row", "gone_id", "gone_hash", "gone_lang", "kept", "c0"))])
+    left = quality_rules.kept(named, labels=labels)
+    assert left.columns == named.columns and {r.doc_id for r in left.collect()} == {i for i, r in got.items() if r.kept}
+    few = quality_rules.fitted(quality_rules.judged(frame).join(frame.select("doc_id", "lang"), "doc_id"), labels.limit(1))["en"]
+    assert abs(few["chars_per_piece"][0] - 3.0) < 0.1 and few["chars_per_piece"][2] > 1.5
+    assert quality_rules.kept(frame.limit(0), labels=labels).count() == 0
     wide = {"chars_per_piece": (2.2, 3.6, 0.3)}
     assert quality_rules.inside((2.4, 0, 0, 1), 20000, wide) and not quality_rules.inside((2.6, 0, 0, 1), 20000, wide)
 
@@ -244,4 +251,4 @@ def test_url_rules_and_reputation(spark):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import (decontamination, html_extraction, license_scan, packing, quality_classifier, quality_rules,
-                          simhash, suffix_dedup, token_output, url_filter)
+from tidemark.llm import (conversation_repair, decontamination, hard_negatives, html_extraction, jaccard_join, license_scan,
+                          oracles, packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_output, url_filter)
 from tidemark.llm.common import table
 from tidemark.session import new_path
 
@@ -54,7 +55,23 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filtered(pages, url_filter.labelled_outcomes(pages, labels))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    seventh = F.col("vec_id") % 7 == 0
+    label = F.when(seventh, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.taking_part(table(spark, folder, "embeddings"), label=label)
+    return hard_negatives.mined(rows, F.col("id") % 100 == 0)
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.digests(conversation_repair.damaged(table(spark, folder, "conversations")))
+
+
+def op13_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_token_output, op3_html_extraction, op4_quality_classifier, op5_quality_rules,
-    op6_best_fit_packing, op7_benchmark_decontamination, op8_suffix_dedup, op9_license_scan, op10_url_filter)}
-ORACLES: dict[str, str] = {}
+    op6_best_fit_packing, op7_benchmark_decontamination, op8_suffix_dedup, op9_license_scan, op10_url_filter,
+    op11_hard_negatives, op12_conversation_repair, op13_jaccard_join)}
+ORACLES = oracles.ORACLES
