@@ -7,24 +7,19 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-#: Rounds are logarithmic in the longest path; this many would do for any number of rows.
-ROUNDS = 60
-
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` has a and b (long). Gives node, root: each linked node with the smallest node it reaches.
 
     A large-star step ties the larger neighbours of a node to the smallest of all, a small-star step the smaller ones;
-    when neither changes a table, all are stars around their smallest. Every round is written to the shared folder. A
+    when neither changes a table, all are stars around their smallest: rounds are logarithmic in the longest path. Every round is written to the shared folder. A
     hub's rows shrink to one a task before minima are shuffled, and the joins are plain ones that Spark splits.
     Links of a node with itself and null ends add nothing; repeated links count once."""
     u, v = F.col("u"), F.col("v")
     state = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                    "links")
     before = _mark(state)
-    for _ in range(ROUNDS):
-        if not before[0]:
-            break
+    while before[0]:
         both = state.union(state.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).distinct()

@@ -3,10 +3,12 @@
 Measured over the words of a text (characters other than ASCII white space): characters per token under two
 vocabularies, the share of tokens that fall back to single bytes, and the entropy of the tokens in bits over that of as
 many different ones, or 7 bits for long texts. Each language has bands; a text outside one of them is rejected. One pass
-over texts; with labels the bands come from the clean documents among all rows, by an aggregate of the measures.
+over texts; with labels the bands come from the clean documents among all rows, by an aggregate of the measures, shrunk
+towards the bands without labels by the number of labelled documents.
 
 Defined results: null text counts as empty and has no words, so it fails the base rule; unknown, null or odd languages
-use the band of ``None``; repeated rows are judged alike; the text's own columns are read and no others.
+use the band of ``None``; repeated rows are judged alike; the text's own columns are read and no others, and further
+columns may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import byte_texts, slices, stored
 
@@ -38,9 +41,11 @@ BANDS: dict[str | None, dict[str, tuple[float, ...]]] = {
     "es": PROSE | {"entropy": (0.79, 1)},
     None: {"fallback": (0, 0.9), "entropy": (0.4, 1)},
 }
-#: Labelled documents from which a language's centre and spread are taken, at least; the share of them within the slacks;
-#: and the room beyond.
-LEAST_LABELLED, WITHIN, ROOM = 30, 0.99, 1.5
+#: What shrinks the edges of labels towards: the bands above, or for another language one so wide that it holds any text.
+ANY = {"chars_per_piece": (3.0, 3.6, 30.0), "chars_per_byte_token": (3.0, 3.6, 30.0)}
+#: Labelled documents that weigh as much as the bands without labels; the share of them that fitted edges hold; and the
+#: room beyond, in parts of the way from the median to the edge.
+WEIGHT, WITHIN, ROOM = 30, 0.99, 0.5
 MEASURES = ("chars_per_piece", "chars_per_byte_token", "fallback", "entropy")
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, kept boolean, chars_per_piece double, chars_per_byte_token double, fallback double, "
@@ -156,20 +161,28 @@ def inside(measures: tuple[float, ...], n_words: int, band: Mapping[str, tuple[f
 
 def fitted(measured: DataFrame, labels: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float, ...]]] = BANDS,
            id_column: str = "doc_id", label_column: str = "quality") -> dict[str | None, dict[str, tuple[float, ...]]]:
-    """``bands`` with the characters per token of each language's labelled clean documents: the median, and slacks that hold
-    ``WITHIN`` of them with ``ROOM`` beyond. ``measured`` has the rows of ``judged`` and lang; one row per language returns."""
+    """``bands`` drawn to each language's labelled clean documents: median and slacks of characters per token, and where
+    they go further than the given ones, the most fallback and the least entropy. An edge is the mean of the given one, with ``WEIGHT``, and of the documents' own, with their
+    number. ``measured`` has doc_id, lang, n_words, base_failed and the measures; one row per language returns."""
     clean = labels.where(F.col(label_column) == 1).select(F.col(id_column).cast("long").alias("doc_id")).distinct()
-    rows = measured.where("not base_failed").join(clean, "doc_id")
+    rows = measured.where("not base_failed and lang is not null").join(clean, "doc_id")
     chars = [m for m in MEASURES if m.startswith("chars")]
-    centres = rows.groupBy("lang").agg(F.count("*").alias("n"), *[F.percentile_approx(m, 0.5).alias(f"{m}_mid") for m in chars]
-                                       ).where(F.col("n") >= LEAST_LABELLED).withColumnRenamed("lang", "of")
-    off = {m: F.abs(F.col(m) - F.col(f"{m}_mid")) for m in chars}
-    spread = (rows.join(centres, F.col("lang").eqNullSafe(F.col("of"))).groupBy("lang").agg(*[x for m in chars for x in (
-        F.first(f"{m}_mid").alias(f"{m}_mid"), F.percentile_approx(off[m] * F.sqrt("n_words"), WITHIN).alias(f"{m}_word"),
-        F.percentile_approx(off[m], WITHIN).alias(f"{m}_least"))]))
-    return dict(bands) | {r["lang"]: dict(bands.get(r["lang"], bands[None])) | {
-        m: (r[f"{m}_mid"], ROOM * r[f"{m}_word"], ROOM * r[f"{m}_least"]) for m in chars}
-        for r in spread.collect() if r["lang"] is not None}
+    centres = rows.groupBy("lang").agg(F.count("*").alias("n"), *[F.percentile_approx(m, 0.5).alias(f"{m}_mid") for m in MEASURES])
+    off = {m: F.abs(F.col(m) - F.col(f"{m}_mid")) for m in MEASURES}
+    edges = rows.join(centres, "lang").groupBy("lang").agg(
+        F.first("n").alias("n"), *[F.first(f"{m}_mid").alias(f"{m}_mid") for m in MEASURES],
+        *[F.percentile_approx(off[m] * F.sqrt("n_words"), WITHIN).alias(f"{m}_word") for m in chars],
+        *[F.percentile_approx(off[m], WITHIN).alias(f"{m}_off") for m in MEASURES])
+
+    def drawn(r) -> dict[str, tuple[float, ...]]:
+        given = (dict(bands[None]) | ANY) if r["lang"] not in bands else dict(bands[r["lang"]])
+        own = {m: (r[f"{m}_mid"], (1 + ROOM) * r[f"{m}_word"], (1 + ROOM) * r[f"{m}_off"]) for m in chars}
+        own["fallback"] = (0, max(given["fallback"][1], r["fallback_mid"] + (1 + ROOM) * r["fallback_off"]))
+        own["entropy"] = (min(given["entropy"][0], r["entropy_mid"] - (1 + ROOM) * r["entropy_off"]), 1)
+        share = r["n"] / (r["n"] + WEIGHT)
+        return {m: tuple(share * x + (1 - share) * y for x, y in zip(own[m], given[m])) for m in given}
+
+    return dict(bands) | {r["lang"]: drawn(r) for r in edges.collect()}
 
 
 def _fits(bands: Mapping[str | None, Mapping[str, tuple[float, ...]]]) -> Column:
@@ -190,16 +203,17 @@ def _fits(bands: Mapping[str | None, Mapping[str, tuple[float, ...]]]) -> Column
     return functools.reduce(lambda rest, lang: F.when(F.col("lang") == lang, of(bands[lang])).otherwise(rest), known, of(bands[None]))
 
 
-def _measured(docs: DataFrame, id_column: str, text_column: str, lang_column: str | None) -> DataFrame:
-    """Stored: the rows of ``judged`` with lang and the text's hash. Each text is measured once."""
+def _measured(docs: DataFrame, id_column: str, text_column: str, lang_column: str | None, along: bool = False) -> DataFrame:
+    """Stored: the rows of ``judged`` with lang, and with ``along`` the whole row as the struct ``row``. Each text is measured
+    once and none is shuffled."""
     lang = F.col(lang_column).cast("string") if lang_column else F.lit(None).cast("string")
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
     inner = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), lang.alias("lang"),
-                        _text_hash(text_column).alias("text_hash"))
-    return stored(inner.mapInArrow(_rows(BANDS, ("lang", "text_hash")), SCHEMA + ", lang string, text_hash binary"), "measured")
-
-
-def _text_hash(text_column: str) -> Column:
-    return F.unhex(F.md5(F.coalesce(F.col(text_column), F.lit(""))))
+                        *[row] * along)
+    schema = T.StructType.fromDDL(f"{SCHEMA}, lang string")
+    if along:
+        schema.add(inner.schema["row"])
+    return stored(inner.mapInArrow(_rows(BANDS, ("lang", "row") if along else ("lang",)), schema), "measured")
 
 
 def _rows(bands: Mapping, along: tuple[str, ...] = ()):
@@ -245,15 +259,12 @@ def verdict(text: bytes, lang: str | None, bands: Mapping = BANDS) -> tuple:
 def kept(docs: DataFrame, bands: Mapping[str | None, Mapping[str, tuple[float, ...]]] = BANDS,
          text_column: str = "text", lang_column: str = "lang", labels: DataFrame | None = None,
          id_column: str = "doc_id") -> DataFrame:
-    """The rows that the rules keep, with all their columns. With ``labels`` the bands are fitted first; texts are measured
-    once, and the rejected rows go by id, text and language."""
+    """The rows that the rules keep, with all their columns. With ``labels`` the rows are stored with their measures, the
+    bands are fitted to these, and the rows read again."""
     if labels is not None:
-        rows = _measured(docs, id_column, text_column, lang_column)
-        gone = rows.where(F.col("base_failed") | ~_fits(fitted(rows, labels, bands)))
-        gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), F.col("lang").alias("gone_lang"))
-        same = ((_text_hash(text_column) == F.col("gone_hash")) & F.col(id_column).cast("long").eqNullSafe(F.col("gone_id"))
-                & F.col(lang_column).cast("string").eqNullSafe(F.col("gone_lang")))
-        return docs.join(gone, same, "left_anti")
+        rows = _measured(docs, id_column, text_column, lang_column, along=True)
+        good = rows.where(~F.col("base_failed") & _fits(fitted(rows, labels, bands)))
+        return good.select([F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,14 +19,12 @@ ones are one node, formed by an aggregate that combines before the shuffle.
 Defined results: null, empty or blank texts have fingerprint zero and are linked like any other; fewer words than a
 shingle are one shingle; rows without an id are linked like any other, and a group of such rows alone has a null
 component; ``deduplicated`` keeps one row of each group, that of the smallest id (of texts that share it, one; rows with an
-id before rows without), also of rows that repeat each other; an id with several texts stands for several documents; an
-empty table gives no rows; extra columns pass through ``deduplicated`` and are ignored elsewhere.
+id before rows without), also of rows that repeat each other; an id with several texts stands for several documents there,
+for one in ``classes``; an empty table gives no rows; extra columns pass through ``deduplicated`` and are ignored elsewhere.
 """
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -39,12 +37,6 @@ from tidemark.llm.common import UNNAMED, byte_texts, key_of, partitions, slices,
 from tidemark.llm.components import components
 
 SEED, WIDTH, BITS, SHARED = 42, 4, 4, 2
-#: Fingerprints of a text's different shingles that near copies are searched by.
-TABLES = 6
-#: Bits of a bucket's key in the search for near copies, and the least share of pairs at the limit that meet in a bucket.
-KEY_BITS, RECALL = 18, 0.995
-#: Share of pairs at the limit that may differ by more bits than are searched.
-MISS = 0.001
 FAN = 8
 #: Fingerprints of a cell at most, about.
 CELL = 4096
@@ -89,41 +81,23 @@ def majority(values: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(values), bitorder="little").view("<i8")[0])
 
 
-def set_fingerprints(words: list[bytes], width: int, tables: int) -> list[int]:
-    """Fingerprints of a text's different shingles, one for each of several unrelated hash functions."""
-    values = np.unique(hashes(words, width))
-    out = []
-    for n in range(tables):
-        mixed = values + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
-        mixed ^= mixed >> np.uint64(30)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(27)
-        out.append(majority(mixed))
-    return out
-
-
 def _text_hash(text_column: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text_column), F.lit(""))))
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH, tables: int | None = None, id_column: str = "doc_id",
-                 text_column: str = "text") -> DataFrame:
-    """doc_id, fps (signed longs) and text_hash per document: the fingerprint of its shingles, or with ``tables`` so
-    many of its different shingles."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, fp (signed long) and text_hash per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
-            fps = []
-            for text in byte_texts(batch, "text"):
-                words = text.lower().split()
-                fps.append(set_fingerprints(words, width, tables) if tables else [majority(hashes(words, width))])
+            fps = [majority(hashes(text.lower().split(), width)) for text in byte_texts(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps, pa.list_(pa.int64())), batch.column("text_hash")],
-                names=["doc_id", "fps", "text_hash"])
+                [batch.column("doc_id"), pa.array(fps, pa.int64()), batch.column("text_hash")],
+                names=["doc_id", "fp", "text_hash"])
 
     text = F.coalesce(F.col(text_column), F.lit(""))
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"),
                        _text_hash(text_column).alias("text_hash")
-                       ).mapInArrow(run, "doc_id long, fps array<long>, text_hash binary")
+                       ).mapInArrow(run, "doc_id long, fp long, text_hash binary")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -215,27 +189,6 @@ class GrayIndex:
         a, b, d = (np.concatenate(x) for x in zip(*found))
         return self.order[a], self.order[b], d
 
-    def between(self, bits: int, roots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Blocks of all pairs (positions) within ``bits`` differences whose members have different roots."""
-        self.label = np.unique(roots, return_inverse=True)[1][self.order]
-        for a, b, _ in self._near(bits):
-            apart = self.label[a] != self.label[b]
-            yield self.order[a[apart]], self.order[b[apart]]
-
-    def hubs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each member of a class of three or more with the member nearest to the class's majority bits (positions)."""
-        by = np.argsort(self.label, kind="stable")
-        label, codes = self.label[by], self.ones[0][by]
-        starts = np.flatnonzero(np.concatenate(([True], label[1:] != label[:-1])))
-        sizes = np.diff(np.append(starts, len(by)))
-        bits = np.unpackbits(codes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
-        major = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
-        nearest = np.lexsort((np.bitwise_count(codes ^ np.repeat(major, sizes)), label))[starts]
-        a, b = self.order[by], self.order[by[np.repeat(nearest, sizes)]]
-        some = (np.repeat(sizes, sizes) > 2) & (a != b)
-        return a[some], b[some]
-
     def _opened(self, level: int, a: np.ndarray, b: np.ndarray, sofar: np.ndarray, fixed: np.ndarray, bits: int):
         """The child pairs of node pairs that stay within the limit, with their accumulated differences."""
         first, ones, mask = self.first[level - 1], self.ones[level - 1], self.mask[level - 1]
@@ -258,55 +211,10 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def differing(similarity: float) -> float:
-    """The chance that a bit differs between the fingerprints of two sets of this Jaccard similarity, at most: the angle
-    between sets of one size, which is the widest there is at a given similarity, over pi."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def within(similarity: float, bits: int, miss: float) -> int:
-    """Differences that all but a share ``miss`` of the pairs at this similarity stay within."""
-    p, left = differing(similarity), 1.0
-    for limit in range(bits):
-        left -= math.comb(bits, limit) * p ** limit * (1 - p) ** (bits - limit)
-        if left <= miss:
-            return limit
-    return bits
-
-
-def sampled_keys(similarity: float, tables: int = TABLES, recall: float = RECALL) -> list[tuple[int, list[int]]]:
-    """Per key the table whose fingerprint is compared in its buckets, and the bits of the others that make the key: as
-    many keys as let a pair at this similarity agree in one of them with the chance ``recall``."""
-    agree = (1 - differing(similarity)) ** KEY_BITS
-    rng = random.Random(SEED)
-    n_keys = max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree))) if agree < 1 else 1
-    return [(n % tables, rng.sample([at for at in range(64 * tables) if at // 64 != n % tables], KEY_BITS))
-            for n in range(n_keys)]
-
-
-def routed_by_samples(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Rows fp, node, bucket for nodes with ``fps``: one for each key. A column ``root`` goes along."""
-    others = [c for c in nodes.columns if c != "fps"]
-    keys = sampled_keys(similarity)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(KEY_BITS, dtype=np.int64)
-        for batch in slices(batches, 1000):
-            fps = batch.column("fps").flatten().to_numpy().reshape(batch.num_rows, -1)
-            bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
-            bucket = [n << KEY_BITS | bits[:, at] @ weights for n, (_, at) in enumerate(keys)]
-            fp = [fps[:, table] for table, _ in keys]
-            along = [np.tile(batch.column(c).to_numpy(), len(keys)) for c in others]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(fp), np.concatenate(bucket), *along)],
-                                             names=["fp", "bucket", *others])
-
-    return nodes.mapInArrow(run, ", ".join(f"{c} long" for c in ("fp", "bucket", *others)))
-
-
 def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tuple[int, ...] | None = None,
           cell: int = CELL) -> DataFrame:
-    """``nodes`` has fp and node (long), each fp once. Gives a, b, hub: links that hold together, bucket by bucket, all that
-    lie within ``bits`` of each other. ``passes`` are limits searched one after the other, so that links of few differences
+    """``nodes`` has fp and node (long), each fp once. Gives a, b: links that hold together, bucket by bucket, all that lie
+    within ``bits`` of each other. ``passes`` are limits searched one after the other, so that links of few differences
     come first (default: all at once)."""
     limits = passes or (bits,)
     n_blocks = bits + shared
@@ -317,11 +225,8 @@ def links(nodes: DataFrame, bits: int = BITS, shared: int = SHARED, passes: tupl
     return _held_together(nodes.select("fp", "node", F.explode(keys).alias("bucket")), limits, cell)
 
 
-def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int, hubs: bool = False) -> DataFrame:
-    """Links (a, b, hub) within each bucket of rows fp, node, bucket. ``hubs`` adds rows (hub true) from each member of a
-    group to its hub, at any distance: one more for each member and cell. Rows with a column ``root`` give all pairs within
-    the last limit whose roots differ instead."""
-    rooted = "root" in routed.columns
+def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int) -> DataFrame:
+    """Links (a, b) within each bucket of rows fp, node, bucket."""
     # equal hashes of different buckets would only put more fingerprints into one cell
     heavy = routed.groupBy("bucket").count().where(F.col("count") > cell).select(
         "bucket", F.ceil(F.col("count") / cell).cast("int").alias("chunks"))
@@ -341,20 +246,9 @@ def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int, hubs:
         cells, fp, node = cells[many], fp[many], node[many]
         if len(fp):
             index = GrayIndex(cells, fp.view(np.uint64))
-            if rooted:
-                for a, b in index.between(limits[-1], table.column("root").to_numpy()[many]):
-                    yield linked(node[a], node[b], np.zeros(len(a), bool))
-                return
             got = [index.forest(limit) for limit in limits]
-            if hubs:
-                got.append(index.hubs())
-            a, b = (np.concatenate([g[i] for g in got]) for i in range(2))
-            to_hub = np.repeat(np.arange(len(got)) == len(limits), [len(g[0]) for g in got])
-            yield linked(node[a], node[b], to_hub)
-
-    def linked(x: np.ndarray, y: np.ndarray, hub: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y)), pa.array(hub)],
-                                          names=["a", "b", "hub"])
+            a, b = (node[np.concatenate([g[i] for g in got])] for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -374,14 +268,13 @@ def _held_together(routed: DataFrame, limits: tuple[int, ...], cell: int, hubs:
         if rows:
             yield from search(pa.Table.from_batches(held).combine_chunks())
 
-    return dealt.mapInArrow(run, "a long, b long, hub boolean")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def classes(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int = SHARED, id_column: str = "doc_id",
             text_column: str = "text") -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id it is linked to)."""
-    known = stored(fingerprints(docs, width, None, id_column, text_column).select("doc_id", F.col("fps")[0].alias("fp")),
-                   "fingerprints")
+    known = stored(fingerprints(docs, width, id_column, text_column).select("doc_id", "fp"), "fingerprints")
     least = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = stored(least.select("fp", key_of(F.col("least"), F.col("fp")).alias("node"), F.col("least").isNull().alias("unnamed")),
                    "nodes")
@@ -393,113 +286,28 @@ def classes(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int =
                                           "component_id")
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, tables: int = TABLES,
-                id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, text_hash, least, own of every row: shingles of ``width`` words, Jaccard ``similarity``. ``own`` tells
-    whether the row's text is the one of its group that stays, ``least`` is the text's smallest id.
-
-    Candidates come from fingerprints of the different shingles that the check itself compares: the bits that differ then
-    follow from the similarity alone, whether words are changed here and there or a passage is added, cut or replaced. At
-    0.8 that is a bit in seven, more than blocks of one fingerprint can bridge, so buckets are made by samples of bits from
-    several fingerprints, as many as ``RECALL`` takes, and compared in another one, links of fewest differences first.
-    Every link is then checked exactly on the texts' shingles. Equal texts are one node from the start, and so are texts
-    with equal fingerprints in all tables.
-
-    Edited copies of one text may lie closer to each other by chance than to that text, though they are less alike. Where
-    the links of a dense group fail the check, its members are therefore tried against the hub of each of their buckets.
-    Links that fail also leave pairs unasked that the forests took for joined, and so do texts of equal fingerprints, of
-    which one is searched for all. Where a link failed, the texts that had links are therefore dealt once more, each with
-    its own fingerprints, and every pair within the limit whose ends are still apart and that was not asked is checked."""
-    known = stored(fingerprints(docs, width, tables, id_column, text_column), "fingerprints")
-    each_text = stored(known.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "texts")
-    # of several texts with one id, one has the id as its number
-    bearer = (each_text.where("least is not null").groupBy("least").agg(F.min("text_hash").alias("text_hash"))
-              .select("text_hash", F.lit(True).alias("bears")))
-    number = key_of(F.when(F.col("bears"), F.col("least")), F.col("text_hash"))
-    texts = stored(each_text.join(bearer, "text_hash", "left").select("text_hash", "least", number.alias("doc_id"), "fps"),
-                   "numbered")
-    nodes = stored(texts.groupBy("fps").agg(F.min("doc_id").alias("node")), "nodes")
-    same = texts.join(nodes, "fps").where(F.col("doc_id") != F.col("node")).select(
-        F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    limit = within(similarity, 64, MISS)
-    close = _held_together(routed_by_samples(nodes, similarity), (limit // 2, limit), CELL, hubs=True).where("a <> b")
-    found = stored(close.union(same.withColumn("hub", F.lit(False))).groupBy("a", "b").agg(F.min("hub").alias("hub")), "asked")
-    asked = found.where("not hub").select("a", "b")
-    ends = asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct()
-    ends = ends.join(texts.select("doc_id", "text_hash", key_of(F.col("least"), F.col("text_hash")).alias("key")), "doc_id")
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 200):
-            sets = [np.unique(hashes(t.lower().split(), width)).tobytes() for t in byte_texts(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
-                                             names=["doc_id", "shingles"])
-
-    text_hash = _text_hash(text_column)
-    chosen = docs.select(key_of(F.col(id_column), text_hash).alias("key"), text_hash.alias("text_hash"),
-                         F.col(text_column).alias("text")
-                         ).join(ends, ["key", "text_hash"]).select("doc_id", "text")
-    sets = stored(chosen.mapInArrow(shingled, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "shingles")
-
-    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 500):
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        pairs = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-                 .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
-        return pairs.select("a", "b", "x", "y").mapInArrow(checked, "a long, b long")
-
-    tied = components(alike(asked))
-    to_hub = found.where("hub")
-    for end in ("a", "b"):
-        to_hub = to_hub.join(tied.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    more = stored(alike(stored(to_hub.where(apart).select("a", "b"), "to-hubs")), "hub-links")
-    if not more.isEmpty():
-        tied = components(tied.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
-    tied = stored(tied, "tied")
-    root = F.coalesce("root", "doc_id").alias("root")
-    rooted = stored(ends.select("doc_id").join(tied, F.col("doc_id") == F.col("node"), "left").select("doc_id", root), "rooted")
-    failed = asked
-    for end in ("a", "b"):
-        failed = failed.join(rooted.select(F.col("doc_id").alias(end), F.col("root").alias(f"root_{end}")), end)
-    if not failed.where("root_a <> root_b").isEmpty():
-        left = texts.join(rooted, "doc_id").select(F.col("doc_id").alias("node"), "fps", "root")
-        open_pairs = (_held_together(routed_by_samples(left, similarity), (limit,), CELL).select("a", "b").distinct()
-                      .join(found.select("a", "b"), ["a", "b"], "left_anti"))
-        for end in ("a", "b"):
-            open_pairs = open_pairs.join(left.select(F.col("node").alias(end), F.col("fps").alias(f"fps_{end}")), end)
-        differ = F.aggregate(F.zip_with("fps_a", "fps_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-        open_pairs = open_pairs.where(differ <= within(similarity, 64 * tables, MISS)).select("a", "b")
-        more = stored(alike(stored(open_pairs, "open")), "open-links")
-        if not more.isEmpty():
-            tied = components(tied.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
-    members = tied.union(tied.select("root", "root").distinct())  # roots are not listed as nodes
-    linked = texts.join(members, texts.doc_id == members.node).select("root", "text_hash", "least")
-    kept = linked.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "text_hash"))["text_hash"].alias("kept"))
-    others = linked.join(kept, "root").where("text_hash <> kept").select("text_hash", F.lit(False).alias("own"))
-    named = texts.select("text_hash", "least").join(others, "text_hash", "left")
-    return known.select("doc_id", "text_hash").join(named, "text_hash").select(
-        "doc_id", "text_hash", "least", F.coalesce("own", F.lit(True)).alias("own"))
-
-
-def deduplicated(docs: DataFrame, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One document of each group of near copies, the one of the smallest id, with all its columns; the others go."""
-    rows = near_copies(docs, similarity, id_column=id_column, text_column=text_column)
-    stays = F.col("own") & F.col("doc_id").eqNullSafe(F.col("least"))
-    counted = stored(rows.groupBy(key_of(F.col("doc_id"), F.col("text_hash")).alias("key"), "text_hash")
-                     .agg(F.max(stays).alias("stays"), F.count("*").alias("n")), "counted")
-    row, key = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]), ["key", "text_hash"]
-    text_hash = _text_hash(text_column)
+def deduplicated(docs: DataFrame, width: int = WIDTH, bits: int = BITS, shared: int = SHARED, id_column: str = "doc_id",
+                 text_column: str = "text") -> DataFrame:
+    """One document of each class, the one of the smallest id, with all its columns; the others go. Texts are shuffled once,
+    to meet the keys of the rows that stay."""
+    known = stored(fingerprints(docs, width, id_column, text_column), "fingerprints")
+    least = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    # of several fingerprints with one id, one has the id as its number
+    bearer = least.where("least is not null").groupBy("least").agg(F.min("fp").alias("fp")).select("fp", F.lit(True).alias("bears"))
+    nodes = stored(least.join(bearer, "fp", "left").select(
+        "fp", key_of(F.when(F.col("bears"), F.col("least")), F.col("fp")).alias("node")), "nodes")
+    tied = components(links(nodes, bits, shared))
+    rooted = nodes.join(tied, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
+    text_hash, key = _text_hash(text_column), ["key", "text_hash"]
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    stays = known.join(rooted, "fp").groupBy("root").agg(first).select("first.doc_id", "first.text_hash")
+    stays = stays.select(key_of(F.col("doc_id"), F.col("text_hash")).alias("key"), "text_hash")
+    rows = known.groupBy(key_of(F.col("doc_id"), F.col("text_hash")).alias("key"), "text_hash").agg(F.count("*").alias("n"))
+    stays = stored(rows.join(stays, key), "stays")
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     keyed = docs.select(row.alias("row"), key_of(F.col(id_column), text_hash).alias("key"), text_hash.alias("text_hash"))
-    left = keyed.join(counted.where("not stays"), key, "left_anti")
-    again = counted.where("stays and n > 1")
+    left = keyed.join(stays.where("n = 1"), key, "left_semi")
+    again = stays.where("n > 1")
     if not again.isEmpty():  # rows that repeat each other
-        once = keyed.join(again, key, "left_semi").dropDuplicates(key)
-        left = left.join(again, key, "left_anti").union(once)
+        left = left.union(keyed.join(again, key, "left_semi").dropDuplicates(key))
     return left.select([F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
