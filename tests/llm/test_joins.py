@@ -318,9 +318,14 @@ def test_bitmaps_bound_from_above():
     rng = np.random.default_rng(2)
     for _ in range(300):
         pool = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
-        x, y = (np.unique(rng.choice(pool, rng.integers(1, 380))) for _ in range(2))
+        x = np.unique(rng.choice(pool, rng.integers(1, 380)))
+        y = np.union1d(rng.choice(x, rng.integers(1, len(x) + 1), replace=False), rng.choice(pool, rng.integers(1, 1 + len(x) // 5 + 1)))
+        if 5 * len(x) < 4 * len(y) or 5 * len(y) < 4 * len(x):
+            continue
         both = len(np.intersect1d(x, y))
-        differ = np.bitwise_count(jaccard_join.bitmap(x) ^ jaccard_join.bitmap(y)).sum(dtype=np.int64)
-        assert 2 * both <= len(x) + len(y) - differ
+        maps = jaccard_join.Bitmaps([jaccard_join.bitmap(s, jaccard_join.words_for(len(s))).tobytes() for s in (x, y)])
+        differ = maps.differing(np.array([0, 1]), np.array([1, 0]))
+        assert differ[0] == differ[1] and 2 * both <= len(x) + len(y) - differ[0]
         if 5 * both >= 4 * (len(x) + len(y) - both):
-            assert jaccard_join.bound_passes(len(x), len(y), differ)
+            assert jaccard_join.bound_passes(len(x), len(y), differ[0])
+    assert [jaccard_join.words_for(n) for n in (1, 64, 65, 128, 129, 5000)] == [1, 1, 2, 2, 4, 128]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
-        state = stored(small, "links")
+        old, state = state, stored(small, "links")
+        discard(old)
         now = _mark(state)
         if now == before:
             break
