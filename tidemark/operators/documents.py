@@ -9,14 +9,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.staging import landed
 from tidemark.functions.text import strip
-from tidemark.operators.ranking import keep_first, top_per_group
+from tidemark.operators.ranking import first_of_each_text, keep_first, top_per_group
 
 # Chunk sizes and the separators tried in order; the empty one cuts between characters.
 CHUNK_SIZE, CHUNK_OVERLAP = 1500, 500
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
-BLOCK_ROWS = 4096
+#: Rows of a block; pivots of a larger table of items, and rings around each.
+BLOCK_ROWS, PIVOTS, RINGS = 4096, 256, 64
 
 
 def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[tuple[str, bool]]:
@@ -83,15 +85,23 @@ def chunks(documents: DataFrame, key: str, text: str = "text", size: int = CHUNK
 
 
 def _closest(queries: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query: the k nearest rows of one block by (distance, id)."""
-    for q, vector in enumerate(queries):
-        distance = np.sqrt(((items - vector) ** 2).sum(axis=1))
-        if len(distance) > k:  # everything within the k-th distance, so that ties are settled by id
-            near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
-        else:
-            near = np.arange(len(distance))
-        order = near[np.lexsort((ids[near], distance[near]))][:k]
-        yield q, order, distance[order]
+    """Per query: the k nearest rows of one block by (distance, id).
+
+    Products of whole blocks say which rows may be among them, up to their rounding; those are measured exactly.
+    """
+    sizes = (items ** 2).sum(axis=1)
+    for at in range(0, len(queries), 256):
+        part = queries[at:at + 256]
+        rough = sizes - 2 * (part @ items.T)  # squared distance less the query's own square
+        slack = 1e-9 * (sizes.max(initial=0) + (part ** 2).sum(axis=1)) + 1e-300
+        for row, vector in enumerate(part):
+            if len(items) > k:  # everything within the k-th distance, so that ties are settled by id
+                near = np.flatnonzero(rough[row] <= np.partition(rough[row], k - 1)[k - 1] + slack[row])
+            else:
+                near = np.arange(len(items))
+            distance = np.sqrt(((items[near] - vector) ** 2).sum(axis=1))
+            order = np.lexsort((ids[near], distance))[:k]
+            yield at + row, near[order], distance[order]
 
 
 def _hits(query_ids, queries, item_ids, items, k) -> pd.DataFrame:
@@ -135,13 +145,146 @@ def _nearest_in_blocks(queries: DataFrame, items: DataFrame, k: int) -> DataFram
     return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(search, _HIT)
 
 
-def nearest(queries: DataFrame, items: DataFrame, k: int = 8) -> DataFrame:
+class Rings:
+    """Items around pivots: every item belongs to its nearest pivot, and to a ring of those about as far away. By the
+    triangle inequality an item of a ring with distances from ``low`` to ``high`` lies at least as far from a query as the
+    query's own distance to the pivot lies outside these; a ring beyond the k-th hit is never opened.
+
+    At most ``PIVOTS`` pivots and ``RINGS`` rings of each, whatever the table; a ring of more rows is cut by hash."""
+
+    def __init__(self, pivots: np.ndarray, edges: dict[int, np.ndarray] | None = None):
+        self.pivots, self.edges = pivots, edges or {}
+        self.squares = (pivots ** 2).sum(axis=1)
+        self.cell = self.low = self.high = self.rows = self.parts = np.zeros(0)
+
+    def distances(self, vectors: np.ndarray) -> np.ndarray:
+        square = (vectors ** 2).sum(axis=1)[:, None] + self.squares - 2 * (vectors @ self.pivots.T)
+        return np.sqrt(np.maximum(square, 0))
+
+    def nearest_pivot(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cell = self.distances(vectors).argmin(axis=1)
+        return cell, np.sqrt(((vectors - self.pivots[cell]) ** 2).sum(axis=1))
+
+    def ring(self, cell: np.ndarray, away: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(cell), np.int64)
+        for c in np.unique(cell).tolist():
+            mine = cell == c
+            out[mine] = np.searchsorted(self.edges[c], away[mine], "left")
+        return out
+
+    def measured(self, rows: list, block_rows: int) -> None:
+        """Takes in what each ring holds: rows (cell, ring, n, low, high)."""
+        self.place = {(r[0], r[1]): i for i, r in enumerate(rows)}
+        self.keys = np.array([(r[0], r[1]) for r in rows])
+        self.cell, self.rows, self.low, self.high = (np.array([r[i] for r in rows]) for i in (0, 2, 3, 4))
+        self.parts = -(-self.rows // block_rows)
+
+    def bounds(self, vectors: np.ndarray) -> np.ndarray:
+        """The least distance of each query to anything in each ring, less what products may be off."""
+        away = self.distances(vectors)[:, self.cell]
+        slack = 1e-6 * (np.sqrt((vectors ** 2).sum(axis=1))[:, None] + np.sqrt(self.squares)[self.cell]) + 1e-12
+        return np.maximum(np.maximum(away - self.high, self.low - away) - slack, 0)
+
+    def first(self, bounds: np.ndarray, k: int) -> np.ndarray:
+        """For each query the nearest rings that hold k items together, as a mask."""
+        order = np.argsort(bounds, axis=1, kind="stable")
+        held = np.cumsum(self.rows[order], axis=1) - self.rows[order]
+        mask = np.zeros(bounds.shape, bool)
+        np.put_along_axis(mask, order, held < k, axis=1)
+        return mask
+
+
+def _ringed(items: DataFrame, k_rows: int, n: int) -> tuple[Rings, DataFrame]:
+    """The rings of a table of items, and the items with their cell, ring and part."""
+    pivots = items.orderBy(F.xxhash64("item_id"), "item_id").limit(min(PIVOTS, -(-n // k_rows))).select("vector").toPandas()
+    rings = Rings(_matrix(pivots["vector"]))
+
+    def to_pivots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                cell, away = rings.nearest_pivot(_matrix(pdf["vector"]))
+                yield pdf.assign(cell=cell, away=away)
+
+    placed = landed(items.select("item_id", "vector").mapInPandas(
+        to_pivots, items.select("item_id", "vector").schema.simpleString()[7:-1] + ", cell bigint, away double"), "placed")
+    shares = [i / RINGS for i in range(1, RINGS)]
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("away", shares).alias("at")).collect()
+    for r in cells:  # a row for each pivot
+        step = max(1, RINGS * k_rows // r["n"])
+        rings.edges[r["cell"]] = np.unique(r["at"][step - 1::step]) if r["n"] > k_rows else np.zeros(0)
+
+    def to_rings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(ring=rings.ring(pdf["cell"].to_numpy(), pdf["away"].to_numpy()))
+
+    kind = placed.schema.simpleString()[7:-1]
+    ringed = placed.mapInPandas(to_rings, kind + ", ring bigint")
+    rows = ringed.groupBy("cell", "ring").agg(F.count(F.lit(1)), F.min("away"), F.max("away")).collect()  # bounded, see Rings
+    rings.measured([tuple(r) for r in rows], k_rows)
+    return rings, ringed
+
+
+def _meet(asked: DataFrame, items: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Hits of queries (query_id, vector, cell, ring, parts) in the rings they ask for. A ring's rows and its queries are
+    both cut into parts of bounded size."""
+    ring = ["cell", "ring"]
+    sizes = asked.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("groups"),
+                                     F.first("parts").alias("parts"))
+    left = (asked.join(sizes.select(*ring, "groups"), ring)
+            .withColumn("group", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1))))
+    right = (items.join(sizes, ring).withColumn("part", F.pmod(F.xxhash64("item_id"), F.col("parts")).cast("int"))
+             .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))))
+    keys = [*ring, "part", "group"]
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return _hits(np.array([]), np.empty((0, 0)), np.array([]), np.empty((0, 0)), k)
+        return _hits(left["query_id"].to_numpy(), _matrix(left["vector"]),
+                     right["item_id"].to_numpy(), _matrix(right["vector"]), k)
+
+    return left.select(*keys, "query_id", "vector").groupBy(*keys).cogroup(
+        right.select(*keys, "item_id", "vector").groupBy(*keys)).applyInPandas(search, _HIT)
+
+
+def _visits(rings: Rings, k: int, later: bool):
+    """Queries with each ring they ask for: the first ones, or with a column ``limit`` all others within it."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 512):
+                part = pdf.iloc[at:at + 512]
+                bounds = rings.bounds(_matrix(part["vector"]))
+                mask = rings.first(bounds, k)
+                if later:
+                    limit = part["limit"].fillna(np.inf).to_numpy()
+                    mask = ~mask & (bounds <= limit[:, None])
+                query, ring = np.nonzero(mask)
+                yield pd.DataFrame({"query_id": part["query_id"].to_numpy()[query], "vector": part["vector"].to_numpy()[query],
+                                    "cell": rings.keys[ring, 0], "ring": rings.keys[ring, 1], "parts": rings.parts[ring]})
+
+    return run
+
+
+def nearest_by_pivots(queries: DataFrame, items: DataFrame, k: int, n: int, block_rows: int) -> DataFrame:
+    """Hits (some more than k a query) in two rounds: the rings nearest to each query that hold k items, whose k-th hit is the
+    limit; then every other ring that may hold something within the limit."""
+    rings, ringed = _ringed(items, block_rows, n)
+    kind = queries.select("query_id", "vector").schema.simpleString()[7:-1] + ", cell bigint, ring bigint, parts bigint"
+    early = landed(_meet(queries.select("query_id", "vector").mapInPandas(_visits(rings, k, False), kind), ringed, k, block_rows), "hits")
+    limit = early.groupBy("query_id").agg(F.try_element_at(F.sort_array(F.collect_list("distance")), F.lit(k)).alias("limit"))
+    late = queries.select("query_id", "vector").join(limit, "query_id", "left").mapInPandas(_visits(rings, k, True), kind)
+    return early.union(_meet(late, ringed, k, block_rows))
+
+
+def nearest(queries: DataFrame, items: DataFrame, k: int = 8, block_rows: int | None = None) -> DataFrame:
     """The k nearest items of every query by Euclidean distance, exact, ties by item id.
 
-    queries(query_id, vector), items(item_id, vector). Blocks of queries meet blocks of items; a meeting hands on at
-    most k items per query.
+    queries(query_id, vector), items(item_id, vector). A table of at most ``block_rows`` items (``BLOCK_ROWS``) is one block;
+    of a larger one each query opens only the rings that may hold a hit.
     """
-    hits = _nearest_in_blocks(queries, items, k)
+    n, block_rows = items.count(), block_rows or BLOCK_ROWS
+    hits = _nearest_in_blocks(queries, items, k) if n <= block_rows else nearest_by_pivots(
+        queries, items, k, n, max(block_rows, -(-n // (PIVOTS * RINGS))))
     return top_per_group(hits, ["query_id"], "distance", k, ["item_id"], descending=False)
 
 
@@ -168,7 +311,7 @@ def new_chunks(incoming: DataFrame, existing: DataFrame, text: str = "text") ->
     keyed = incoming.withColumn("digest", F.md5(text))
     known = existing.select(F.md5(text).alias("digest"))
     first = [c for c in incoming.columns if c != text]
-    return keep_first(keyed.join(known, "digest", "left_anti"), ["digest"], first).select(*incoming.columns)
+    return first_of_each_text(keyed.join(known, "digest", "left_anti").drop("digest"), text, first)
 
 
 # Alternative column names, tried in order.

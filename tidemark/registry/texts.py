@@ -64,7 +64,7 @@ def _(m):
 
 @query("txt4_nearest_in_blocks", sql("select query_id, item_id, round(d, 8) distance, rank from hits"))
 def _(m):
-    df = documents.nearest(_vectors(m, "query_id"), _vectors(m, "item_id"), 8)
+    df = documents.nearest(_vectors(m, "query_id"), _vectors(m, "item_id"), 8, block_rows=64)
     return rounded(df, 8, "distance").withColumn("rank", F.col("rank").cast("long"))
 
 
