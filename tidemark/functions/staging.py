@@ -1,10 +1,12 @@
-"""Computing an expensive column once."""
+"""Computing an expensive column, or a table that several branches read, once."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import new_path
+
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that later expressions read instead of repeating.
@@ -14,3 +16,10 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     fields = [col.alias(name) for name, col in columns.items()]
     return df.select(*[c for c in df.columns if c not in columns], F.inline(F.array(F.struct(*fields))))
+
+
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """The table, written to the shared folder and read back: its branches read columns of files, not its plan."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

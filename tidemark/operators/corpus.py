@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions.staging import landed
 from tidemark.functions.text import identifier_tokens, tokens
-from tidemark.operators import joins
-from tidemark.operators.ranking import keep_first, ranked, seeded_hash, split_by_share
+from tidemark.operators.ranking import first_of_each_text, seeded_hash, split_by_share
 
 
 @dataclass(frozen=True)
@@ -127,30 +129,49 @@ def uniform(seed: int, salt: str, *cols: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
-def _numbered(values: DataFrame, column: str, name: str) -> DataFrame:
-    """A value list numbered from 0 in a pseudo-random order: what a draw picks from."""
-    rows = values.select(F.col(column).alias(name)).distinct().withColumn("h_", F.md5(F.col(name).cast("string")))
-    return ranked(rows, "h_", tie=[name], name=f"{name}_at").select(name, f"{name}_at")
+#: Rows that a list of values is repeated to, at least, so that draws of a short list meet many keys.
+_LIST_ROWS = 1024
+
+
+def _lists(tickers: DataFrame, days: DataFrame) -> DataFrame:
+    """Landed: name, value, at for the tickers, sectors and days that a draw picks from, each list numbered from 0 in a
+    pseudo-random order. A list is a market's: a window over it is bounded."""
+    listed = functools.reduce(DataFrame.union, [
+        rows.select(F.lit(name).alias("name"), F.col(column).cast("string").alias("value"))
+        for name, rows, column in (("ticker", tickers, "ticker"), ("sector", tickers, "sector"), ("day", days, "date"))])
+    listed = listed.filter("value is not null").distinct()  # a draw never lands on a missing value
+    order = W.partitionBy("name").orderBy(F.md5("value"), "value")
+    return landed(listed.withColumn("at", F.row_number().over(order) - 1), "lists")
 
 
 def draws(spark, tickers: DataFrame, days: DataFrame, per_template: int, seed: int) -> DataFrame:
     """``per_template`` rows per template with pseudo-random parameters from the catalog and the days.
 
-    A draw is a number, and a pick is an equi join of that number with a numbered value list.
+    A draw is five numbers, one for each thing it picks; all picks of all draws meet the lists in one equi join.
     """
-    rows = spark.range(len(TEMPLATES) * per_template).select(
+    listed = _lists(tickers, days)
+    size = {r["name"]: r["n"] for r in listed.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}  # three rows
+    picks = {"ticker": "ticker", "sector": "sector", "day": "day", "one": "day", "two": "day"}
+    times = {name: -(-_LIST_ROWS // size.get(name, 1)) for name in picks.values()}
+    rows = spark.range(len(TEMPLATES) * per_template if len(size) == 3 else 0).select(
         F.floor(F.col("id") / per_template).cast("int").alias("template"), (F.col("id") % per_template).alias("draw"))
-    picks = {"ticker": (tickers, "ticker"), "sector": (tickers, "sector"), "day": (days, "date"),
-             "one": (days, "date"), "two": (days, "date")}
-    for name, (source, column) in picks.items():
-        values = source.filter(F.col(column).isNotNull())  # a draw never lands on a missing value
-        size = values.select(column).distinct().agg(F.count(F.lit(1))).scalar()
-        listed = _numbered(values, column, name)
-        rows = rows.withColumn(f"{name}_at", uniform(seed, name, "template", "draw") % size).join(
-            listed, f"{name}_at").drop(f"{name}_at")
+    asked = rows.withColumn("pick", F.explode(F.array(*[F.struct(
+        F.lit(pick).alias("pick"), F.lit(name).alias("name"),
+        (uniform(seed, pick, "template", "draw") % (size.get(name, 1) * times[name])).alias("at")) for pick, name in picks.items()])))
+    again = F.lit(0)
+    for name, n in times.items():
+        again = F.when(F.col("name") == name, n - 1).otherwise(again)
+    spread = listed.withColumn("time", F.explode(F.sequence(F.lit(0), again)))
+    n = F.lit(0)
+    for name in times:
+        n = F.when(F.col("name") == name, size.get(name, 1)).otherwise(n)
+    spread = spread.select("name", (F.col("at") + F.col("time") * n).cast("long").alias("at"), "value")
+    met = asked.select("template", "draw", "pick.*").join(spread, ["name", "at"])
+    picked = met.groupBy("template", "draw").agg(*[F.max(F.when(F.col("pick") == p, F.col("value"))).alias(p) for p in picks])
     k = F.element_at(F.array(*[F.lit(n) for n in TOP_K]), (uniform(seed, "k", "template", "draw") % len(TOP_K) + 1).cast("int"))
-    return rows.select("template", "draw", "ticker", "sector", "day", F.least("one", "two").alias("start"),
-                       F.greatest("one", "two").alias("end"), F.year("day").alias("year"), k.alias("k"))
+    day, one, two = (F.to_date(p) for p in ("day", "one", "two"))
+    return picked.select("template", "draw", "ticker", "sector", day.alias("day"), F.least(one, two).alias("start"),
+                         F.greatest(one, two).alias("end"), F.year(day).alias("year"), k.alias("k"))
 
 
 def _filled(pattern: Column) -> Column:
@@ -170,62 +191,96 @@ def pairs(drawn: DataFrame) -> DataFrame:
                        F.col("t_.tables").alias("tables"))
 
 
+#: Needs that ask for an event of the ticker within a range.
+_RANGED = ("ticker_range", "dividends_range", "splits_range")
+_LAST = "last"
+
+
+def _key(need: Column | str, k1: Column | str, k2: Column | str = "", before: Column | None = None, mask: Column | None = None) -> Column:
+    text = lambda c: (F.lit(c) if isinstance(c, str) else c).cast("string")
+    return F.struct(text(need).alias("need"), text(k1).alias("k1"), text(k2).alias("k2"),
+                    (F.lit(None) if before is None else before).cast("date").alias("before"),
+                    (F.lit(None) if mask is None else mask).cast("long").alias("mask"))
+
+
+def typed_keys(prices: DataFrame, dividends: DataFrame, splits: DataFrame, tickers: DataFrame, portfolio: DataFrame,
+               calendar: DataFrame) -> DataFrame:
+    """What exists, as one table of typed keys: need, k1, k2, before, mask.
+
+    Bars, dividends and splits are first one row per ticker and month: a mask of the days with an event, and the last one.
+    From that row come the keys of single days, weeks, months and years, and for ranges a key for every month from the
+    ticker's first to its last event, with the last event before it and its own mask, and one key for all later months.
+    """
+    events = functools.reduce(DataFrame.union, [
+        rows.select(F.lit(need).alias("need"), "ticker", F.col(day).alias("date"))
+        for need, rows, day in zip(_RANGED, (prices, dividends, splits), ("date", "ex_dividend_date", "event_date"))])
+    months = events.groupBy("need", "ticker", F.trunc("date", "month").alias("month")).agg(
+        F.bit_or(F.expr("shiftleft(1L, day(date) - 1)")).alias("mask"), F.max("date").alias("last"))
+    in_order = W.partitionBy("need", "ticker").orderBy("month")
+    rows = (months.withColumns({"before": F.lag("last").over(in_order), "next": F.lead("month").over(in_order)})
+            .join(tickers.select("ticker", "sector"), "ticker", "left")
+            .join(portfolio.select("ticker").distinct().withColumn("held", F.lit(True)), "ticker", "left"))
+    need, ticker, month, last = (F.col(c) for c in ("need", "ticker", "month", "last"))
+    nothing = F.array().cast("array<struct<need:string,k1:string,k2:string,before:date,mask:bigint>>")
+    dates = F.expr("transform(filter(sequence(0, 30), i -> shiftright(mask, i) & 1 = 1), i -> date_add(month, i))")
+    each = lambda key: F.coalesce(F.transform(dates, key), nothing)
+    of_bars = F.concat(
+        F.array(_key("ticker", ticker), _key("ticker_month", ticker, month), _key("ticker_year", ticker, F.year("month"))),
+        each(lambda d: _key("ticker_day", ticker, d)), each(lambda d: _key("ticker_week", ticker, F.trunc(d, "week"))),
+        each(lambda d: _key("day", d)), each(lambda d: _key("sector_day", F.col("sector"), d)),
+        F.when(F.col("held"), each(lambda d: _key("held_day", d))).otherwise(nothing))
+    spine = F.when(F.col("next").isNull(), F.array(month)).otherwise(
+        F.sequence(month, F.add_months("next", -1), F.expr("interval 1 month")))
+    own = F.when(month.isNull(), nothing).otherwise(F.concat(
+        F.transform(spine, lambda m: _key(need, ticker, m, F.when(m == month, F.col("before")).otherwise(last),
+                                          F.when(m == month, F.col("mask")).otherwise(F.lit(0)))),
+        F.when(F.col("next").isNull(), F.array(_key(need, ticker, _LAST, last))).otherwise(nothing)))
+    of_kind = F.when(need == _RANGED[0], of_bars).otherwise(F.array(_key("actions", ticker)))
+    keys = rows.select(F.inline(F.concat(of_kind, own)))
+    open_days = calendar.filter("exchange = 'nyse'").select(F.inline(F.array(_key("calendar_day", F.col("date")))))
+    return keys.union(open_days).groupBy("need", "k1", "k2").agg(F.max("before").alias("before"), F.max("mask").alias("mask"))
+
+
 def answerable(rows: DataFrame, prices: DataFrame, dividends: DataFrame, splits: DataFrame, tickers: DataFrame,
                portfolio: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Keeps the pairs whose query returns rows, by joining parameters with the keys that exist.
+    """Keeps the pairs whose query returns rows, by one join of what each pair needs with the typed keys that exist.
 
-    One key join per kind of need, instead of running one query per pair.
+    A pair that needs an event within a range looks up two keys, its last month and the time after all events; one of the
+    two holds at most.
     """
-    flagged = rows
-
-    def have(keys: DataFrame, on: list, flag: str) -> None:
-        nonlocal flagged
-        mark = keys.distinct().toDF(*[f"{flag}_{i}" for i in range(len(on))]).withColumn(flag, F.lit(True))
-        test = [c == F.col(f"{flag}_{i}") for i, c in enumerate(on)]
-        flagged = flagged.join(mark, test, "left").drop(*[f"{flag}_{i}" for i in range(len(on))])
-
-    def last_before(events: DataFrame, day: str, flag: str, dated: str = "date") -> None:
-        """Adds the last event date at or before a draw's day."""
-        nonlocal flagged
-        marks = events.select("ticker", F.col(dated).alias("date")).filter(F.col("date").isNotNull()).distinct()
-        flagged = joins.as_of(flagged, marks.withColumn("seen_", F.lit(1)), day, "seen_").drop("seen_").withColumnRenamed(
-            "date", flag)
-
-    ticker, day = F.col("ticker"), F.col("day")
-    days = prices.select("ticker", "date")
-    members = days.join(tickers.select("ticker", "sector"), "ticker")
-    have(days.select("ticker"), [ticker], "ticker_")
-    have(days, [ticker, day], "ticker_day_")
-    have(days.select("ticker", F.trunc("date", "week")), [ticker, F.trunc(day, "week")], "ticker_week_")
-    have(days.select("ticker", F.trunc("date", "month")), [ticker, F.trunc(day, "month")], "ticker_month_")
-    have(days.select("ticker", F.year("date")), [ticker, F.col("year")], "ticker_year_")
-    have(days.select("date"), [day], "day_")
-    have(members.select("sector", "date"), [F.col("sector"), day], "sector_day_")
-    have(days.join(portfolio.select("ticker"), "ticker", "left_semi").select("date"), [day], "held_day_")
-    have(calendar.filter("exchange = 'nyse'").select("date"), [day], "calendar_")
-    have(dividends.select("ticker").union(splits.select("ticker")), [ticker], "actions_")
-    last_before(days, "day", "before_")
-    last_before(days, "end", "price_")
-    last_before(dividends, "end", "dividend_", "ex_dividend_date")
-    last_before(splits, "end", "split_", "event_date")
-    start = F.col("start")
-    tests = {
-        "always": F.lit(True), "ticker": F.col("ticker_"), "ticker_day": F.col("ticker_day_"),
-        "ticker_week": F.col("ticker_week_"), "ticker_month": F.col("ticker_month_"),
-        "ticker_year": F.col("ticker_year_"), "calendar_day": F.col("calendar_"), "day": F.col("day_"), "sector_day": F.col("sector_day_"),
-        "held_day": F.col("held_day_"), "actions": F.col("actions_"), "ticker_before": F.col("before_").isNotNull(),
-        "ticker_range": F.col("price_") >= start, "dividends_range": F.col("dividend_") >= start,
-        "splits_range": F.col("split_") >= start,
-    }
-    good = F.lit(False)
-    for need, test in tests.items():
-        good = F.when(F.col("needs") == need, F.coalesce(test, F.lit(False))).otherwise(good)
-    return flagged.filter(good).select(*rows.columns)
+    need, day, end = F.col("needs"), F.col("day"), F.col("end")
+    ticker = F.col("ticker")
+    ask = lambda kind, k1, k2="": F.array(_key(kind, k1, k2))
+    asked = F.array(_key("", F.xxhash64(*rows.columns)))  # meets nothing, and no other pair
+    for kind, keys in {
+        "ticker": ask("ticker", ticker), "ticker_day": ask("ticker_day", ticker, day),
+        "ticker_week": ask("ticker_week", ticker, F.trunc("day", "week")),
+        "ticker_month": ask("ticker_month", ticker, F.trunc("day", "month")), "ticker_year": ask("ticker_year", ticker, F.col("year")),
+        "calendar_day": ask("calendar_day", day), "day": ask("day", day), "sector_day": ask("sector_day", F.col("sector"), day),
+        "held_day": ask("held_day", day), "actions": ask("actions", ticker),
+        "ticker_before": F.array(_key(_RANGED[0], ticker, F.trunc("day", "month")), _key(_RANGED[0], ticker, _LAST)),
+        **{kind: F.array(_key(kind, ticker, F.trunc("end", "month")), _key(kind, ticker, _LAST)) for kind in _RANGED},
+    }.items():
+        asked = F.when(need == kind, keys).otherwise(asked)
+    known = typed_keys(prices, dividends, splits, tickers, portfolio, calendar).toDF("n_", "a_", "b_", "before_", "mask_")
+    until = need == "ticker_before"
+    looked = rows.withColumns({
+        "key_": F.explode(asked), "low_": F.when(until, F.lit("0001-01-01").cast("date")).otherwise(F.col("start")),
+        "high_": F.when(until, day).otherwise(end)})
+    found = looked.join(known, (F.col("key_.need") == F.col("n_")) & (F.col("key_.k1") == F.col("a_"))
+                        & (F.col("key_.k2") == F.col("b_")), "left")
+    month = F.trunc("high_", "month")
+    in_month = F.expr("shiftright(mask_ & (shiftleft(1L, day(high_)) - 1), "
+                      "if(low_ >= trunc(high_, 'month'), day(low_) - 1, 0)) <> 0 and low_ <= high_")
+    earlier = (F.col("before_") < month) & (F.col("before_") >= F.col("low_"))
+    in_range = F.when(F.col("b_") == _LAST, earlier).otherwise(in_month | earlier)
+    good = F.when(need == "always", True).when(need.isin("ticker_before", *_RANGED), in_range).otherwise(F.col("n_").isNotNull())
+    return found.filter(F.coalesce(good, F.lit(False))).select(*rows.columns)
 
 
 def distinct_pairs(rows: DataFrame) -> DataFrame:
     """One pair per SQL text: the first drawn."""
-    return keep_first(rows, ["sql"], ["template", "draw"])
+    return first_of_each_text(rows, "sql", ["template", "draw"])
 
 
 def train_val_test(rows: DataFrame, seed: int = 321, key: str = "id") -> DataFrame:
