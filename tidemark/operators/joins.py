@@ -107,8 +107,9 @@ def as_of(requests: DataFrame, bars: DataFrame, day: str = "as_of", value: str =
             .select(*requests.columns, "date", value))
 
 
-def range_join(requests: DataFrame, bars: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
-    """Requests with the bars of their ticker dated within [start, end].
+def range_join(requests: DataFrame, bars: DataFrame, start: str = "start", end: str = "end",
+               on: Sequence[str] = ("ticker",)) -> DataFrame:
+    """Requests with the bars of their ticker (or other columns in common) dated within [start, end].
 
     Both sides carry a month number, so a request is compared only with bars of the months it covers, and
     a much asked ticker spreads over its months.
@@ -118,7 +119,7 @@ def range_join(requests: DataFrame, bars: DataFrame, start: str = "start", end:
 
     asked = requests.withColumn("month_", F.explode(F.sequence(month(start), month(end))))
     dated = bars.withColumn("month_", month("date"))
-    return (asked.join(dated, ["ticker", "month_"])
+    return (asked.join(dated, [*on, "month_"])
             .filter(F.col("date").between(F.col(start), F.col(end))).drop("month_"))
 
 
