@@ -273,3 +273,100 @@ def test_shared_folder_must_be_set_on_a_cluster():
 
     with pytest.raises(ValueError):
         session.shared_folder(Fake())
+
+
+# --- answerable pairs, texts and neighbours at scale -------------------------------------------------------------
+
+def test_answerable_pairs_match_brute_force(spark):
+    """Every need, with days before, within, between and after a ticker's events."""
+    from tidemark.operators import corpus
+
+    rng = np.random.default_rng(4)
+    day = lambda n: D(1999, 11, 20) + dt.timedelta(days=int(n))
+    bars = {("A", day(n)) for n in rng.integers(0, 400, 25)} | {("B", day(n)) for n in rng.integers(100, 140, 9)} | {("C", day(300))}
+    paid = {("A", day(n)) for n in rng.integers(0, 400, 4)} | {("D", day(31))}
+    split = {("B", day(n)) for n in rng.integers(0, 400, 3)}
+    sector = {"A": "x", "B": "y", "C": "x", "E": "z"}
+    tables = (spark.createDataFrame(sorted(bars), "ticker string, date date"),
+              spark.createDataFrame(sorted(paid), "ticker string, ex_dividend_date date"),
+              spark.createDataFrame(sorted(split), "ticker string, event_date date"),
+              spark.createDataFrame(list(sector.items()), "ticker string, sector string"),
+              spark.createDataFrame([("B",), ("B",)], "ticker string"),
+              spark.createDataFrame([("nyse", day(n)) for n in range(0, 400, 3)] + [("nasdaq", day(1))], "exchange string, date date"))
+    needs = ("always", "ticker", "ticker_day", "ticker_week", "ticker_month", "ticker_year", "calendar_day", "day", "sector_day",
+             "held_day", "actions", "ticker_before", "ticker_range", "dividends_range", "splits_range", "unheard_of")
+    rows = []
+    for n in range(4000):
+        a, b = sorted(rng.integers(-60, 480, 2).tolist())
+        d = day(rng.integers(-40, 440))
+        b = a if n % 7 == 0 else min(b, a + int(rng.integers(0, 60))) if n % 2 else b
+        rows.append((n, needs[n % len(needs)], "ABCDE"[n // 3 % 5], "xyzw"[n // 5 % 4], d, day(a), day(b), d.year))
+
+    def holds(need, ticker, sect, d, start, end, year):
+        inside = lambda events: any(t == ticker and start <= e <= end for t, e in events)
+        mine = [e for t, e in bars if t == ticker]
+        monday = lambda x: x - dt.timedelta(days=x.weekday())
+        return {"always": True, "ticker": bool(mine), "ticker_day": d in mine, "ticker_week": monday(d) in map(monday, mine),
+                "ticker_month": (d.year, d.month) in [(e.year, e.month) for e in mine], "ticker_year": year in [e.year for e in mine],
+                "calendar_day": (d - D(1999, 11, 20)).days in range(0, 400, 3), "day": d in [e for _, e in bars],
+                "sector_day": any(e == d and sector.get(t) == sect for t, e in bars), "held_day": ("B", d) in bars,
+                "actions": ticker in {t for t, _ in paid | split}, "ticker_before": any(e <= d for e in mine),
+                "ticker_range": inside(bars), "dividends_range": inside(paid), "splits_range": inside(split)}.get(need, False)
+
+    frame = spark.createDataFrame(rows, "draw int, needs string, ticker string, sector string, day date, start date, end date, year int")
+    got = [r.draw for r in corpus.answerable(frame, *tables).collect()]
+    want = [r[0] for r in rows if holds(*r[1:])]
+    assert sorted(got) == want and 1000 < len(want) < 3500
+    assert corpus.answerable(frame, *[t.limit(0) for t in tables]).filter("needs <> 'always'").count() == 0
+
+
+def test_draws_of_nothing(spark):
+    from tidemark.operators import corpus
+
+    tickers = spark.createDataFrame([("A", "x"), ("B", None)], "ticker string, sector string")
+    days = spark.createDataFrame([(D(2000, 1, 3),), (None,)], "date date")
+    drawn = corpus.draws(spark, tickers, days, 5, 1).collect()
+    assert len(drawn) == 5 * len(corpus.TEMPLATES) and {r.sector for r in drawn} == {"x"} and {r.start for r in drawn} == {D(2000, 1, 3)}
+    assert corpus.draws(spark, tickers, days.limit(0), 5, 1).count() == 0
+
+
+def test_far_rings_stay_closed(spark, monkeypatch):
+    """Exact with ties and many equal vectors, while most of the rings are never opened."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 50, (12, 6))
+    vectors = np.concatenate([c + np.round(rng.normal(0, 1, (40, 6)), 1) for c in centres] + [np.zeros((150, 6))])
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "item_id long, vector array<double>")
+    queries = items.filter("item_id % 9 = 0").select(F.col("item_id").alias("query_id"), "vector")
+    opened = []
+    first = documents.Rings.first
+    monkeypatch.setattr(documents.Rings, "first", lambda self, bounds, k: opened.append(bounds.shape) or first(self, bounds, k))
+    got = collections.defaultdict(list)
+    for r in documents.nearest(queries, items, 5, block_rows=16).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.item_id)
+    for q in range(0, len(vectors), 9):
+        away = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        assert got[q] == np.lexsort((np.arange(len(vectors)), away))[:5].tolist()
+    rings, ringed = documents._ringed(items, 16, len(vectors))
+    assert ringed.count() == len(vectors) == rings.rows.sum() and len(rings.rows) > 20
+    bounds = rings.bounds(vectors[::9])
+    limit = np.sort(np.sqrt(((vectors[::9][:, None] - vectors) ** 2).sum(2)), axis=1)[:, 4]
+    assert (bounds <= limit[:, None]).mean() < 0.3
+
+
+def test_first_of_each_text(spark):
+    rows = [("a", 0, 5), ("a", 0, 3), ("b", 1, 1), ("a", 1, 0), (None, 0, 1), (None, None, 9), ("b", 1, 1), ("c", 0, None), ("c", 0, 2)]
+    frame = spark.createDataFrame(rows, "text string, part int, row int")
+    out = ranking.first_of_each_text(frame, "text", ["part", "row"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([("a", 0, 3), ("b", 1, 1), ("c", 0, None), (None, None, 9)], key=str)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and not any("hashpartitioning(text" in line for line in text.splitlines())
+
+
+def test_last_months_start_after_the_same_day(spark):
+    from tidemark.operators import series
+
+    days = [D(2020, 1, 30), D(2020, 1, 31), D(2020, 2, 29), D(2020, 3, 1), D(2020, 3, 30), D(2020, 3, 31), D(2021, 3, 31)]
+    frame = spark.createDataFrame([("A", d, 1.0) for d in days], "ticker string, date date, close double")
+    got = {r.date: r.n for r in series.windowed(frame, "sum", "close", 1, "months", "n").collect()}
+    assert got == {days[0]: 1, days[1]: 2, days[2]: 3, days[3]: 2, days[4]: 2, days[5]: 3, days[6]: 1}
+    assert "interval" not in str(series.windowed(frame, "sum", "close", 2, "months", "n")._jdf.queryExecution().executedPlan())

@@ -94,10 +94,12 @@ def against(returns: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def pairs(returns: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Correlation, covariance and mean spread for a table of pairs (a, b)."""
+    """Correlation, covariance and mean spread for a table of pairs (a, b).
+
+    Where one ticker is compared with many, as ``a``, it is looked up by ticker and date, not by its own few values."""
     left = returns.select(F.col("ticker").alias("a"), "date", F.col("ret").alias("ra"))
     right = returns.select(F.col("ticker").alias("b"), "date", F.col("ret").alias("rb"))
-    both = wanted.join(left, "a").join(right, ["b", "date"]).filter(
+    both = wanted.join(right, "b").join(left, ["a", "date"]).filter(
         F.col("ra").isNotNull() & F.col("rb").isNotNull())
     return both.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n"), F.corr("ra", "rb").alias("correlation"),

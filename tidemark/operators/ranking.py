@@ -20,6 +20,31 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.groupBy(*keys).agg(first).select(*keys, "first_.*").select(*df.columns)
 
 
+def first_of_each_text(df: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
+    """The first row of each text by ``order``, nulls first. Texts are neither keys nor aggregated: their digests and the order
+    columns find the leads, one aggregate a column that combines map-side, and the rows meet those in a semi join. Rows that
+    tie in all of ``order`` count once."""
+    keyed = df.withColumn("digest_", F.coalesce(F.md5(text), F.lit("")))
+    levels = []
+    for column in order:
+        levels += [(f"{column}_given_", F.col(column).isNotNull()), (column, F.col(column))]
+    leads = keyed.select("digest_", *[c.alias(n) for n, c in levels])
+    carried: list[str] = []
+    for at in range(len(levels) - 1, -1, -1):
+        name = levels[at][0]
+        given = F.col(levels[at - 1][0]) if at % 2 else F.lit(True)  # rows without a value are one row by now
+        leads = leads.groupBy("digest_", *[n for n, _ in levels[:at]]).agg(F.min(name).alias(name), *[
+            F.when(given, F.min_by(c, name)).otherwise(F.first(c)).alias(c) for c in carried])
+        carried.insert(0, name)
+    leads = leads.select(F.col("digest_").alias("lead_"), *[F.col(c).alias(f"{c}_lead_") for c in order])
+    same = F.col("digest_") == F.col("lead_")
+    for column in order:
+        same &= F.col(column).eqNullSafe(F.col(f"{column}_lead_"))
+    tied = W.partitionBy("digest_").orderBy(*order)
+    return (keyed.join(leads, same, "left_semi").withColumn("tie_", F.row_number().over(tied)).filter("tie_ = 1")
+            .select(*df.columns))
+
+
 def seeded_hash(seed: int, *cols: str) -> Column:
     """A hex digest that orders rows pseudo-randomly and the same way on every run."""
     return F.md5(F.concat(F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio
 from tidemark.functions.text import content_id
-from tidemark.operators.ranking import keep_first, split_by_share
+from tidemark.operators.ranking import first_of_each_text, split_by_share
 
 CLASSES = (0, 1, 2)
 SHARES = {"train": 0.70, "val": 0.15, "test": 0.15}
@@ -21,7 +21,7 @@ def combined(*sources: DataFrame, order: str = "row") -> DataFrame:
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return keep_first(rows, ["text"], ["part_", order]).drop("part_")
+    return first_of_each_text(rows, "text", ["part_", order]).drop("part_")
 
 
 def with_ids(rows: DataFrame, order: str = "row") -> DataFrame:

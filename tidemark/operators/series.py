@@ -79,12 +79,19 @@ def trailing_sum(df: DataFrame, value: str, days: int, name: str) -> DataFrame:
 
 
 def windowed(df: DataFrame, aggregate: str, value: str, size: int, unit: str, name: str) -> DataFrame:
-    """An aggregate over the last ``size`` units: rows for trading days, a date range otherwise."""
+    """An aggregate over the last ``size`` units: rows for trading days, a date range otherwise.
+
+    Months are counted by a calendar code in which a month has 31 days, so that the last n months are a range of whole
+    numbers: the dates after the same day n months before.
+    """
     if unit == "trading_days":
         col = getattr(F, aggregate)(value).over(last_rows(size - 1))
         return df.withColumn(name, col)
-    span = {"days": f"{int(size) - 1} days", "weeks": f"{7 * int(size) - 1} days",
-            "months": f"{int(size)} months"}[unit]
+    if unit == "months":
+        code = ((F.year("date") * 12 + F.month("date")) * 31 + F.dayofmonth("date")).cast("long")
+        frame = W.partitionBy(*SERIES).orderBy(code).rangeBetween(1 - 31 * int(size), W.currentRow)
+        return df.withColumn(name, getattr(F, aggregate)(value).over(frame))
+    span = {"days": f"{int(size) - 1} days", "weeks": f"{7 * int(size) - 1} days"}[unit]
     frame = (f"{aggregate}({value}) over (partition by ticker order by date "
              f"range between interval {span} preceding and current row)")
     return df.withColumn(name, F.expr(frame))

@@ -6,9 +6,11 @@ import math
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import growth, ratio
+from tidemark.functions.staging import landed
 from tidemark.operators import bars, comovement, joins, series
 from tidemark.operators.filters import between, for_tickers
 from tidemark.operators.ranking import top
@@ -147,15 +149,23 @@ def weights(t: Tables) -> DataFrame:
 
 
 def weighted_returns(t: Tables) -> DataFrame:
-    """date, ticker, ret, weight and the portfolio's return of that date."""
-    rows = _returns(t).filter(F.col("ret").isNotNull()).join(weights(t), "ticker")
-    daily = rows.groupBy("date").agg(F.sum(F.col("weight") * F.col("ret")).alias("port"))
-    return rows.join(daily, "date")
+    """date, ticker, ret, weight and the portfolio's return of that date.
+
+    Bars and holdings are read once and landed with each bar's return and its holding's value; the weights need the total of
+    these values. A date's window holds one row per holding."""
+    last = F.max_by("close", "date").over(W.partitionBy("ticker"))
+    bars = t.prices_daily.select(
+        "ticker", "date", growth(F.col("close"), F.lag("close").over(series.by_date())).alias("ret"), last.alias("last"),
+        (F.row_number().over(series.by_date()) == 1).alias("once"))
+    held = landed(bars.join(t.portfolio, "ticker").select(
+        "date", "ticker", "ret", (F.col("shares") * F.col("last")).alias("market_value"), "once"), "held")
+    total = held.filter("once").agg(F.sum("market_value").alias("total")).first()["total"]  # one number
+    rows = held.filter("ret is not null").select("date", "ticker", "ret", ratio(F.col("market_value"), F.lit(total)).alias("weight"))
+    return rows.withColumn("port", F.sum(F.col("weight") * F.col("ret")).over(W.partitionBy("date")))
 
 
 def portfolio_volatility(t: Tables) -> DataFrame:
-    rows = _returns(t).filter(F.col("ret").isNotNull()).join(weights(t), "ticker")
-    daily = rows.groupBy("date").agg(F.sum(F.col("weight") * F.col("ret")).alias("port"))
+    daily = weighted_returns(t).groupBy("date").agg(F.first("port").alias("port"))
     return daily.agg(F.stddev_samp("port").alias("portfolio_volatility"))
 
 

@@ -31,10 +31,9 @@ def _(m):
 
 
 @query("qry3_7_and_30_row_returns", sql("""
-    with n as materialized (select ticker, date, close, row_number() over (partition by ticker order by date) rn from prices_daily)
-    select n.date, n.ticker, n.close, round(n.close / a.close - 1, 8) r7, round(n.close / b.close - 1, 8) r30
-    from n left join n a on a.ticker = n.ticker and a.rn = n.rn - 7
-    left join n b on b.ticker = n.ticker and b.rn = n.rn - 30"""))
+    select date, ticker, close, round(close / nullif(lag(close, 7) over w, 0) - 1, 8) r7,
+      round(close / nullif(lag(close, 30) over w, 0) - 1, 8) r30
+    from prices_daily window w as (partition by ticker order by date)"""))
 def _(m):
     return rounded(questions.window_returns(m.prices_daily, (7, 30)), 8, "r7", "r30")
 
@@ -73,9 +72,9 @@ def _(m):
     return rounded(rows, 9, "dividend_yield_ttm")
 
 
-@query("qry9_corporate_actions_by_date", sql("select * from corporate_actions where event_date >= '1999-01-01'"))
+@query("qry9_corporate_actions_by_date", sql("select * from corporate_actions"))
 def _(m):
-    return questions.actions_by_date(m.dividends, m.splits).filter(F.col("event_date") >= F.lit(D(1999, 1, 1)))
+    return questions.actions_by_date(m.dividends, m.splits)
 
 
 @query("qry10_split_adjusted_series", sql("""
@@ -124,10 +123,9 @@ def _(m):
 
 @query("qry16_company_profile", sql("""
     select ticker, name, t.sector, exchange, company_name, r.industry, market, primary_exchange
-    from tickers t left join ref_tickers r using (ticker) where exchange = 'NASDAQ'"""))
+    from tickers t left join ref_tickers r using (ticker)"""))
 def _(m):
-    rows = m.tickers.filter(F.col("exchange") == "NASDAQ")
-    return joins.company_profile(rows, core_ref_tickers(m.ref_tickers))
+    return joins.company_profile(m.tickers, core_ref_tickers(m.ref_tickers))
 
 
 @query("qry17_sector_members_traded", sql("""

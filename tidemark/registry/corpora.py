@@ -8,7 +8,7 @@ from tidemark import schema
 from tidemark.functions import slots
 from tidemark.functions.dates import phrase_range
 from tidemark.functions.numbers import snap
-from tidemark.functions.staging import once
+from tidemark.functions.staging import landed, once
 from tidemark.functions.text import identifier_tokens, normalize_sql, tokens
 from tidemark.operators import corpus, ranking, scoring
 from tidemark.plans import requests
@@ -238,7 +238,7 @@ def _(m):
 _FLAT = r"regexp_replace(trim(sql), '\s+', ' ', 'g')"
 
 
-@query("req3_sql_to_request", sql(rf"""
+define("sql_requests", rf"""
     with f as (select id, sql_flat s, lower(sql_flat) l,
         list_filter(regexp_extract_all(sql_flat, '(?i)\bFROM\s+([a-zA-Z0-9_\.]+)', 1), lambda x: true) froms
       from (select id, {_FLAT} sql_flat from sql_texts)),
@@ -256,13 +256,19 @@ _FLAT = r"regexp_replace(trim(sql), '\s+', ' ', 'g')"
       case when y is not null then 'year' when b1 is not null then 'between_dates' else 'all' end time_type,
       case when metric_name = 'ytd_return' then y end arg_year,
       case when metric_name = 'rolling_volatility' then w end arg_window, case when metric_name = 'rolling_volatility' then b1 end arg_start,
+      case when metric_name = 'rolling_volatility' then b2 end arg_end,
       case metric_name when 'close' then 'price' when 'daily_return' then 'return' when 'ytd_return' then 'return'
         when 'rolling_volatility' then 'risk' when 'dividend_yield_ttm' then 'corporate_action' else 'portfolio' end metric_type,
       case metric_name when 'ytd_return' then 'get_ytd_return' when 'rolling_volatility' then 'rolling_stat'
         when 'dividend_yield_ttm' then 'get_dividends' when 'portfolio_value' then 'evaluate_portfolio' when 'daily_return' then 'get_return'
         else case when base_table like '%corporate_actions%' then 'get_corporate_actions' when base_table like '%prices%' then 'get_price'
           else 'compute_metric' end end intent,
-      array_to_string(list_sort(list_distinct(list_filter(list_concat([one], many), lambda x: x is not null))), ',') assets from g"""))
+      list_filter(listed, lambda x, i: list_position(listed, x) = i) assets
+    from (select *, list_concat(case when one is null then [] else [one] end, many) listed from g)""")
+
+
+@query("req3_sql_to_request", sql("""
+    select * exclude (assets, arg_end), array_to_string(list_sort(assets), ',') assets from sql_requests"""))
 def _(m):
     df = requests.from_sql(_filled(m, SQL_FORMS, "sql"))
     return df.select("id", "base_table", "metric_name", F.col("time_year").cast("long").alias("time_year"), "time_start", "time_end",
@@ -499,7 +505,7 @@ def _good(m):
 
 def _kept(m):
     row_id = F.format_string("%03d-%06d", "template", "draw")
-    return corpus.distinct_pairs(_good(m)).withColumn("id", row_id)
+    return landed(corpus.distinct_pairs(_good(m)).withColumn("id", row_id), "kept-pairs")  # ranks read the pairs several times
 
 
 @query("req12_generated_pairs", sql("select template, draw, intent, question, sql from pair_rows"))
@@ -553,7 +559,29 @@ def _(m):
     return both.select("id", corpus.sql_training_text(F.col("question"), F.col("sql")).alias("text"))
 
 
-@query("req18_request_training_texts")
+def _object(**fields: str) -> str:
+    """SQL of a JSON object that leaves out null fields."""
+    listed = ", ".join(f"""'"{name}":' || {value}""" for name, value in fields.items())
+    return f"'{{' || array_to_string(list_filter([{listed}], lambda x: x is not null), ',') || '}}'"
+
+
+def _quoted(value: str) -> str:
+    return f"""('"' || {value} || '"')"""
+
+
+_SPAN = _object(type=_quoted("time_type"), value=_quoted("time_year"), start=_quoted("time_start"), end=_quoted("time_end"))
+define("request_texts", "select id, intent, metric_name, " + _object(range=_SPAN) + " as span, " + _object(
+    intent=_quoted("intent"),
+    entities=_object(assets="('[' || array_to_string(list_transform(assets, lambda x: " + _quoted("x") + "), ',') || ']')"),
+    metric=_object(name=_quoted("metric_name"), type=_quoted("metric_type"), arguments=_object(
+        year="arg_year", start_date=_quoted("arg_start"), end_date=_quoted("arg_end"), window="arg_window",
+        window_unit="case when arg_window is not null then '\"trading_days\"' end")),
+    time=_object(range=_SPAN), filters="'[]'", output="""'{"format":"table"}'""") + " as request from sql_requests")
+
+
+@query("req18_request_training_texts", sql("""
+    select id, 'Question: ' || s.sql || chr(10) || 'IR:' || chr(10) || request as text
+    from sql_texts s join request_texts using (id)"""))
 def _(m):
     rows = requests.from_sql(_filled(m, SQL_FORMS, "sql"))
     return rows.select("id", corpus.request_training_text(F.col("sql"), requests.as_request(rows)).alias("text"))
@@ -570,28 +598,42 @@ def _(m):
 # --- scores --------------------------------------------------------------------------------------------------
 
 def _request_pairs(m):
-    """Gold: the request of each SQL text. Prediction: the request of the next form for the same ticker and year."""
+    """Gold: the request of each SQL text. Prediction: the request of the next form for the same ticker and year; of several
+    that fall on one form, that of the first form."""
     rows = requests.from_sql(_filled(m, SQL_FORMS, "sql"))
     gold = rows.select("ticker", "y", "n", requests.as_request(rows).alias("gold"))
     shift = F.when(F.col("n") % 3 == 0, (F.col("n") + 9) % 10).otherwise(F.col("n"))
-    pred = rows.select("ticker", "y", shift.alias("n"), requests.as_request(rows).alias("pred"))
-    return gold.join(pred.dropDuplicates(["ticker", "y", "n"]), ["ticker", "y", "n"], "left")
+    pred = rows.select("ticker", "y", shift.alias("n"), F.col("n").alias("from"), requests.as_request(rows).alias("pred"))
+    first = pred.groupBy("ticker", "y", "n").agg(F.min_by("pred", "from").alias("pred"))
+    return gold.join(first, ["ticker", "y", "n"], "left")
 
 
-@query("evl1_request_scores")
+@query("evl1_request_scores", sql("""
+    with r as (select ticker, y, n, r.* from sql_texts join request_texts r using (id)),
+    p as (select ticker, y, case when n % 3 = 0 then (n + 9) % 10 else n end n, arg_min(request, n) request,
+      arg_min(intent, n) intent, arg_min(metric_name, n) metric_name, arg_min(span, n) span from r group by 1, 2, 3)
+    select count(*) as rows, round(avg(coalesce(r.request = p.request, false)::int), 9) exact,
+      round(avg(coalesce(r.intent = p.intent, false)::int), 9) intent,
+      round(avg(coalesce(r.metric_name = p.metric_name, false)::int), 9) metric,
+      round(avg(coalesce(r.span = p.span, false)::int), 9) as time
+    from r left join p on r.ticker = p.ticker and r.y = p.y and r.n = p.n"""))
 def _(m):
     return rounded(scoring.request_scores(_request_pairs(m)), 9, "exact", "intent", "metric", "time")
 
 
 @query("evl1_metric_accuracy", sql("""
-    with g as (select o_orderkey k, o_orderpriority p, o_orderstatus s from orders)
-    select count(*) as rows, round(avg((p = coalesce(case when k % 3 = 0 then p else s end, ''))::int), 9) exact from g"""))
-def _(m):
-    def request(name):
-        return F.struct(F.lit("x").alias("intent"), F.struct(name.alias("name")).alias("metric"), F.lit("all").alias("time"))
-    pred = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(F.col("o_orderstatus"))
-    pairs = m.table("orders").select(request(F.col("o_orderpriority")).alias("gold"), request(pred).alias("pred"))
-    return rounded(scoring.request_scores(pairs).select("rows", "exact"), 9, "exact")
+    with g as (select (o_orderkey % 3 <> 0 or o_orderpriority = o_orderstatus)::int i, (o_orderkey % 4 <> 0)::int m,
+      (o_orderkey % 5 <> 0)::int t from orders)
+    select count(*) as rows, round(avg(i * m * t), 9) exact, round(avg(i), 9) intent, round(avg(m), 9) metric, round(avg(t), 9) as time
+    from g"""))
+def _(m):
+    def request(intent, name, time):
+        return F.struct(intent.alias("intent"), F.struct(name.alias("name")).alias("metric"), time.alias("time"))
+    key, first, other = F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    pred = request(F.when(key % 3 == 0, other).otherwise(first), F.when(key % 4 != 0, other),  # every field differs elsewhere
+                   F.when(key % 5 == 0, "year").otherwise("all"))
+    pairs = m.table("orders").select(request(first, other, F.lit("all")).alias("gold"), pred.alias("pred"))
+    return rounded(scoring.request_scores(pairs), 9, "exact", "intent", "metric", "time")
 
 
 @query("evl2_asset_scores", sql("""

@@ -383,8 +383,11 @@ def _(m):
     select ticker, date,
       round(avg(close) over (partition by ticker order by date range between interval 9 days preceding and current row), 5) days10,
       round(avg(close) over (partition by ticker order by date range between interval 13 days preceding and current row), 5) weeks2,
-      round(avg(close) over (partition by ticker order by date range between interval 3 months preceding and current row), 5) months3
-    from prices_daily"""))
+      months3 from prices_daily join (
+        select p.ticker, p.date, round(avg(x.close), 5) months3 from prices_daily p join prices_daily x on x.ticker = p.ticker
+          and x.date <= p.date and x.date >= p.date - interval 4 months and (x.date > p.date - interval 2 months or
+            (year(x.date) * 12 + month(x.date), day(x.date)) > (year(p.date) * 12 + month(p.date) - 3, day(p.date)))
+        group by 1, 2) using (ticker, date)"""))
 def _(m):
     rows = m.prices_daily.select("ticker", "date", "close")
     for size, unit in ((10, "days"), (2, "weeks"), (3, "months")):
