@@ -165,3 +165,38 @@ def test_rows_without_id(spark):
     assert cut.columns == frame.columns
     assert Counter((r.doc_id, r.text) for r in cut.collect() if len(r.text or "") > 60) == Counter(
         [(1, P), (2, Q), (2, Q), (None, "p " * 100)])
+
+
+def test_previous_factors_match_their_definition():
+    rng = random.Random(3)
+    for length in (3, 8, 20, 37):
+        for n in (1, 5, 60, 250):
+            data = "".join(rng.choices("aab", k=n)).encode() + b"abc" * 20  # every position asked for has a whole window
+            at = np.array(sorted(rng.sample(range(len(data) - length + 1), (len(data) - length + 1) * 2 // 3)))
+            got, source = suffix_dedup.previous_factors(suffix_dedup.Suffixes(np.frombuffer(data, np.uint8), length), at)
+            def common(i, j):
+                return next((k for k in range(length) if data[i + k] != data[j + k]), length)
+            for k, i in enumerate(at.tolist()):
+                want = max((common(i, j) for j in at[:k].tolist()), default=0)
+                assert got[k] == want and (want == 0 or (source[k] < k and common(i, int(at[source[k]])) == want))
+
+
+@pytest.mark.parametrize("length", [40, 200, 400, 500])
+def test_other_lengths(spark, length):
+    data = planted(random.Random(length), 25)
+    data += [(900, "x" + data[2][1] * 3), (901, data[2][1] * 3 + "y"), (902, data[2][1] * 3)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    assert Counter(map(tuple, suffix_dedup.digests(frame, length).collect())) == slow_repeats(data, length)
+
+
+def test_texts_of_one_id_that_begin_alike(spark):
+    """Each row is a document of its own, whatever its id; the copy of a beginning goes once."""
+    start = " ".join(f"w{i}" for i in range(130))
+    texts = [start + " first end", start + " another end"]
+    for ids in ((7, 7), (7, 8)):
+        frame = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        left = sorted(len(r.text) for r in suffix_dedup.deduplicated(frame).collect())
+        assert max(left) >= len(start) + 10 and min(left) < 30
+        assert Counter(map(tuple, suffix_dedup.digests(frame).collect())) == slow_repeats(list(zip(ids, texts)))
+    many = spark.createDataFrame([(5, start)] * 300 + [(6, start + " tail")], "doc_id long, text string")
+    assert {(r.doc_id, r.n_spans) for r in suffix_dedup.digests(many).collect()} == {(5, 1), (6, 1)}

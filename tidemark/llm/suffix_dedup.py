@@ -9,10 +9,10 @@ anchor's and the strip's content).
 whole. Both follow from aggregates that combine before the shuffle, so a group of copies, however large, becomes one row.
 
 *Suffix order.* What is left, one strip of each content whose anchor has several contents, is sent with its bytes.
-A task sorts the suffixes of its strips, cut at ``LENGTH`` bytes, by prefix doubling. In that order, ties by place, the
-previous smaller position of a window gives its longest previous factor: it reaches ``LENGTH`` just where the window
-before it in suffix order is equal, and the first of such a run is the passage's first occurrence. The next position gives
-the longest later factor the same way. Anchors with more than ``HOT`` contents are not gathered: their windows go, hashed
+A task sorts the suffixes of its strips, cut at ``LENGTH`` bytes, by prefix doubling. In that order, ties by place, each
+window's previous and next smaller positions are found by pointer jumping; the longer of its common prefixes with the two is
+its longest previous factor. A window whose factor reaches ``LENGTH`` stands earlier too; the factor's source is then the
+earlier occurrence, and the first of such a chain the passage's first. Anchors with more than ``HOT`` contents are not gathered: their windows go, hashed
 to 128 bits, through an aggregate instead.
 
 ``first`` keeps the first occurrence (by id, then place; in one document an occurrence that overlaps the first one stays);
@@ -44,15 +44,17 @@ TOGETHER = 2_000_000
 #: Windows of a text that are hashed at once.
 CHUNK = 1 << 20
 _BITS = 21
+#: Bits of a strip's number of windows in its place; a strip has at most ``length - ANCHOR + 1``.
+_PLACE = 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _KEY = ["doc_id", "tag"]
 STRIPS = "doc_id long, tag int, place long, anchor long, content long"
 
 
 @functools.cache
-def _powers() -> tuple[np.ndarray, np.ndarray]:
+def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, as many as a chunk has bytes."""
-    n = CHUNK + 2 * LENGTH
+    n = CHUNK + 2 * length
     up, down = (np.multiply.accumulate(np.array([1] + [base] * n, np.uint64)) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
     return up, down
 
@@ -67,7 +69,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def strips(text: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int]]:
     """(first window, number of windows, hash of their anchor) of each strip of a text."""
-    up, down = _powers()
+    up, down = _powers(length)
     width = length - ANCHOR + 1
     for begin in range(0, len(text) - length + 1, CHUNK):
         data = np.frombuffer(text, np.uint8, min(CHUNK + length - 1, len(text) - begin), begin)
@@ -94,7 +96,7 @@ def _signed(value: int) -> int:
 
 
 def _stripped(docs: DataFrame, length: int) -> DataFrame:
-    """Every strip of every text: place is its first window << 8 | number of windows - 1."""
+    """Every strip of every text: place is its first window << 20 | number of windows - 1."""
     from xxhash import xxh3_64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +106,7 @@ def _stripped(docs: DataFrame, length: int) -> DataFrame:
                                       byte_texts(batch, "text")):
                 view, before = memoryview(text), len(places)
                 for start, count, anchor in strips(text, length):
-                    places.append(start << 8 | count - 1)
+                    places.append(start << _PLACE | count - 1)
                     anchors.append(anchor)
                     contents.append(_signed(xxh3_64_intdigest(view[start:start + count + length - 1])))
                 ids += [key] * (len(places) - before)
@@ -116,59 +118,113 @@ def _stripped(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, STRIPS)
 
 
-def window_ranks(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Ranks of all suffixes cut at ``length`` bytes, by prefix doubling; equal ranks are equal strings."""
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(length, np.uint8)]).astype(np.uint64)
-    rank = np.zeros(n, np.uint64)
-    for shift in range(8):
-        rank = rank << np.uint64(8) | padded[shift:shift + n]
-    size = 8
+class Suffixes:
+    """The suffixes of some bytes, cut at ``length``, ranked by prefix doubling; equal ranks are equal strings. The ranks of
+    every doubling are kept: they give common prefixes."""
 
-    def dense(keys: np.ndarray) -> np.ndarray:
+    def __init__(self, data: np.ndarray, length: int = LENGTH):
+        self.n, self.length = len(data), length
+        self.data = np.concatenate([data, np.zeros(length, np.uint8)])
+        if length < 8:
+            first, size = 1, 1
+        else:
+            first, size = 8, 8
+        rank = np.zeros(self.n, np.uint64)
+        for shift in range(first):
+            rank = rank << np.uint64(8) | self.data[shift:shift + self.n].astype(np.uint64)
+        #: (bytes compared, rank of each position), for ever longer strings.
+        self.levels = [(size, self._dense(rank))]
+        while size < length:
+            step = min(size, length - size)
+            rank = self.levels[-1][1].astype(np.uint64)
+            behind = np.zeros(self.n, np.uint64)
+            behind[:max(0, self.n - step)] = rank[step:]
+            size += step
+            self.levels.append((size, self._dense(rank << np.uint64(32) | behind)))
+
+    def _dense(self, keys: np.ndarray) -> np.ndarray:
         order = np.argsort(keys)
-        new = np.concatenate(([0], (keys[order[1:]] != keys[order[:-1]]).astype(np.uint64)))
-        out = np.empty(n, np.uint64)
-        out[order] = np.cumsum(new)
+        new = np.concatenate(([0], keys[order[1:]] != keys[order[:-1]])).astype(np.uint32)
+        out = np.empty(self.n, np.uint32)
+        out[order] = np.cumsum(new, dtype=np.uint32)
+        return out
+
+    @property
+    def rank(self) -> np.ndarray:
+        return self.levels[-1][1]
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Common prefixes of pairs of different positions, at most ``length``."""
+        out = np.zeros(len(a), np.int64)
+        whole = self.rank[a] == self.rank[b]
+        out[whole] = self.length
+        left = np.flatnonzero(~whole)
+        x, y, same = a[left], b[left], np.zeros(len(left), np.int64)
+        for size, rank in reversed(self.levels[:-1]):  # what is common is a sum of such sizes and less than the least
+            for _ in range(2):  # the last doubling may be of part of a size
+                at, to = np.minimum(x + same, self.n - 1), np.minimum(y + same, self.n - 1)
+                good = (x + same < self.n) & (y + same < self.n) & (same + size <= self.length) & (rank[at] == rank[to])
+                same += size * good
+        running = np.ones(len(left), bool)
+        for _ in range(min(8, self.length) - 1):
+            running &= (same < self.length) & (self.data[np.minimum(x + same, len(self.data) - 1)]
+                                              == self.data[np.minimum(y + same, len(self.data) - 1)])
+            same += running
+        out[left] = np.minimum(same, self.length)
         return out
 
-    rank = dense(rank)
-    while size < length:
-        step = min(size, length - size)
-        behind = np.zeros(n, np.uint64)
-        behind[:max(0, n - step)] = rank[step:]
-        rank = dense(rank << np.uint64(32) | behind)
-        size += step
-    return rank
+
+def smaller_before(values: np.ndarray) -> np.ndarray:
+    """For each place of a list the nearest place before it that holds a smaller value, -1 if none; by pointer jumping."""
+    before = np.arange(len(values)) - 1
+    while True:
+        far = np.flatnonzero((before >= 0) & (values[before] > values))
+        if not len(far):
+            return before
+        before[far] = before[before[far]]
+
+
+def previous_factors(suffixes: Suffixes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of some positions, in rising order: the length of its longest previous factor, at most ``suffixes.length``,
+    and the (index of the) earlier position that it stands at, -1 if there is none."""
+    order = np.argsort(suffixes.rank[at], kind="stable")  # ties by position
+    before = smaller_before(order)
+    behind = len(order) - 1 - smaller_before(order[::-1])[::-1]
+    length, source = np.zeros(len(at), np.int64), np.full(len(at), -1)
+    for near, there in ((before, before >= 0), (behind, behind < len(order))):
+        mine, other = order[there], order[near[there]]
+        shared = suffixes.common(at[mine], at[other])
+        longer = shared > length[mine]
+        length[mine[longer]], source[mine[longer]] = shared[longer], other[longer]
+    return length, source
 
 
 def repeated_windows(pieces: list[bytes], counts: list[int], keys: list, starts: list[int], first: bool,
                      length: int = LENGTH) -> list[tuple[int, int, int]]:
-    """Of strips in order of their places: (strip, first window, number of windows) that repeat.
-
-    In suffix order with ties by position, the previous smaller position of a window is equal to it for ``length`` bytes
-    just if the window before it is, so its previous factor reaches ``length``; the next one tells of a later factor."""
+    """Of strips in order of their places: (strip, first window, number of windows) that repeat: a window whose longest
+    previous factor reaches ``length``, and with it, unless the first occurrence stays, the window it stands at."""
     data = np.frombuffer(b"".join(pieces), np.uint8)
     sizes = np.array([len(p) for p in pieces])
     counts = np.asarray(counts)
     strip = np.repeat(np.arange(len(pieces)), counts)
     within = np.arange(len(strip)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = np.repeat(np.cumsum(sizes) - sizes, counts) + within
-    rank = window_ranks(data, length)[at]
-    order = np.argsort(rank, kind="stable")
-    same = rank[order[1:]] == rank[order[:-1]]
-    previous, following = np.concatenate(([False], same)), np.concatenate((same, [False]))
-    gone = np.zeros(len(strip), bool)
+    factor, source = previous_factors(Suffixes(data, length), at)
+    again = factor >= length
+    gone = again.copy()
     if first:
+        lead = np.where(again, source, np.arange(len(at)))
+        while True:  # the first of the chain
+            jumped = lead[lead]
+            if (jumped == lead).all():
+                break
+            lead = jumped
         place = np.asarray(starts)[strip] + within
-        opening = np.maximum.accumulate(np.where(previous, 0, np.arange(len(order))))
-        lead = order[opening]
         names = {}
         owner = np.array([names.setdefault(k, len(names)) for k in keys])[strip]
-        apart = (owner[order] != owner[lead]) | (place[order] >= place[lead] + length)
-        gone[order] = previous & apart
+        gone &= (owner != owner[lead]) | (place >= place[lead] + length)
     else:
-        gone[order] = previous | following
+        gone[source[again]] = True
     edges = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0])).astype(np.int8)))
     out = []
     for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -196,19 +252,20 @@ def _split(docs: DataFrame, first: bool, length: int, whole: bool) -> tuple[Data
                       "contents")
     several = contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     one = contents.join(several, "anchor").select("anchor", "one.*", (F.col("kinds") > HOT).alias("hot"))
-    start = F.shiftright("place", 8).cast("int")
-    windows = (F.col("place").bitwiseAND(F.lit(255)) + 1).cast("int")
+    start = F.shiftright("place", _PLACE).cast("int")
+    windows = (F.col("place").bitwiseAND(F.lit((1 << _PLACE) - 1)) + 1).cast("int")
     copies = met.join(contents.where("n > 1").select("anchor", "content", "one"), ["anchor", "content"])
     if first:
         apart = ((F.col("doc_id") != F.col("one.doc_id")) | (F.col("tag") != F.col("one.tag"))
-                 | (start >= F.shiftright("one.place", 8) + length))
-        repeat = (F.col("doc_id") == F.col("one.doc_id")) & (F.col("place") == F.col("one.place"))
+                 | (start >= F.shiftright("one.place", _PLACE) + length))
+        repeat = ((F.col("doc_id") == F.col("one.doc_id")) & (F.col("tag") == F.col("one.tag"))
+                  & (F.col("place") == F.col("one.place")))
         copies = copies.where(apart & ~repeat)
     certain = stored(copies.select(*_KEY, start.alias("start"), windows.alias("windows")), "certain")
     parts = (one.select(*_KEY, F.struct(start.alias("start"), windows.alias("windows"), "anchor", "hot").alias("part"))
              .union(certain.groupBy(*_KEY).agg(F.lit(None).cast("struct<start:int,windows:int,anchor:bigint,hot:boolean>")
                                                .alias("part"))))
-    asked = parts.groupBy(*_KEY).agg(F.collect_list("part").alias("parts"))  # at most a document's own strips
+    asked = parts.groupBy(*_KEY).agg(F.collect_set("part").alias("parts"))  # a document's own strips, however many rows repeat it
     texts = stored(docs.join(asked, _KEY, "left" if whole else "inner"), "texts")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +381,7 @@ def digests(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", te
     """Per document, every occurrence removed: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     keyed = _keyed(docs, id_column, text_column)
     texts, spans = _split(keyed, False, length, whole=False)
-    listed = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+    listed = spans.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
     found = texts.select(*_KEY, "text").join(listed, _KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +417,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id
                             F.col(id_column).alias("id"), F.col(text_column).isNull().alias("null_text"),
                             *[F.col(c).alias(f"c{i}") for i, c in enumerate(inner)]).alias("row"))
     texts, spans = _split(keyed, True, length, whole=True)
-    listed = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+    listed = spans.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
     touched = texts.where("parts is not null").drop("parts").join(listed, _KEY, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
