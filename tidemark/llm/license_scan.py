@@ -57,8 +57,9 @@ SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word lo
 
 
 def postfix(expression: str) -> list[str]:
-    """The tokens of a licence expression in postfix order. Reading stops at two licences without an operator between
-    them, where prose begins; brackets that do not match are skipped."""
+    """The tokens of a licence expression in postfix order. Reading stops where prose begins: at two licences without an
+    operator between them, or at a word that names no licence, unless it is the exception behind ``with``; brackets that do
+    not match are skipped."""
     out: list[str] = []
     waiting: list[str] = []
     operand = False
@@ -78,7 +79,7 @@ def postfix(expression: str) -> list[str]:
                 out.append(waiting.pop())
             if waiting:
                 waiting.pop()
-        elif operand:
+        elif operand or (waiting[-1:] != ["with"] and identifier_label(token) is None):
             break
         else:
             out.append(token)
@@ -86,10 +87,13 @@ def postfix(expression: str) -> list[str]:
     return out + [t for t in reversed(waiting) if t != "("]
 
 
-def identifier_label(identifier: str) -> str:
+def identifier_label(identifier: str) -> str | None:
+    """The label of a licence identifier, with or without a version; ``LicenseRef-…`` is its own label; others have none."""
     name = identifier.lower().rstrip(".")
-    known = [k for k in IDENTIFIERS if name.startswith(k)]
-    return IDENTIFIERS[max(known, key=len)] if known else name
+    if name.startswith("licenseref-"):
+        return name
+    known = [k for k in IDENTIFIERS if re.match(re.escape(k) + r"($|[-+.\d]|v\d)", name)]
+    return IDENTIFIERS[max(known, key=len)] if known else None
 
 
 def evaluated(expression: str) -> tuple[set[str], float | None]:
@@ -102,7 +106,7 @@ def evaluated(expression: str) -> tuple[set[str], float | None]:
             if len(stack) < 2:
                 continue
             (right, b), (left, a) = stack.pop(), stack.pop()
-            if token == "with":
+            if token == "with" or None in right:
                 stack.append((left, a))
             else:
                 stack.append((left | right, min(a, b) if token == "and" else max(a, b)))
@@ -110,8 +114,8 @@ def evaluated(expression: str) -> tuple[set[str], float | None]:
             label = identifier_label(token)
             stack.append((frozenset([label]), FREEDOM.get(label, 0.5)))
     for names, _ in stack:
-        labels |= names
-    return labels, (min(v for _, v in stack) if stack else None)
+        labels |= names - {None}
+    return labels, (min(v for _, v in stack) if labels else None)
 
 
 @functools.cache
@@ -134,9 +138,13 @@ def scan(text: bytes) -> tuple:
     more: set[str] = set()
     values: list[float] = []
     tagged = False
+    at = before = 0  # so many spaces stand before this place: what lies between two hits is counted once
     for end, phrase in _automaton().iter(line) if words else ():
         if phrase in BASE:
-            starts.append(line.count(" ", 0, end - len(phrase)) - 1)
+            start = end - len(phrase)
+            before += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
+            at = start
+            starts.append(before - 1)
             base.add(BASE[phrase])
         elif phrase in NOTICES:
             more.add(NOTICES[phrase])
