@@ -42,6 +42,16 @@ def test_license_expressions():
     assert license_scan.evaluated("GPL-2.0-only WITH Classpath-exception-2.0 OR MIT") == ({"gpl", "mit"}, 0.9)
     assert license_scan.evaluated("GPL-3.0 and MIT")[1] == 0.4 and license_scan.evaluated("((") == (set(), None)
     assert license_scan.scan(b"// SPDX-License-Identifier: MIT OR GPL-2.0+\nint x;")[5] == "gpl,mit"
+    for prose in ("is a required field", "see LICENSE", "mitigate", "with care", "or", "", "none"):
+        assert license_scan.evaluated(prose) == (set(), None)
+    assert license_scan.evaluated("MIT is what we use") == ({"mit"}, 0.9) and license_scan.evaluated("GPLv3")[0] == {"gpl"}
+    assert license_scan.evaluated("LicenseRef-Own OR ISC") == ({"licenseref-own", "isc"}, 0.9)
+
+
+def test_places_in_a_text_of_notices():
+    text = "mit license apache license x " * 3000 + "gnu general public license cc by"
+    words, base, first, last = license_scan.scan(text.encode())[:4]
+    assert (words, base, first, last) == (15006, 6002, 0, 15004)
 
 
 def test_hits_match_brute_force(spark, docs, rows, empty):
@@ -51,14 +61,14 @@ def test_hits_match_brute_force(spark, docs, rows, empty):
     windows = defaultdict(set)
     for item, text in items.collect():
         words = WORD.findall(lowered(text))
-        for i in range(max(1, len(words) - 12)) if words and item is not None else ():
-            windows[tuple(words[i:i + 13])].add(item)
+        for i in range(max(1, len(words) - 12)) if words else ():
+            windows[tuple(words[i:i + 13])].update([item] if item is not None else [])
     want = Counter()
     for doc, text in rows:
         words, hit, found = WORD.findall(lowered(text)), set(), set()
         for size in {len(w) for w in windows}:
             for i in range(len(words) - size + 1):
-                if names := windows.get(tuple(words[i:i + size])):
+                if (names := windows.get(tuple(words[i:i + size]))) is not None:
                     found |= names
                     hit |= set(range(i, i + size))
         listed = ",".join(sorted(map(str, found)))
@@ -67,10 +77,31 @@ def test_hits_match_brute_force(spark, docs, rows, empty):
     assert Counter(map(tuple, decontamination.hits(docs, items).collect())) == want
     kept = Counter(r.doc_id for r in decontamination.clean(docs, items).collect())
     assert kept == Counter(k[0] for k in want.elements() if not k[5])
+    assert Counter(map(tuple, decontamination.hits(docs, items, block_bytes=9000).collect())) == want
+    named = docs.selectExpr("*", "1 as found_in_blocks", "'x' as spans", "2 as hash", "3 as row")
+    for bytes_ in (9000, 1_000_000):
+        left = decontamination.clean(named, items, block_bytes=bytes_)
+        assert left.columns == named.columns and Counter(r.doc_id for r in left.collect()) == kept
+        assert decontamination.clean(empty, items, block_bytes=bytes_).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.hits(empty, none).count() == 0 and decontamination.hits(docs, none).where("n_hit > 0").count() == 0
 
 
+def test_spans_beyond_a_limit_are_cut(spark):
+    item = " ".join(f"q{i}" for i in range(70))
+    own = lambda n, c: " ".join(f"{c}{i}" for i in range(n))
+    few = " ".join(f"q{i}" for i in range(20))
+    rows = [(1, f"{own(3000, 'a')}, {item}. {own(9, 'b')}"), (2, f"{own(3000, 'a')}, {few}! é {own(9, 'b')}"), (3, f"É {few}; z"), (4, None),
+            (5, item.upper()), (6, "clean words only"), (1, "another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (None, own(15, "n"))], "item_id long, text string")
+    for block_bytes in (1_000_000, 100):
+        got = {r for r in map(tuple, decontamination.cut(docs, bench, block_bytes=block_bytes).collect())}
+        assert got == {(1, f"{own(3000, 'a')}, {own(9, 'b')}"), rows[1], (3, "É z"), (4, None), (5, ""), rows[5], rows[6]}
+    assert decontamination.cut(docs, bench, longest=10).where("doc_id = 2").first().text == f"{own(3000, 'a')}, é {own(9, 'b')}"
+    assert decontamination.hits(spark.createDataFrame([(8, own(15, "n"))], "doc_id long, text string"), bench).first()[2:4] == (15, 0)
+
+
 def test_rule_counts_match_brute_force(docs, rows, empty):
     want = Counter()
     for doc, text in rows:
@@ -250,5 +281,40 @@ def test_url_rules_and_reputation(spark):
     assert url_filter.filtered(pages, outcomes.limit(0)).where("rule is null and verdict = 'block'").count() == 0
 
 
+def exact_posterior(strength, sibling, own, grid=400):
+    """Mean and variance of a host's share: its domain's share is uniform, known by siblings' pages, and hosts spread around it."""
+    theta = (np.arange(grid) + 0.5) / grid
+    level = theta[:, None]
+    domain = level ** sibling[0] * (1 - level) ** (sibling[1] - sibling[0])
+    host = theta ** (strength * level - 1) * (1 - theta) ** (strength * (1 - level) - 1)
+    host /= host.sum(axis=1, keepdims=True)
+    weight = (domain * host * theta ** own[0] * (1 - theta) ** (own[1] - own[0])).sum(axis=0)
+    weight /= weight.sum()
+    mean = (weight * theta).sum()
+    return mean, (weight * (theta - mean) ** 2).sum()
+
+
+def test_posteriors_match_integration(spark):
+    """One step down a small tree against exact beta-binomial integration on a grid."""
+    for strength, sibling, own in ((6, (8, 10), (0, 3)), (12, (2, 2), (5, 6)), (8, (0, 0), (0, 3)), (30, (15, 40), (0, 0)), (9, (3, 30), (1, 4))):
+        mean = (sibling[0] + 1) / (sibling[1] + 2)
+        known = mean * (1 - mean) / (sibling[1] + 3)
+        got = spark.range(1).select(*[c.alias(n) for c, n in zip(url_filter.updated(
+            *[F.lit(float(x)) for x in (mean, known, strength, *own)]), ("mean", "variance"))]).first()
+        want = exact_posterior(strength, sibling, own)
+        assert abs(got.mean - want[0]) < 0.04 and 0.7 < np.sqrt(got.variance / want[1]) < 1.4
+
+
+def test_own_pages_are_not_their_own_prior(spark):
+    """Three bad pages of a host that has no neighbours are little evidence; many are enough; good neighbours speak for a host."""
+    rows = [(f"h{i}.com", g) for i in range(30) for g in (1, 1, 1)] + [("lone.org", 0)] * 3 + [("worse.net", 0)] * 60
+    rows += [(f"{s}.good.de", 1) for s in "abcd" for _ in range(20)] + [("e.good.de", 0)]
+    got = {r.host: r for r in url_filter.reputation(spark.createDataFrame(rows, "host string, good int")).collect()}
+    assert got["lone.org"].high - got["lone.org"].low > 0.2 and got["lone.org"].mean < got["h1.com"].mean
+    assert got["worse.net"].high < 0.5 and got["e.good.de"].mean > got["lone.org"].mean
+    none = url_filter.reputation(spark.createDataFrame([("x.com", None)], "host string, good int")).first()
+    assert none.mean == 0.5 and none.high > 0.9
+
+
 def test_every_operator_is_registered():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))

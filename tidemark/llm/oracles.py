@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.url_filter import RULES, STRONGEST, SUFFIXES, WEAKEST
+
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 HARD_NEGATIVES = """
@@ -129,5 +131,77 @@ select d.doc_id, len(d.s)::bigint as n_shingles, coalesce(component_id, d.doc_id
 from sets d left join classes k on k.s = d.s left join named using (c) left join linked using (c)
 """
 
-ORACLES = {"op11_hard_negatives": HARD_NEGATIVES, "op12_conversation_repair": _conversations(),
+def _url_filter() -> str:
+    rules = ", ".join(f"('{text}', '{text.split('/', 1)[0]}', '/{text.split('/', 1)[1]}', '{what}')" for text, what in RULES)
+    two = ", ".join(f"'{s}'" for s in SUFFIXES)
+
+    def strength(level: str, above: str, rows: str) -> str:
+        centre = f"((good_{above} - good_{level} + rate) / (n_{above} - n_{level} + 1))"
+        return f"""
+{level}_strength as (
+    select case when between_ > 0 then least({STRONGEST}, greatest({WEAKEST}, 1 / between_ - 1)) else {STRONGEST} end as s_{level}
+    from (select case when top > chance then (spread - chance) / (top - chance) else 0 end as between_ from (
+        select coalesce(sum(n_{level} * (good_{level} / n_{level} - {centre}) * (good_{level} / n_{level} - {centre})), 0) as spread,
+            coalesce(sum({centre} * (1 - {centre})), 0) as chance, coalesce(sum(n_{level} * {centre} * (1 - {centre})), 0) as top
+        from {rows} where n_{level} > 0)))"""
+
+    def step(name: str, before: str, level: str, good: str, n: str) -> str:
+        return f"""
+{name} as (
+    select * exclude (mean, variance, prior), after as mean, after * (1 - after) / (weight + n_ + 1) as variance
+    from (select * exclude (weight, after, n_), weight, n_, (weight * mean + good_) / (weight + n_) as after
+        from (select *, mean * (1 - mean) / prior - 1 as weight, {good} as good_, {n} as n_, null as after
+            from (select * exclude (good_, weight, after, n_),
+                (mean * (1 - mean) - variance) / (s_{level} + 1) + variance as prior from {before}))))"""
+
+    return f"""
+with cut as (
+    select page_id, case when position('://' in coalesce(url, '')) > 0 then substr(url, position('://' in url) + 3) else '' end as rest
+    from pages
+), parts as (
+    select page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} as host,
+        regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path
+    from cut
+), labelled as (
+    select doc_id, min(case when quality = 1 and coalesce(toxic, 0) = 0 then 1 else 0 end) as good from labels group by doc_id
+), hosts as (
+    select host, coalesce(sum(good), 0)::double as good_host, count(good)::double as n_host, string_split(host, '.') as l,
+        case when array_to_string(l[greatest(len(l) - 1, 1):], '.') in ({two}) then 2 else 1 end as depth,
+        array_to_string(l[greatest(len(l) - depth, 1):], '.') as domain,
+        array_to_string(l[greatest(len(l) - depth + 1, 1):], '.') as suffix
+    from parts left join labelled on doc_id = try_cast(nullif(regexp_extract(path, '^/[^/]*/([0-9]+)', 1), '') as bigint)
+    group by host
+), totals as (
+    select sum(good_host) as good_all, sum(n_host) as n_all, (sum(good_host) + 1) / (sum(n_host) + 2) as rate from hosts
+), by_domain as (
+    select suffix, domain, sum(good_host) as good_domain, sum(n_host) as n_domain from hosts group by suffix, domain
+), tops as (
+    select suffix, sum(good_domain) as good_suffix, sum(n_domain) as n_suffix, any_value(good_all) as good_all,
+        any_value(n_all) as n_all, any_value(rate) as rate from by_domain, totals group by suffix
+), domains as (
+    select * from by_domain join tops using (suffix)
+), full_rows as (
+    select h.host, good_host, n_host, d.* from hosts h join domains d on h.domain = d.domain
+),{strength("suffix", "all", "tops")},{strength("domain", "suffix", "domains")},{strength("host", "domain", "full_rows")},
+started as (
+    select *, (good_all - good_suffix + 1) / (n_all - n_suffix + 2) as mean, mean * (1 - mean) / (n_all - n_suffix + 3) as variance,
+        null as good_, null as weight, null as after, null as n_
+    from full_rows, suffix_strength, domain_strength, host_strength
+),{step("of_suffix", "started", "suffix", "good_suffix - good_domain", "n_suffix - n_domain")},{step(
+        "of_domain", "of_suffix", "domain", "good_domain - good_host", "n_domain - n_host")},{step(
+        "of_host", "of_domain", "host", "good_host", "n_host")},
+fitting as (
+    select page_id, arg_max(rule, (length(rule), length(name))) as rule, arg_max(what, (length(rule), length(name))) as what
+    from parts join (values {rules}) r(rule, name, tail, what)
+        on (host = name or ends_with(host, '.' || name)) and starts_with(path, tail)
+    group by page_id
+)
+select p.page_id, p.host, p.path, rule,
+    coalesce(what, case when mean + 1.96 * sqrt(variance) < 0.5 then 'block' else 'allow' end) as verdict,
+    round(mean, 9) as reputation
+from parts p left join fitting f on f.page_id = p.page_id left join of_host h on h.host = p.host
+"""
+
+
+ORACLES = {"op10_url_filter": _url_filter(), "op11_hard_negatives": HARD_NEGATIVES, "op12_conversation_repair": _conversations(),
            "op13_jaccard_join": JACCARD_JOIN}

@@ -52,7 +52,8 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages, labels = table(spark, folder, "pages"), table(spark, folder, "labels")
-    return url_filter.filtered(pages, url_filter.labelled_outcomes(pages, labels))
+    judged = url_filter.filtered(pages, url_filter.labelled_outcomes(pages, labels))
+    return judged.withColumn("reputation", F.round("reputation", 9))
 
 
 def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,8 +1,11 @@
 """URL filters: block and allow rules by host and path, and the reputation of hosts by empirical Bayes.
 
-Labelled page outcomes (1 good, 0 bad) are counted per host, registered domain and public suffix. At each level a
-beta-binomial prior is centred on the posterior mean of the level above; its strength is estimated by moments from the
-spread of all groups of the level. A host is blocked when even the upper bound of its posterior lies below a threshold.
+Labelled page outcomes (1 good, 0 bad) are counted per host, registered domain and public suffix. A host's beta-binomial prior
+comes down this tree, and at every step from the pages of others only: from all pages outside its suffix to the suffix without
+its domain, to the domain without the host, to the host. A step takes the mean and the variance of the level above, adds the
+spread of the groups of its own level, estimated by moments from all of them, makes a beta prior of both and updates it by the
+level's counts. So one page weighs little whatever the level, and what is not known above stays uncertain below. A host is
+blocked when even the upper bound of its posterior lies below a threshold.
 Everything is built-in column expressions; counts combine before they are shuffled, so a hot host costs one row a task.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by the
@@ -56,44 +59,60 @@ def levels(host: Column, suffixes: Sequence[str] = SUFFIXES) -> tuple[Column, Co
     return tail(depth + 1), tail(depth)
 
 
-def _strength(groups: DataFrame, centre: str) -> float:
-    """A prior's strength by moments: how far the groups' shares spread around their centres, beyond chance."""
-    good, n, c = F.col("good"), F.col("n"), F.col(centre)
-    row = groups.where(n > 0).select(F.sum(n * F.pow(good / n - c, F.lit(2.0))), F.sum(c * (1 - c)), F.sum(n * c * (1 - c))
-                        ).first()  # one row of sums
+def _strength(rows: DataFrame, level: str, above: str) -> float:
+    """How alike the groups of a level are, as a prior's number of pages: by moments, how far their shares of good pages spread,
+    beyond chance, around the share of the other pages of the group above. Rows have the counts of both and ``rate``."""
+    good, n = F.col(f"good_{level}"), F.col(f"n_{level}")
+    centre = (F.col(f"good_{above}") - good + F.col("rate")) / (F.col(f"n_{above}") - n + 1)
+    row = (rows.where(n > 0).select(F.sum(n * (good / n - centre) * (good / n - centre)), F.sum(centre * (1 - centre)),
+                                    F.sum(n * centre * (1 - centre))).first())  # one row of sums
     spread, chance, top = (float(x or 0) for x in row)
     between = (spread - chance) / (top - chance) if top > chance else 0.0
     return min(STRONGEST, max(WEAKEST, 1 / between - 1)) if between > 0 else STRONGEST
 
 
+def updated(mean: Column, variance: Column, strength: Column, good: Column, n: Column) -> tuple[Column, Column]:
+    """Posterior mean and variance of a group with so many good of n pages, whose share spreads with ``strength`` around one
+    known by its mean and variance."""
+    spread = mean * (1 - mean)
+    prior = (spread - variance) / (strength + 1) + variance
+    weight = spread / prior - 1
+    after = (weight * mean + good) / (weight + n)
+    return after, after * (1 - after) / (weight + n + 1)
+
+
 def reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES, bound: float = 1.96) -> DataFrame:
     """``outcomes`` has host and good (0 or 1; null: no outcome, which still names the host). Gives per host: n, good,
-    mean, low, high. A host without outcomes has the mean of its domain, a new domain that of its suffix.
+    mean, low, high. A host without outcomes has what is known of its domain, a new domain what is known of its suffix.
 
-    Three one-row sums come to the driver, one a level; nothing else does."""
+    Four one-row sums come to the driver; nothing else does."""
     domain, suffix = levels(F.col("host"), suffixes)
     hosts = (outcomes.where(F.col("host").isNotNull()).groupBy("host")
-             .agg(F.coalesce(F.sum(F.col("good").cast("double")), F.lit(0.0)).alias("good"),
-                  F.count("good").cast("double").alias("n"))
+             .agg(F.coalesce(F.sum(F.col("good").cast("double")), F.lit(0.0)).alias("good_host"),
+                  F.count("good").cast("double").alias("n_host"))
              .withColumns({"domain": domain, "suffix": suffix}))
     hosts = stored(hosts, "hosts")  # read once for each level
-    total = hosts.agg(F.sum("good"), F.sum("n")).first()
-    rate = (total[0] + 1) / (total[1] + 2) if total[1] else 0.5
-    above, columns = None, ["suffix", "domain", "host"]
-    for level, key in enumerate(columns):
-        keys = columns[max(0, level - 1):level + 1] if key != "host" else ["suffix", "domain", "host"]
-        groups = hosts.groupBy(*keys).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-        if above is None:
-            groups = groups.withColumn("centre", F.lit(rate))
-        else:
-            groups = groups.join(above, columns[level - 1])
-        m = F.lit(_strength(groups, "centre"))
-        mean = (m * F.col("centre") + F.col("good")) / (m + F.col("n"))
-        groups = groups.withColumns({"mean": mean, "weight": m + F.col("n")})
-        above = groups.select(key, F.col("mean").alias("centre"))
-    sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
-    return groups.select("host", "n", "good", "mean", (F.col("mean") - bound * sd).alias("low"),
-                         (F.col("mean") + bound * sd).alias("high"))
+    total = hosts.agg(F.sum("good_host"), F.sum("n_host")).first()
+    rate = ((total[0] or 0) + 1) / ((total[1] or 0) + 2)
+    domains = hosts.groupBy("suffix", "domain").agg(F.sum("good_host").alias("good_domain"), F.sum("n_host").alias("n_domain"))
+    tops = domains.groupBy("suffix").agg(F.sum("good_domain").alias("good_suffix"), F.sum("n_domain").alias("n_suffix"))
+    tops = tops.withColumns({"good_all": F.lit(total[0] or 0.0), "n_all": F.lit(total[1] or 0.0), "rate": F.lit(rate)})
+    domains = stored(domains.join(tops, "suffix"), "domains")
+    full = hosts.join(domains.drop("suffix"), "domain")
+    strength = {"suffix": _strength(tops, "suffix", "all"), "domain": _strength(domains, "domain", "suffix"),
+                "host": _strength(full, "host", "domain")}
+    others = lambda what, level, own: F.col(f"{what}_{level}") - F.col(f"{what}_{own}")
+    n_out = others("n", "all", "suffix")
+    mean = (others("good", "all", "suffix") + 1) / (n_out + 2)
+    variance = mean * (1 - mean) / (n_out + 3)
+    for level, below in (("suffix", "domain"), ("domain", "host"), ("host", None)):
+        good, n = ((F.col("good_host"), F.col("n_host")) if below is None
+                   else (others("good", level, below), others("n", level, below)))
+        full = full.withColumns(dict(zip(("mean", "variance"), updated(mean, variance, F.lit(strength[level]), good, n))))
+        mean, variance = F.col("mean"), F.col("variance")
+    sd = F.sqrt("variance")
+    return full.select("host", F.col("n_host").alias("n"), F.col("good_host").alias("good"), "mean",
+                       (mean - bound * sd).alias("low"), (mean + bound * sd).alias("high"))
 
 
 def filtered(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]] = RULES, threshold: float = 0.5,
