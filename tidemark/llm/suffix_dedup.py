@@ -40,7 +40,7 @@ from tidemark.llm.common import byte_texts, key_of, partitions, slices, stored
 LENGTH, ANCHOR = 200, 32
 HOT = 2048
 #: Bytes of strips that a task sorts together, but for a single anchor's, which are at most HOT strips.
-TOGETHER = 2_000_000
+TOGETHER = 600_000
 #: Windows of a text that are hashed at once.
 CHUNK = 1 << 20
 _BITS = 21
