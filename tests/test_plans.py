@@ -51,3 +51,29 @@ def test_keep_first_combines_before_the_shuffle(spark):
 def test_top_per_group_limits_before_the_shuffle(spark):
     rows = spark.range(10).selectExpr("id % 3 k", "id v")
     assert plan(ranking.top_per_group(rows, ["k"], "v", 2, [])).count("WindowGroupLimit") == 2
+
+
+def test_answerable_pairs_take_one_join_with_keys(spark, tmp_path):
+    """One scan of each table, and a handful of exchanges whatever the number of needs."""
+    from tidemark.operators import corpus
+
+    kinds = {"prices": "ticker string, date date", "dividends": "ticker string, ex_dividend_date date", "splits": "ticker string, event_date date",
+             "tickers": "ticker string, sector string", "portfolio": "ticker string", "calendar": "exchange string, date date",
+             "rows": "draw int, needs string, ticker string, sector string, day date, start date, end date, year int"}
+    tables = {}
+    for name, kind in kinds.items():
+        spark.createDataFrame([], kind).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.schema(kind).parquet(str(tmp_path / name))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(corpus.answerable(tables.pop("rows"), *tables.values()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert text.count("FileScan") == 7 and text.count("Exchange hashpartitioning") <= 10, text
+
+
+def test_nothing_is_keyed_by_a_text(spark):
+    rows = spark.createDataFrame([("a", 1)], "text string, row long")
+    text = plan(ranking.first_of_each_text(rows, "text", ["row"]))
+    assert "partial_min" in text and "SortAggregate" not in text and "hashpartitioning(text" not in text
