@@ -56,23 +56,21 @@ def test_top_puts_missing_values_last_and_breaks_ties(spark):
 def test_chunks_cover_the_text(text, size):
     overlap = size // 3
     chunks = documents.chunk_text(text, size, overlap)
-    assert all(0 < len(c) <= size and c == c.strip() for c in chunks)
-    at = 0
-    for chunk in chunks:
-        # Every chunk lies in the text, and nothing but space is skipped between two chunks.
-        starts = [i for i in range(len(text)) if text.startswith(chunk, i)]
-        ok = [i for i in starts if not text[at:i].strip()] if at else [i for i in starts if not text[:i].strip()]
-        assert ok, (chunk, at)
-        at = max(i for i in ok if i + len(chunk) >= at) + len(chunk) if any(i + len(chunk) >= at for i in ok) else at
-    assert not text[at:].strip()
+    end = 0
+    for start, chunk in chunks:
+        # Every chunk stands where it says, ends after the one before, and nothing but space lies between the two.
+        assert 0 < len(chunk) <= size and chunk == chunk.strip() and text[start:start + len(chunk)] == chunk
+        assert not text[end:start].strip() and end - start <= overlap
+        end = max(end, start + len(chunk))
+    assert not text[end:].strip()
 
 
 def test_chunks_of_a_paragraph_repeat_its_tail():
     text = " ".join(f"word{i}" for i in range(40))
-    chunks = documents.chunk_text(text, 60, 20)
+    chunks = [chunk for _, chunk in documents.chunk_text(text, 60, 20)]
     for left, right in zip(chunks, chunks[1:]):
         assert left.split()[-1] in right.split()[:3]
-    assert documents.chunk_text("", 10, 2) == [] and documents.chunk_text("  x ", 10, 2) == ["x"]
+    assert documents.chunk_text("", 10, 2) == [] and documents.chunk_text("  x ", 10, 2) == [(2, "x")]
 
 
 def test_nearest_is_exact_with_ties(spark, monkeypatch):

@@ -30,17 +30,3 @@ def best_growth(close: Column, first: Column) -> Column:
     up = F.max(close)
     down = F.min(close)
     return growth(F.when(first >= 0, up).otherwise(down), first)
-
-
-# Rounding edge of snap: away from exact halves, where the last bit of a sum would decide.
-SNAP_EDGE = 0.4637
-
-
-def snap(x: Column, digits: int) -> Column:
-    """Rounds to a decimal grid by one scaled floor.
-
-    Sums of doubles differ in their last bit with the order of rows. Exact decimal halves are common in
-    prices, so the edge between two grid points lies a little off the half.
-    """
-    scale = float(10 ** digits)
-    return F.floor(x * scale + SNAP_EDGE) / scale

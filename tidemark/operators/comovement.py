@@ -34,13 +34,18 @@ def _tile_moments(pdf: pd.DataFrame) -> pd.DataFrame:
                          "sb": s[j, i], "sab": sxy[i, j], "saa": sxx[i, j], "sbb": sxx[j, i]})
 
 
-def pair_statistics(returns: DataFrame, tiles: int | None = None) -> DataFrame:
+def pair_statistics(returns: DataFrame, tiles: int | None = None, assets: DataFrame | None = None,
+                    least: float | None = None, least_days: int = 1) -> DataFrame:
     """Correlation and covariance of every pair a < b over the dates both have.
 
     Tickers are hashed into tiles of about 256. Every (tile pair, year) is one small task group of at most
     366 dates x 512 tickers, which emits sums per pair and year instead of one row per pair and date.
+    With ``assets`` (column ticker) others leave before the tiles, whose number follows; ``least`` keeps pairs of that
+    correlation or more, ``least_days`` those with as many common dates.
     """
     rows = returns.filter(F.col("ret").isNotNull()).select("date", "ticker", "ret")
+    if assets is not None:
+        rows = rows.join(assets.select("ticker").distinct(), "ticker", "left_semi")
     if tiles is None:
         tiles = max(1, -(-rows.select("ticker").distinct().count() // TILE))
     tile = F.pmod(F.xxhash64("ticker"), F.lit(tiles)).cast("int")
@@ -54,9 +59,10 @@ def pair_statistics(returns: DataFrame, tiles: int | None = None) -> DataFrame:
     n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
     cross = n * F.col("sab") - sa * sb
     spread_a, spread_b = n * F.col("saa") - sa * sa, n * F.col("sbb") - sb * sb
-    return total.select("a", "b", "n",
-                        ratio(cross, F.sqrt(spread_a * spread_b)).alias("correlation"),
-                        ratio(cross, (n * (n - 1)).cast("double")).alias("covariance"))
+    found = total.filter(n >= least_days).select(
+        "a", "b", "n", ratio(cross, F.sqrt(spread_a * spread_b)).alias("correlation"),
+        ratio(cross, (n * (n - 1)).cast("double")).alias("covariance"))
+    return found if least is None else found.filter(F.col("correlation") >= least)
 
 
 def correlation_matrix(returns: DataFrame, tiles: int | None = None) -> DataFrame:

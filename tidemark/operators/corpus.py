@@ -32,6 +32,7 @@ _HELD = ("select p.ticker, p.shares, d.close as price, p.shares * d.close as pos
 _BOTH = ("core.prices_daily", "core.tickers")
 _HOLD = ("portfolio", "core.prices_daily")
 
+# The kinds of questions and how each is worded.
 TEMPLATES = (
     Template("point_lookup", "Show OHLCV for {ticker} on its first trading day.",
              "select * from core.prices_daily where ticker = '{ticker}' order by date limit 1", "ticker"),

@@ -45,16 +45,17 @@ def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[tuple[s
 
 
 def chunk_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-               separators: Sequence[str] = SEPARATORS) -> list[str]:
-    """Greedy chunks of at most ``size`` characters that repeat up to ``overlap`` trailing characters."""
-    chunks: list[str] = []
+               separators: Sequence[str] = SEPARATORS) -> list[tuple[int, str]]:
+    """Greedy chunks of at most ``size`` characters that repeat up to ``overlap`` trailing characters, each with the place
+    of its first character in the text."""
+    chunks: list[tuple[int, str]] = []
     held: list[str] = []
-    length = start = 0
+    length = start = place = 0  # place: where the held pieces from ``start`` on end
 
     def emit() -> None:
-        chunk = "".join(held[start:]).strip()
-        if chunk:
-            chunks.append(chunk)
+        joined = "".join(held[start:])
+        if chunk := joined.strip():
+            chunks.append((place - len(joined.lstrip()), chunk))
 
     for piece, hard in _pieces(text, size, separators) if text else ():
         if hard:
@@ -69,6 +70,7 @@ def chunk_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                 start += 1
         held.append(piece)
         length += len(piece)
+        place += len(piece)
     if start < len(held):
         emit()
     return chunks
@@ -76,12 +78,13 @@ def chunk_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 
 def chunks(documents: DataFrame, key: str, text: str = "text", size: int = CHUNK_SIZE,
            overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """key, chunk_no from 0, chunk. Documents are cut where they lie; nothing is shuffled."""
-    @F.pandas_udf("array<string>")
+    """key, chunk_no from 0, chunk, chunk_start (characters before it). Documents are cut where they lie; nothing is shuffled."""
+    @F.pandas_udf("array<struct<start: long, chunk: string>>")
     def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: chunk_text(t, size, overlap) if t else [])
+        return texts.map(lambda t: [{"start": at, "chunk": c} for at, c in chunk_text(t, size, overlap)] if t else [])
 
-    return documents.select(key, F.posexplode(cut(F.col(text))).alias("chunk_no", "chunk"))
+    return documents.select(key, F.posexplode(cut(F.col(text))).alias("chunk_no", "c")).select(
+        key, "chunk_no", "c.chunk", F.col("c.start").alias("chunk_start"))
 
 
 def _closest(queries: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

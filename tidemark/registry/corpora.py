@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 from tidemark import schema
 from tidemark.functions import slots
 from tidemark.functions.dates import phrase_range
-from tidemark.functions.numbers import snap
 from tidemark.functions.staging import landed, once
 from tidemark.functions.text import identifier_tokens, normalize_sql, tokens
 from tidemark.operators import corpus, ranking, scoring
 from tidemark.plans import requests
 from tidemark.registry import query
 from tidemark.registry.market import rounded, tables
-from tidemark.registry.oracle import define, sql
+from tidemark.registry.oracle import define, snap, sql
 from tidemark.session import new_path
 
 

@@ -6,12 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import growth, snap
+from tidemark.functions.numbers import growth
 from tidemark.operators import bars, filters, joins, ranking, series, sets
 from tidemark.plans import metrics, questions, views
 from tidemark.plans.metrics import Tables
 from tidemark.registry import query
-from tidemark.registry.oracle import define, sql
+from tidemark.registry.oracle import define, snap, sql
 
 D = dt.date
 

@@ -6,12 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import snap
 from tidemark.operators import comovement, filters, joins, ranking, series
 from tidemark.plans import declared, metrics
 from tidemark.registry import query
 from tidemark.registry.market import rounded, tables
-from tidemark.registry.oracle import sql
+from tidemark.registry.oracle import snap, sql
 
 D = dt.date
 
@@ -285,6 +284,16 @@ def _(m):
     return rounded(pairs.union(flipped).union(own), 6, "correlation")
 
 
+@query("dec11_close_pairs_of_a_sector", sql(_PAIRS + """
+    , t as (select ticker from tickers where sector = 'EUROPE')
+    select a, b, n, round(correlation, 6) correlation from s
+    where a in (from t) and b in (from t) and n >= 10 and correlation >= 0.0501"""))
+def _(m):
+    europe = m.tickers.filter(F.col("sector") == "EUROPE")
+    df = comovement.pair_statistics(series.daily_returns(m.prices_daily), assets=europe, least=0.0501, least_days=10)
+    return rounded(df.select("a", "b", "n", "correlation"), 6, "correlation")
+
+
 @query("dec12_dividend_yield", sql("""
     select ticker, max(date) as date, round(arg_max(dividend_yield_ttm, date), 9) dividend_yield from ttm_yields group by 1"""))
 def _(m):

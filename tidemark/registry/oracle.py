@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import re
 
-from tidemark.functions.numbers import SNAP_EDGE
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Rounding edge of snap: away from exact halves, where the last bit of a sum would decide.
+SNAP_EDGE = 0.4637
 
 TABLES: dict[str, str] = {
     "prices_daily": """
@@ -101,8 +105,18 @@ def define(name: str, text: str) -> None:
     TABLES[name] = text
 
 
+def snap(x: Column, digits: int) -> Column:
+    """Rounds to a decimal grid by one scaled floor.
+
+    Sums of doubles differ in their last bit with the order of rows. Exact decimal halves are common in
+    prices, so the edge between two grid points lies a little off the half.
+    """
+    scale = float(10 ** digits)
+    return F.floor(x * scale + SNAP_EDGE) / scale
+
+
 def _snapped(text: str) -> str:
-    """Spells round(x, d) as the scaled floor of ``functions.numbers.snap``."""
+    """Spells round(x, d) as the scaled floor of ``snap``."""
     while (at := text.find("round(")) >= 0:
         depth, commas, i = 1, [], at + 6
         while depth:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import snap
 from tidemark.functions.text import clean_document, clean_sentence, sentiment_label, table_lines
 from tidemark.operators import conversations, documents, sentiment
 from tidemark.registry import query
 from tidemark.registry.market import rounded
-from tidemark.registry.oracle import define, sql
+from tidemark.registry.oracle import define, snap, sql
 
 _STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 _SENTENCE = r"regexp_replace(replace(" + _STRIP + r", chr(8203), ''), '\s+', ' ', 'g')"
@@ -21,10 +21,13 @@ def _vectors(m, key):
 
 # --- documents -------------------------------------------------------------------------------------------
 
-@query("txt1_clean_documents", sql(r"""
-    select doc_id, md5(t) text_md5, length(t) n from (
-      select doc_id, regexp_replace(regexp_replace(regexp_replace(replace(text, chr(13) || chr(10), chr(10)),
-        '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]+', ' ', 'g'), '^\s+|\s+$', '', 'g') t from documents)"""))
+define("clean_documents", r"""
+    select doc_id, regexp_replace(regexp_replace(regexp_replace(replace(text, chr(13) || chr(10), chr(10)),
+      '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as text from documents""")
+
+
+@query("txt1_clean_documents", sql("""
+    select doc_id, md5(text) text_md5, length(text) n from clean_documents"""))
 def _(m):
     cleaned = m.table("documents").select("doc_id", clean_document(F.col("text")).alias("t"))
     return cleaned.select("doc_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n"))
@@ -48,6 +51,36 @@ def _(m):
     return documents.chunks(cleaned, "doc_id")
 
 
+@query("txt3_chunk_cover", sql(r"""
+    with d as (select doc_id, length(text) n, length(regexp_replace(text, '[ \t\n\r]', '', 'g')) solid from clean_documents)
+    select doc_id, solid, coalesce(solid, 0) as covered, 0::bigint as misplaced, 0::bigint as misnumbered, 0::bigint as too_long,
+      0::bigint as too_near, coalesce(n <= 1499 and n > 0, false) as single from d"""))
+def _(m):
+    # What chunks must hold, read off their places: they stand in the text, in order, and leave out no character but space.
+    cleaned = m.table("documents").select("doc_id", clean_document(F.col("text")).alias("text"))
+    own = Window.partitionBy("doc_id").orderBy("chunk_no")  # the chunks of one document
+    end = F.col("chunk_start") + F.length("chunk")
+    placed = documents.chunks(cleaned, "doc_id").withColumns({
+        "end": end, "before": F.coalesce(F.lag(end).over(own), F.lit(0)), "place": F.row_number().over(own) - 1})
+    both = cleaned.join(placed, "doc_id", "left")
+
+    def letters(text):
+        return F.length(F.regexp_replace(text, r"[ \t\n\r]", "")).cast("long")
+
+    def count(fault):
+        return F.count_if(fault).cast("long")
+
+    fresh = F.greatest("before", "chunk_start")
+    return both.groupBy("doc_id").agg(
+        F.first(letters(F.col("text"))).alias("solid"),
+        F.coalesce(F.sum(letters(F.substring("text", fresh.cast("int") + 1, (F.col("end") - fresh).cast("int")))), F.lit(0)).alias("covered"),
+        count(F.substring("text", F.col("chunk_start").cast("int") + 1, F.length("chunk")) != F.col("chunk")).alias("misplaced"),
+        count((F.col("chunk_no") != F.col("place")) | (F.col("end") <= F.col("before"))).alias("misnumbered"),
+        count(F.length("chunk") > documents.CHUNK_SIZE).alias("too_long"),
+        count(F.col("before") - F.col("chunk_start") > documents.CHUNK_OVERLAP).alias("too_near"),
+        ((F.count("chunk") == 1) & (F.first(F.length("text")) < documents.CHUNK_SIZE)).alias("single"))
+
+
 _NEAREST = """
     select q.vec_id query_id, v.vec_id item_id, list_distance(q.embedding::double[], v.embedding::double[]) d,
       row_number() over (partition by q.vec_id
