@@ -238,6 +238,83 @@ def test_classifier_on_held_out_rows(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
 
 
+def test_gradients_match_differences():
+    """Every derivative of the attention model against a difference of its mean cross-entropy."""
+    rng = np.random.default_rng(2)
+    sizes = np.array([1, 4, 2, 7])
+    x, y, begins = rng.normal(size=(14, 5)), np.array([1.0, 0, 0, 1]), np.cumsum(sizes) - sizes
+    model = quality_classifier.AttentionModel(5)
+
+    def loss():
+        score = model._forward(x, begins, sizes)["score"]
+        return -(y * np.log(score) + (1 - y) * np.log(1 - score)).mean()
+
+    for name, got in model._gradients(x, begins, sizes, y).items():
+        flat = model.p[name].reshape(-1)
+        assert got.shape == model.p[name].shape
+        for i in range(flat.size):
+            at, step = flat[i], 1e-5
+            flat[i] = at + step
+            above = loss()
+            flat[i] = at - step
+            below = loss()
+            flat[i] = at
+            assert abs((above - below) / (2 * step) - got.reshape(-1)[i]) < 1e-7, (name, i)
+
+
+def test_attention_finds_the_passage_that_tells():
+    """Bags whose label hangs on one of many passages: the score is right and that passage weighs most."""
+    rng = np.random.default_rng(4)
+    bags, labels, marks = [], [], []
+    for i in range(400):
+        bag = rng.normal(size=(rng.integers(3, 9), 6))
+        bag[:, 0] = 0
+        mark = int(rng.integers(len(bag)))
+        bag[mark, 0] = 4
+        bag[mark, 1] = 3 if i % 2 else -3
+        bags.append(bag), labels.append(i % 2), marks.append(mark)
+    model = quality_classifier.AttentionModel(6).fit(bags[:300], labels[:300])
+    assert np.mean((model.score(bags[300:]) > 0.5) == labels[300:]) > 0.95
+    sizes = np.array([len(b) for b in bags[300:]])
+    begins = np.cumsum(sizes) - sizes
+    weight = model._forward((np.concatenate(bags[300:]) - model.mean) / model.scale, begins, sizes)["weight"]
+    assert np.mean([w.argmax() == m for w, m in zip(np.split(weight, begins[1:]), marks[300:])]) > 0.9
+
+
+def test_repeated_ids_are_learnt_from_once(spark):
+    text = "Some clean words of a text, told with care. "
+    rows = [(1, text * 9)] * 40 + [(3, "# $ % 1 2 3 X X X " * 30)] + [(i, text * (i % 5 + 3)) for i in range(4, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i != 3)) for i in range(1, 40)] + [(None, 1), (5, None)], "doc_id long, quality int")
+    once = quality_classifier.fitted(docs.dropDuplicates(["doc_id"]), labels)
+    more = quality_classifier.fitted(docs, labels)
+    assert all(np.array_equal(once.p[k], more.p[k]) for k in once.p)
+
+
+#: Pages of layouts that the training pages do not have: what must stay and what must go.
+OTHER_PAGES = (
+    ("<body><div class=\"skip-links\"><a href=\"#m\">Skip</a></div><div role=\"navigation\"><ul><li><a href=\"/a\">Alpha</a></li>"
+     "<li><a href=\"/b\">Beta</a></li></ul></div><main><h1>A title of the page</h1><p>{p}</p><h2>Second part</h2><p>{q}</p></main>"
+     "<footer><p>All rights reserved</p></footer></body>", "A title of the page {p} Second part {q}"),
+    ("<body><header><a href=\"/\">Site</a></header><div class=\"content\"><article><h2>News of the day</h2><p>{p}</p>"
+     "<blockquote>{q}</blockquote></article><section class=\"comments\"><p>{q}</p></section></div><aside><p>{q}</p></aside></body>",
+     "News of the day {p} {q}"),
+    ("<html><body><article><p>{p}</p><script>var x = '<p>no</p>';</script><style>p {{ color: red }}</style><ol><li>{q}</li></ol>"
+     "<noscript>Turn scripts on</noscript></article><form><input><p>Search here</p></form></body></html>", "{p} {q}"),
+    ("<body><div id=\"cookie-notice\"><p>We use cookies. {q}</p></div><article><h1>Head &lt;1&gt;</h1><p>{p}</p></article></body>",
+     "Head <1> {p}"),
+)
+
+
+def test_extraction_of_other_layouts():
+    model = html_extraction.trained(filled())
+    rng = random.Random(6)
+    for page, want in OTHER_PAGES:
+        words = PROSE.split()
+        parts = {c: " ".join(rng.sample(words, 40)) for c in "pq"}
+        assert model.texts([page.format(**parts)]) == [want.format(**parts)]
+
+
 def test_extraction(spark):
     model = html_extraction.trained(filled())
     pages = [html_extraction.parse(s) for s in filled(2, 77)]
