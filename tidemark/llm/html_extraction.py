@@ -164,11 +164,14 @@ def features(page: Page) -> list[list[str]]:
             under[page.parents[node]] += under[node]
             under_linked[page.parents[node]] += under_linked[node]
     rows = []
+    total = max(1, sum(own))
     for node, tag in enumerate(page.tags):
         size = _bin(own[node], (1, 20, 80, 250))
         share = _bin(under_linked[node] / under[node] if under[node] else 0, (0.01, 0.4, 0.8))
         rows.append(["bias", f"tag {tag}", f"tag {tag} {size}", f"own {size}", f"links {share}", f"kind {KINDS.get(tag, 0)} {size}",
                      f"under {_bin(under[node], (1, 100, 500))}", *(f"word {t}" for t in page.tokens[node])])
+        if not own[node]:  # an element around others: how much of the page's text it holds
+            rows[-1].append(f"part {tag} {_bin(under[node] / total, (0.1, 0.4, 0.7))}")
     return rows
 
 

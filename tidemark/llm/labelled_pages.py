@@ -64,6 +64,13 @@ LAYOUTS = (
     '<body><header><h1>{s}</h1><nav><a href="/h">{w}</a></nav></header><article data-main><h1>{w}</h1><p>{x}</p>'
     '</article><div class="sidebar">{p}</div><section id="comments"><article class="comment"><p>{p}</p></article>'
     '<article class="comment"><h4>{w}</h4><p>{x}</p></article></section><footer>{p}</footer></body>',
+    '<body><form class="search"><p>{s}</p></form><article data-main><p>{p}</p><p>{x}</p></article><div class="ad">{s}</div>'
+    '</body>',
+    '<html><body><article data-main><p>{x}</p><ul><li>{s}</li><li>{p}</li></ul><p>{p}</p></article></body></html>',
+    '<body><div class="privacy notice"><p>{p}</p><p>{s}</p></div><article data-main><p>{p}</p><p>{s}</p></article><div'
+    ' class="cookie popup"><p>{p}</p></div></body>',
+    '<body><div id="banner" class="cookie alert">{p}</div><main data-main><h2>{w}</h2><p>{p}</p></main><div class="newsletter">'
+    '<p>{p}</p></div></body>',
 )
 _SYLLABLES = "an be co de er fi ga ho in ja ko li mo na or pe qu ra se ti un ve".split()
 
