@@ -141,6 +141,29 @@ def test_pair_statistics_do_not_depend_on_tiles(spark, market):
         assert r.covariance is None or r.covariance == pytest.approx(many[key].covariance)
 
 
+def test_a_pair_leaves_its_tiles_once_whatever_the_years(spark):
+    """Rows per pair and year filled the disk: the pairs of a task's tiles are emitted once and never shuffled."""
+    data = [(D(year, 1, day), t, float((year * day * k) % 11)) for year in range(2000, 2006) for day in range(1, 9)
+            for k, t in enumerate("ABCDE", 2) if (day + k) % 4] + [(None, "A", 1.0), (None, "B", 2.0), (D(2000, 1, 1), None, 3.0)]
+    rets = spark.createDataFrame(data, "date date, ticker string, ret double")
+    found = comovement.pair_statistics(rets, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Aggregate" not in plan.split("MapInArrow")[0]
+    by = {}
+    for day, t, r in data:
+        by.setdefault(t, {})[day] = r
+    for r in found.collect():
+        common = [(by[r.a][d], by[r.b][d]) for d in by[r.a].keys() & by[r.b].keys()]
+        a, b = (sum(c) / len(common) for c in zip(*common))
+        cov = sum((x - a) * (y - b) for x, y in common)
+        size = math.sqrt(sum((x - a) ** 2 for x, _ in common) * sum((y - b) ** 2 for _, y in common))
+        assert (r.n, r.correlation, r.covariance) == (
+            len(common), pytest.approx(cov / size), pytest.approx(cov / (len(common) - 1)))
+    assert found.count() == 10 and comovement.pair_statistics(rets, 2, least_days=37).count() < 10
+    with pytest.raises(Exception, match="two returns of one date"):
+        comovement.pair_statistics(rets.union(rets), 1).collect()
+
+
 def test_every_declared_metric_runs(market):
     t = Tables(market.prices_daily, market.dividends, market.splits, market.tickers, market.portfolio, market.trading_calendar)
     for name in declared.DECLARED:
