@@ -211,6 +211,19 @@ def test_partition_writes_and_incremental_load(spark, tmp_path):
     assert [r.ticker for r in sinks.not_landed(wanted, spark.read.parquet(path)).collect()] == ["C"]
 
 
+def test_a_ticker_is_one_file_written_beside_others(spark, tmp_path):
+    """A file for each ticker and year, all by one task of a small table, took most of the load's time."""
+    path = str(tmp_path / "p")
+    data = [(f"T{i}", D(year, 1, 2), float(i)) for i in range(24) for year in range(2000, 2005)] + [(None, D(2000, 1, 2), 1.0), ("T1", None, 2.0)]
+    sinks.by_ticker(spark.createDataFrame(data, "ticker string, date date, close double"), path)
+    folders = list((tmp_path / "p").glob("ticker=*"))
+    files = [f.name for folder in folders for f in folder.glob("*.parquet")]
+    assert len(folders) == len(files) == 25
+    assert len({name.split("-")[1] for name in files}) > 1  # the number of the task
+    back = [tuple(r) for r in spark.read.parquet(path).select("ticker", "date", "close").collect()]
+    assert sorted(map(str, back)) == sorted(map(str, data))
+
+
 def test_broken_json_lines_are_skipped(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": "1", "sql": "s"}\n{"id": "2"\n\n{"id": "3", "sql": "t"}\n')
     assert sorted(r.id for r in readers.json_lines(spark, str(tmp_path), "id string, sql string").collect()) == ["1", "3"]

@@ -12,12 +12,11 @@ from pyspark.sql import types as T
 def by_ticker(df: DataFrame, path: str) -> None:
     """One folder per ticker; only folders of tickers in ``df`` are replaced.
 
-    Rows meet by ticker and year before the write, so that a ticker's files stay few and one with a long
-    history is still written by several tasks.
+    A ticker's rows, one a day, meet before the write and are one file. The files cost more than their bytes, so the tickers
+    are dealt over all shuffle partitions, which small tables would otherwise be joined to one of.
     """
-    day = next((c for c in ("date", "event_date") if c in df.columns), None)
-    keys = [F.col("ticker")] + ([F.year(day)] if day else [])
-    (df.repartition(*keys).write.partitionBy("ticker").mode("overwrite")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(parts, "ticker").write.partitionBy("ticker").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
