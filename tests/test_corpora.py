@@ -65,6 +65,19 @@ def test_chunks_cover_the_text(text, size):
     assert not text[end:].strip()
 
 
+def test_chunks_leave_the_worker_in_small_batches(spark):
+    """All chunks of a batch of documents were held at once, as one column of lists: memory grew with the documents."""
+    texts = [None, "", "  ", "one. two. three", "word " * 9000, "x" * 4000, "one. two. three"]
+    data = [(i % 5 or None, t) for i, t in enumerate(texts)]
+    found = documents.chunks(spark.createDataFrame(data, "k long, text string").coalesce(1), "k", size=7, overlap=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    assert found.dtypes == [("k", "bigint"), ("chunk_no", "int"), ("chunk", "string"), ("chunk_start", "bigint")]
+    wanted = [(k, no, c, at) for k, t in data for no, (at, c) in enumerate(documents.chunk_text(t or "", 7, 2))]
+    assert len(wanted) > 3 * documents.CHUNK_ROWS
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, wanted))
+
+
 def test_chunks_of_a_paragraph_repeat_its_tail():
     text = " ".join(f"word{i}" for i in range(40))
     chunks = [chunk for _, chunk in documents.chunk_text(text, 60, 20)]

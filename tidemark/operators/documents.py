@@ -6,8 +6,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.staging import landed
 from tidemark.functions.text import strip
@@ -16,6 +18,8 @@ from tidemark.operators.ranking import first_of_each_text, keep_first, top_per_g
 # Chunk sizes and the separators tried in order; the empty one cuts between characters.
 CHUNK_SIZE, CHUNK_OVERLAP = 1500, 500
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
+#: Chunks that a worker holds before they leave it, about.
+CHUNK_ROWS = 1000
 
 #: Rows of a block; pivots of a larger table of items, and rings around each.
 BLOCK_ROWS, PIVOTS, RINGS = 4096, 256, 64
@@ -78,13 +82,25 @@ def chunk_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 
 def chunks(documents: DataFrame, key: str, text: str = "text", size: int = CHUNK_SIZE,
            overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """key, chunk_no from 0, chunk, chunk_start (characters before it). Documents are cut where they lie; nothing is shuffled."""
-    @F.pandas_udf("array<struct<start: long, chunk: string>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"start": at, "chunk": c} for at, c in chunk_text(t, size, overlap)] if t else [])
-
-    return documents.select(key, F.posexplode(cut(F.col(text))).alias("chunk_no", "c")).select(
-        key, "chunk_no", "c.chunk", F.col("c.start").alias("chunk_start"))
+    """key, chunk_no from 0, chunk, chunk_start (characters before it). Documents are cut where they lie, one after the
+    other, and their chunks leave a worker every ``CHUNK_ROWS``; nothing is shuffled."""
+    kept = documents.select(key, F.col(text).alias("text_"))
+    schema = T.StructType([T.StructField(key, kept.schema[0].dataType), T.StructField("chunk_no", T.IntegerType()),
+                           T.StructField("chunk", T.StringType()), T.StructField("chunk_start", T.LongType())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple[int, int, str, int]] = []
+            for at, value in enumerate(batch.column("text_")):
+                rows += [(at, no, c, place) for no, (place, c) in enumerate(chunk_text(value.as_py() or "", size, overlap))]
+                if len(rows) >= CHUNK_ROWS or at + 1 == batch.num_rows and rows:
+                    row, no, chunk, place = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(key).take(pa.array(row)), pa.array(no, pa.int32()), pa.array(chunk, pa.string()),
+                         pa.array(place, pa.int64())], names=schema.names)
+                    rows = []
+
+    return kept.mapInArrow(cut, schema)
 
 
 def _closest(queries: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
