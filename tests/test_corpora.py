@@ -2,6 +2,7 @@ import collections
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -86,6 +87,35 @@ def test_chunks_of_a_paragraph_repeat_its_tail():
     assert documents.chunk_text("", 10, 2) == [] and documents.chunk_text("  x ", 10, 2) == [(2, "x")]
 
 
+def test_what_queries_open_leaves_in_bounded_batches():
+    """Every vector that 512 queries send to all rings was held at once: 512 times the rings."""
+    rng = np.random.default_rng(3)
+    rings = documents.Rings(rng.normal(size=(8, 4)))
+    rings.measured([(c, r, 4, 0.0, 9.0) for c in range(8) for r in range(40)], 4)
+    vectors = rng.normal(size=(300, 4))
+    asked = pd.DataFrame({"query_id": np.arange(300), "vector": list(vectors), "limit": np.nan})
+    early = list(documents._visits(rings, 3, False)(iter([asked])))
+    late = list(documents._visits(rings, 3, True)(iter([asked])))
+    assert max(map(len, early + late)) <= documents.BLOCK_ROWS < 300 * 320 and len(early[0]) > 0
+    every = pd.concat(early + late)
+    assert len(every) == 300 * 320 and not every.duplicated(["query_id", "cell", "ring"]).any()
+    assert all((v == vectors[q]).all() for q, v in zip(every["query_id"], every["vector"]))
+
+
+@pytest.mark.parametrize("n", [3, 8, 9, 700])
+def test_closest_of_a_block_by_distance_and_id(n):
+    """Copies of one vector tie with all of a block: they are measured some at a time and settled by id."""
+    rng = np.random.default_rng(n)
+    items = rng.integers(0, 3, (n, 3)).astype(float)
+    asked, ids = np.concatenate([rng.integers(0, 3, (300, 3)), np.full((40, 3), np.nan)]).astype(float), rng.permutation(n) + 10
+    found = documents._hits(np.arange(340) + 5, asked, ids, items, 8)
+    for q in range(300):
+        wanted = sorted((float(np.sqrt(((v - asked[q]) ** 2).sum())), int(i)) for v, i in zip(items, ids))[:8]
+        mine = found[found["query_id"] == q + 5]
+        assert list(zip(mine["distance"], mine["item_id"])) == wanted
+    assert (found["query_id"] >= 305).sum() == (40 * n if n <= 8 else 0)
+
+
 def test_nearest_is_exact_with_ties(spark, monkeypatch):
     monkeypatch.setattr(documents, "BLOCK_ROWS", 16)
     rng = np.random.default_rng(1)

@@ -23,6 +23,10 @@ CHUNK_ROWS = 1000
 
 #: Rows of a block; pivots of a larger table of items, and rings around each.
 BLOCK_ROWS, PIVOTS, RINGS = 4096, 256, 64
+#: Bounds of queries to rings that a worker holds at once; of what they open it sends ``BLOCK_ROWS`` vectors at a time.
+VISITS = 1 << 18
+#: Pairs of a query and an item measured at once, about.
+PAIRS = 1 << 15
 
 
 def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[tuple[str, bool]]:
@@ -103,24 +107,31 @@ def chunks(documents: DataFrame, key: str, text: str = "text", size: int = CHUNK
     return kept.mapInArrow(cut, schema)
 
 
-def _closest(queries: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query: the k nearest rows of one block by (distance, id).
+def _closest(queries: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Queries, items and distances of the k nearest rows of one block to each query by (distance, id).
 
-    Products of whole blocks say which rows may be among them, up to their rounding; those are measured exactly.
+    Products of whole blocks say which rows may be among them, up to their rounding; those are measured exactly, at most some
+    ``PAIRS`` at once or one query's.
     """
     sizes = (items ** 2).sum(axis=1)
     for at in range(0, len(queries), 256):
         part = queries[at:at + 256]
         rough = sizes - 2 * (part @ items.T)  # squared distance less the query's own square
         slack = 1e-9 * (sizes.max(initial=0) + (part ** 2).sum(axis=1)) + 1e-300
-        for row, vector in enumerate(part):
-            if len(items) > k:  # everything within the k-th distance, so that ties are settled by id
-                near = np.flatnonzero(rough[row] <= np.partition(rough[row], k - 1)[k - 1] + slack[row])
-            else:
-                near = np.arange(len(items))
-            distance = np.sqrt(((items[near] - vector) ** 2).sum(axis=1))
-            order = np.lexsort((ids[near], distance))[:k]
-            yield at + row, near[order], distance[order]
+        near = np.ones(rough.shape, bool)
+        if len(items) > k:  # everything within the k-th distance, so that ties are settled by id
+            near = rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)[:, None]
+        held = near.sum(axis=1).cumsum()
+        first = 0
+        while first < len(part):
+            last = max(first + 1, int(np.searchsorted(held, PAIRS + (held[first - 1] if first else 0), "right")))
+            row, item = np.nonzero(near[first:last])
+            row += first
+            distance = np.sqrt(((items[item] - part[row]) ** 2).sum(axis=1))
+            order = np.lexsort((ids[item], distance, row))  # rows are in order, so each keeps its places
+            order = order[np.arange(len(row)) - np.searchsorted(row, row, "left") < k]
+            yield at + row[order], item[order], distance[order]
+            first = last
 
 
 def _hits(query_ids, queries, item_ids, items, k) -> pd.DataFrame:
@@ -128,9 +139,8 @@ def _hits(query_ids, queries, item_ids, items, k) -> pd.DataFrame:
     if not found:
         return pd.DataFrame({"query_id": [], "item_id": [], "distance": []}).astype(
             {"query_id": "int64", "item_id": "int64", "distance": "float64"})
-    return pd.DataFrame({"query_id": np.repeat(query_ids, [len(o) for _, o, _ in found]),
-                         "item_id": item_ids[np.concatenate([o for _, o, _ in found])],
-                         "distance": np.concatenate([d for _, _, d in found])})
+    row, item, distance = map(np.concatenate, zip(*found))
+    return pd.DataFrame({"query_id": query_ids[row], "item_id": item_ids[item], "distance": distance})
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -245,9 +255,9 @@ def _ringed(items: DataFrame, k_rows: int, n: int) -> tuple[Rings, DataFrame]:
 
 def _meet(asked: DataFrame, items: DataFrame, k: int, block_rows: int) -> DataFrame:
     """Hits of queries (query_id, vector, cell, ring, parts) in the rings they ask for. A ring's rows and its queries are
-    both cut into parts of bounded size."""
+    both cut into parts of bounded size; queries into no smaller ones than ``BLOCK_ROWS``, since each part gets the ring's rows."""
     ring = ["cell", "ring"]
-    sizes = asked.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("groups"),
+    sizes = asked.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / max(block_rows, BLOCK_ROWS)).cast("int").alias("groups"),
                                      F.first("parts").alias("parts"))
     left = (asked.join(sizes.select(*ring, "groups"), ring)
             .withColumn("group", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int"))
@@ -269,17 +279,21 @@ def _meet(asked: DataFrame, items: DataFrame, k: int, block_rows: int) -> DataFr
 def _visits(rings: Rings, k: int, later: bool):
     """Queries with each ring they ask for: the first ones, or with a column ``limit`` all others within it."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, min(512, VISITS // max(1, len(rings.cell))))
         for pdf in batches:
-            for at in range(0, len(pdf), 512):
-                part = pdf.iloc[at:at + 512]
+            for at in range(0, len(pdf), step):
+                part = pdf.iloc[at:at + step]
                 bounds = rings.bounds(_matrix(part["vector"]))
                 mask = rings.first(bounds, k)
                 if later:
                     limit = part["limit"].fillna(np.inf).to_numpy()
                     mask = ~mask & (bounds <= limit[:, None])
-                query, ring = np.nonzero(mask)
-                yield pd.DataFrame({"query_id": part["query_id"].to_numpy()[query], "vector": part["vector"].to_numpy()[query],
-                                    "cell": rings.keys[ring, 0], "ring": rings.keys[ring, 1], "parts": rings.parts[ring]})
+                queries, opened = np.nonzero(mask)
+                ids, vectors = part["query_id"].to_numpy(), part["vector"].to_numpy()
+                for first in range(0, len(queries), BLOCK_ROWS):
+                    query, ring = queries[first:first + BLOCK_ROWS], opened[first:first + BLOCK_ROWS]
+                    yield pd.DataFrame({"query_id": ids[query], "vector": vectors[query], "cell": rings.keys[ring, 0],
+                                        "ring": rings.keys[ring, 1], "parts": rings.parts[ring]})
 
     return run
 
