@@ -2,6 +2,7 @@
 
 import functools
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -148,3 +149,30 @@ def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_worker_holds_for_one_operator_at_a_time():
+    path = tokens.public_path()
+    coder = weakref.ref(tokens.encoder(path))
+    assert tokens.encoder(path) is coder()
+    pieces = weakref.ref(quality_rules._vocabularies()[0])
+    assert coder() is None and quality_rules._vocabularies()[0] is pieces()
+    tokens.encoder(path)
+    assert pieces() is None
+
+
+def test_texts_go_to_the_quality_rules_once(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "s", 3)], DOCS)
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def sent(self, run, schema):
+        seen.append(self.schema.simpleString())
+        raise Stop
+
+    with pytest.MonkeyPatch.context() as patch, pytest.raises(Stop):
+        patch.setattr(type(docs), "mapInArrow", sent)
+        quality_rules.kept(docs, labels=spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert seen == ["struct<doc_id:bigint,lang:string,row:struct<c0:bigint,c1:string,c2:string,c3:string,c4:bigint>>"]

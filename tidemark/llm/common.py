@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,9 @@ from tidemark.session import new_path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Keys of rows without an id start here.
 UNNAMED = 1 << 62
+T = TypeVar("T")
+#: What this worker holds from batch to batch, by name.
+_HELD: dict[str, object] = {}
 #: Lower-cases A-Z and turns every ASCII byte that is no letter or digit into a space; bytes of other characters stay.
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -62,6 +66,16 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def held(name: str, make: Callable[[], T]) -> T:
+    """What a worker keeps from batch to batch, such as a vocabulary and the words it has met. A worker serves one operator
+    after another and holds for one at a time: under another name, what was held before goes."""
+    if name not in _HELD:
+        _HELD.clear()
+        pa.default_memory_pool().release_unused()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """Batches of at most so many rows, to bound what a task holds beside them."""
     for batch in batches:

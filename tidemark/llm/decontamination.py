@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import alnum_words, byte_texts, key_of, slices, stored
+from tidemark.llm.common import alnum_words, byte_texts, held, key_of, slices, stored
 
 WINDOW = 13
 #: The words of ``alnum_words`` in place.
@@ -164,23 +164,21 @@ def _dealt(benchmark: DataFrame, id_column: str, text_column: str, block_bytes:
 class _Machine:
     """A block's automaton as a task built it; a worker unpacks it once, and forgets the one before."""
 
-    unpacked: tuple[str, SuffixAutomaton] | None = None
-
     def __init__(self, items: DataFrame, window: int):
+        name = self.name = f"machine {uuid.uuid4().hex}"
+
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = [r for b in batches for r in zip(b.column("item_id").to_pylist(), byte_texts(b, "text"))]
-            packed = zlib.compress(pickle.dumps(SuffixAutomaton(rows, window), pickle.HIGHEST_PROTOCOL), 1)
+            built = held(name, lambda: SuffixAutomaton(rows, window))
+            packed = zlib.compress(pickle.dumps(built, pickle.HIGHEST_PROTOCOL), 1)
             yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary()), pa.array([True])], names=["machine", "one"])
 
         row = items.coalesce(1).mapInArrow(build, "machine binary, one boolean").first()
         packed = bytes(row["machine"]) if row else zlib.compress(pickle.dumps(SuffixAutomaton([], window)))
-        self.name, self.sent = uuid.uuid4().hex, items.sparkSession.sparkContext.broadcast(packed)
+        self.sent = items.sparkSession.sparkContext.broadcast(packed)
 
     def __call__(self) -> SuffixAutomaton:
-        if _Machine.unpacked is None or _Machine.unpacked[0] != self.name:
-            _Machine.unpacked = None
-            _Machine.unpacked = self.name, pickle.loads(zlib.decompress(self.sent.value))
-        return _Machine.unpacked[1]
+        return held(self.name, lambda: pickle.loads(zlib.decompress(self.sent.value)))
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, id_column: str, text_column: str, judge,

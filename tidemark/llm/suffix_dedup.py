@@ -26,7 +26,6 @@ an empty table gives no rows; other columns pass through ``deduplicated`` and ar
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_texts, key_of, partitions, slices, stored
+from tidemark.llm.common import byte_texts, held, key_of, partitions, slices, stored
 
 LENGTH, ANCHOR = 200, 32
 HOT = 2048
@@ -51,12 +50,11 @@ _KEY = ["doc_id", "tag"]
 STRIPS = "doc_id long, tag int, place long, anchor long, content long"
 
 
-@functools.cache
 def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, as many as a chunk has bytes."""
     n = CHUNK + 2 * length
-    up, down = (np.multiply.accumulate(np.array([1] + [base] * n, np.uint64)) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
-    return up, down
+    return held(f"powers for {length}", lambda: tuple(
+        np.multiply.accumulate(np.array([1] + [base] * n, np.uint64)) for base in (_BASE, pow(_BASE, -1, 1 << 64))))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -8,12 +8,13 @@ model at once, any other through the whole tokenizer.
 
 from __future__ import annotations
 
-import functools
 import os
 import unicodedata
 
 import numpy as np
 
+from tidemark.llm.common import held
+
 #: Words whose ids a worker remembers: bounds its memory; beyond it words are encoded each time they come.
 CACHE = 600_000
 VOCABULARY = "word_bpe_49k.json"
@@ -65,10 +66,9 @@ class WordEncoder:
         return [b"".join(map(ids, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
-@functools.cache
 def encoder(path: str) -> WordEncoder:
-    """One encoder for each worker and vocabulary."""
-    return WordEncoder(path)
+    """One encoder for each worker, until it serves another vocabulary or operator."""
+    return held(f"words of {path}", lambda: WordEncoder(path))
 
 
 def public_path(name: str = VOCABULARY) -> str:
