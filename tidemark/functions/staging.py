@@ -23,3 +23,14 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows that one task takes of what ``dealt`` deals, about.
+PART_ROWS = 500_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """The rows dealt by their keys over the session's shuffle partitions, or over as many as leave some ``PART_ROWS`` of ``rows``
+    in each, so that what a task holds does not grow with the table."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(parts, -(-rows // PART_ROWS)), *keys)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import growth
+from tidemark.functions.staging import dealt
 from tidemark.operators import bars, filters, joins, ranking, series, sets
 from tidemark.plans import metrics, questions, views
 from tidemark.plans.metrics import Tables
@@ -278,11 +279,13 @@ def _(m):
 
 
 def _orders_as_requests(m):
-    """One request per distinct (order, ticker): the ticker's last bar at the order date."""
-    lines = m.table("lineitem").select("l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"))
+    """One request per distinct (order, ticker): the ticker's last bar at the order date. Lines are dealt by order first: nearly
+    all are distinct, and no task should hold those of a whole file."""
+    table = m.table("lineitem")
+    lines = dealt(table.select("l_orderkey", "l_suppkey"), table.count(), "l_orderkey").select("l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"))
     dates = m.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("as_of"))
     return lines.join(dates, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_orderkey").alias("request_id"), "ticker", "as_of").distinct()
+        F.col("l_orderkey").alias("request_id"), "ticker", "as_of").distinct()
 
 
 define("asked", """
