@@ -9,9 +9,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators import cleaning, conversations, documents, ranking, scoring, sentiment
+from tidemark.functions import staging
+from tidemark.operators import cleaning, conversations, corpus, documents, ranking, scoring, sentiment
 from tidemark.plans import requests
 from tidemark.plans.metrics import Tables
+from tidemark.registry import market as registered
 from tidemark.sources import payloads, readers, sinks
 
 D = dt.date
@@ -424,3 +426,31 @@ def test_last_months_start_after_the_same_day(spark):
     got = {r.date: r.n for r in series.windowed(frame, "sum", "close", 1, "months", "n").collect()}
     assert got == {days[0]: 1, days[1]: 2, days[2]: 3, days[3]: 2, days[4]: 2, days[5]: 3, days[6]: 1}
     assert "interval" not in str(series.windowed(frame, "sum", "close", 2, "months", "n")._jdf.queryExecution().executedPlan())
+
+
+def test_only_keys_that_pairs_ask_for_are_aggregated(spark, market):
+    tables = (market.prices_daily, market.dividends, market.splits, market.tickers, market.portfolio, market.trading_calendar)
+    every = {r[:3]: r[3:] for r in corpus.typed_keys(*tables).collect()}
+    asked = sorted(k for k in every if None not in k)[::97]
+    wanted = spark.createDataFrame([*asked, ("ticker", "no such", "")], "need string, k1 string, k2 string")
+    assert {r[:3]: r[3:] for r in corpus.typed_keys(*tables, wanted).collect()} == {k: every[k] for k in asked}
+
+
+def test_requests_of_lines_are_dealt_over_tasks_of_bounded_size(market, monkeypatch):
+    monkeypatch.setattr(staging, "PART_ROWS", 100)
+    asked = registered._orders_as_requests(market)
+    sizes = [len(x) for x in asked.rdd.glom().collect()]
+    lines = market.table("lineitem")
+    want = lines.join(market.table("orders"), lines.l_orderkey == F.col("o_orderkey")).select(
+        "l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")), F.to_date("o_orderdate")).distinct()
+    assert sorted(asked.collect()) == sorted(want.collect()) and max(sizes) < 300
+
+
+def test_texts_come_to_the_hits_that_stay(spark):
+    hits = spark.createDataFrame([(1, 5, 0.0, 1), (1, 6, 1.0, 2), (1, 7, 2.0, 3)], "query_id long, item_id long, distance double, rank int")
+    texts = spark.createDataFrame([(5, "a"), (6, "a"), (7, None), (7, None)], "item_id long, text string")
+    kept = documents.distinct_hits(hits, texts, 2)
+    assert sorted(map(tuple, kept.select("item_id", "text", "rank").collect())) == [(5, "a", 1), (7, None, 2)]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    carried = [line for line in plan.splitlines() if "min_by(" in line]
+    assert carried and not any("text" in line for line in carried)

@@ -25,8 +25,11 @@ CHUNK_ROWS = 1000
 BLOCK_ROWS, PIVOTS, RINGS = 4096, 256, 64
 #: Bounds of queries to rings that a worker holds at once; of what they open it sends ``BLOCK_ROWS`` vectors at a time.
 VISITS = 1 << 18
-#: Pairs of a query and an item measured at once, about.
-PAIRS = 1 << 15
+#: Pairs of a query and an item measured at once, about; products of a query and an item held at once.
+PAIRS, PRODUCTS = 1 << 15, 1 << 22
+#: Rows of a ring that is searched as one where the caller names no number: queries and items are sent once for each such block
+#: of the other side. Items of a block whose nearest one stands for them when the k-th distance is bounded.
+RING_ROWS, BESIDE = 1 << 16, 64
 
 
 def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[tuple[str, bool]]:
@@ -114,13 +117,17 @@ def _closest(queries: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int) ->
     ``PAIRS`` at once or one query's.
     """
     sizes = (items ** 2).sum(axis=1)
-    for at in range(0, len(queries), 256):
-        part = queries[at:at + 256]
+    step = max(1, min(256, PRODUCTS // max(1, len(items))))
+    for at in range(0, len(queries), step):
+        part = queries[at:at + step]
         rough = sizes - 2 * (part @ items.T)  # squared distance less the query's own square
         slack = 1e-9 * (sizes.max(initial=0) + (part ** 2).sum(axis=1)) + 1e-300
         near = np.ones(rough.shape, bool)
         if len(items) > k:  # everything within the k-th distance, so that ties are settled by id
-            near = rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)[:, None]
+            least, whole = rough, len(items) // BESIDE
+            if whole >= k:  # the k-th of the least of any k groups is no less than the k-th of all
+                least = rough[:, :whole * BESIDE].reshape(len(part), whole, BESIDE).min(axis=2)
+            near = rough <= (np.partition(least, k - 1, axis=1)[:, k - 1] + slack)[:, None]
         held = near.sum(axis=1).cumsum()
         first = 0
         while first < len(part):
@@ -312,10 +319,10 @@ def nearest_by_pivots(queries: DataFrame, items: DataFrame, k: int, n: int, bloc
 def nearest(queries: DataFrame, items: DataFrame, k: int = 8, block_rows: int | None = None) -> DataFrame:
     """The k nearest items of every query by Euclidean distance, exact, ties by item id.
 
-    queries(query_id, vector), items(item_id, vector). A table of at most ``block_rows`` items (``BLOCK_ROWS``) is one block;
-    of a larger one each query opens only the rings that may hold a hit.
+    queries(query_id, vector), items(item_id, vector). A table of at most ``block_rows`` items (``RING_ROWS``) meets the
+    queries block by block; of a larger one each query opens only the rings that may hold a hit.
     """
-    n, block_rows = items.count(), block_rows or BLOCK_ROWS
+    n, block_rows = items.count(), block_rows or RING_ROWS
     hits = _nearest_in_blocks(queries, items, k) if n <= block_rows else nearest_by_pivots(
         queries, items, k, n, max(block_rows, -(-n // (PIVOTS * RINGS))))
     return top_per_group(hits, ["query_id"], "distance", k, ["item_id"], descending=False)
@@ -324,11 +331,16 @@ def nearest(queries: DataFrame, items: DataFrame, k: int = 8, block_rows: int |
 def distinct_hits(hits: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """Hits with their text, copies of one text dropped after the first, renumbered, cut to k.
 
-    ``hits`` holds a bounded number of rows per query.
+    ``hits`` holds a bounded number of rows per query. They meet the texts' digests first; texts come to the hits that stay.
     """
-    shown = hits.join(texts, "item_id").withColumn("digest", F.md5("text"))
+    keyed = texts.select("item_id", "text", F.md5("text").alias("digest"))
+    own = keyed.groupBy("item_id", "digest").agg(F.first("text").alias("text"))
+    shown = hits.join(keyed.select("item_id", "digest"), "item_id")
     first = keep_first(shown, ["query_id", "digest"], ["rank"]).withColumnRenamed("rank", "raw_rank")
-    return top_per_group(first, ["query_id"], "raw_rank", k, ["item_id"], descending=False)
+    kept = top_per_group(first, ["query_id"], "raw_rank", k, ["item_id"], descending=False)
+    same = (F.col("item_id") == F.col("item_id_")) & F.col("digest").eqNullSafe(F.col("digest_"))
+    return kept.join(own.withColumnsRenamed({"item_id": "item_id_", "digest": "digest_"}), same).select(
+        *[c for c in hits.columns if c != "rank"], "text", "digest", "raw_rank", "rank")
 
 
 def context(hits: DataFrame, separator: str = "\n\n---\n\n") -> DataFrame:
