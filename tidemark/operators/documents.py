@@ -262,9 +262,10 @@ def _ringed(items: DataFrame, k_rows: int, n: int) -> tuple[Rings, DataFrame]:
 
 def _meet(asked: DataFrame, items: DataFrame, k: int, block_rows: int) -> DataFrame:
     """Hits of queries (query_id, vector, cell, ring, parts) in the rings they ask for. A ring's rows and its queries are
-    both cut into parts of bounded size; queries into no smaller ones than ``BLOCK_ROWS``, since each part gets the ring's rows."""
+    both cut into parts of bounded size; queries into ones of one to four
+    times ``BLOCK_ROWS``, since each part gets the ring's rows."""
     ring = ["cell", "ring"]
-    sizes = asked.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / max(block_rows, BLOCK_ROWS)).cast("int").alias("groups"),
+    sizes = asked.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / max(BLOCK_ROWS, min(block_rows, 4 * BLOCK_ROWS))).cast("int").alias("groups"),
                                      F.first("parts").alias("parts"))
     left = (asked.join(sizes.select(*ring, "groups"), ring)
             .withColumn("group", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int"))
