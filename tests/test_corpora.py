@@ -307,6 +307,51 @@ def test_filters_text_arguments_and_reasons(spark):
         5: "unclear filter", 6: "unreadable argument", 7: "no assets", 8: "no request"}
 
 
+def test_requests_for_many_tickers_are_landed_without_their_tickers(spark, monkeypatch):
+    days = (D(2024, 1, 2), D(2024, 2, 3), D(2024, 3, 9))
+    prices = spark.createDataFrame([(d, f"T{i}", c, c, c, c, i, c, 1) for i in range(60) for d, c in zip(days, (4.0, 8.0, 2.0))],
+                                   schema.PRICES_DAILY)
+    held = spark.createDataFrame([(f"T{i}", 1.0, 1.0) for i in (*range(50), 3)], schema.PORTFOLIO)
+    year = (D(2024, 1, 1), D(2024, 12, 31))
+    asked = [(i, "close", [], *year) for i in range(40)] + [(i, "ytd_return", ["My Portfolio"], *year) for i in range(40, 80)] + [
+        (80, "rolling_return", ["my holdings", "my portfolio"], D(2024, 2, 1), D(2024, 12, 31)),
+        (81, "close", ["*", "t7", "x"], *year), (82, "close", ["T7", "t7", None], *year), (82, "close", ["T7"], *year),
+        (None, "close", ["t1"], *year), (83, "volume", ["My Portfolio"], *year), (83, "volume", ["t59", "t1"], *year)]
+    table = spark.createDataFrame([(*a, 5) for a in asked], "request_id long, metric string, assets array<string>, low date, high date, window int")
+    rows = {}
+
+    def landed(df, label):
+        out = staging.landed(df, label)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(requests, "landed", landed)
+    got = requests.evaluate(table, Tables(prices, portfolio=held)).collect()
+    assert len(got) == len({(r.request_id, r.metric, r.ticker, r.date) for r in got})
+    assert collections.Counter(r.request_id for r in got) == {
+        **{i: 180 for i in range(40)}, **{i: 50 for i in range(40, 80)}, 80: 100, 81: 180, 82: 3, None: 3, 83: 153}
+    assert {r.value for r in got if 40 <= (r.request_id or 0) < 80} == {1.0}
+    assert {(r.date.month, round(r.value, 9)) for r in got if r.request_id == 80} == {(2, 1.0), (3, -0.5)}
+    assert max(rows["asked"], rows["requests"]) < 40 * 60  # one row per request and ticker would be 4400
+
+
+def test_date_filters_become_the_range_and_others_stay(spark):
+    days = [D(2024, 1, d) for d in range(1, 10)]
+    prices = spark.createDataFrame([(d, "A", *[float(d.day)] * 4, d.day, 1.0, 1) for d in days], schema.PRICES_DAILY)
+    kept = {(">=", "2024-01-04"): range(4, 10), (">", "2024-01-04"): range(5, 10), ("<=", "2024-01-04"): range(1, 5),
+            (" < ", "2024-01-04"): range(1, 4), (None, "2024-01-04"): range(4, 5), ("!=", "2024-01-04"): [1, 2, 3, 5, 6, 7, 8, 9],
+            (">=", "2024-1-4"): [], (">=", "2024-01"): range(1, 10), ("<", "2024-01-05x"): range(1, 6), (">", "2025-01-01"): []}
+    close = ("close", "<", "6")
+    asked = [(i, "close", ["A"], [("date", *f), *([close] if i >= 20 else [])]) for n in (0, 20) for i, f in enumerate(kept, n)]
+    table = spark.createDataFrame(asked, "request_id long, metric string, assets array<string>, filters array<struct<field:string,op:string,value:string>>")
+    got = collections.defaultdict(list)
+    for r in requests.evaluate(table, Tables(prices)).collect():
+        got[r.request_id].append(r.date.day)
+    for i, wanted in enumerate(kept.values()):
+        assert sorted(got[i]) == list(wanted)
+        assert sorted(got[20 + i]) == [d for d in wanted if d < 6]
+
+
 def test_portfolio_in_a_request_stands_alone(spark):
     bars = spark.createDataFrame([("A", D(2024, 1, 2), 1.0), ("B", D(2024, 1, 2), 2.0)], "ticker string, date date, close double")
     held = spark.createDataFrame([("B", 1.0, 1.0)], "ticker string, shares double, avg_cost double")
