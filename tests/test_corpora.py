@@ -13,6 +13,7 @@ from tidemark.functions import staging
 from tidemark.operators import cleaning, conversations, corpus, documents, ranking, scoring, sentiment
 from tidemark.plans import requests
 from tidemark.plans.metrics import Tables
+from tidemark.registry import load
 from tidemark.registry import market as registered
 from tidemark.sources import payloads, readers, sinks
 
@@ -352,6 +353,34 @@ def test_date_filters_become_the_range_and_others_stay(spark):
         assert sorted(got[20 + i]) == [d for d in wanted if d < 6]
 
 
+def test_printed_values_equal_formatted_ones(spark):
+    halves = [k / 20000 for k in range(-60, 60)]
+    data = [*halves, 0.0, -0.0, -1e-9, 1.00015, 2.675, 1e10 + 0.12345, 123456.78905, 99999999.99995, -0.99995, 1e18, 1e300, float("nan"), float("inf"),
+            float("-inf"), None, 0.07, 12.3456, -7.00004999]
+    df = spark.createDataFrame([(x,) for x in data], "x double")
+    for digits in (2, 4):
+        for r in df.select("x", requests._fixed(F.col("x"), digits).alias("a"), F.format_string(f"%.{digits}f", F.bround("x", digits)).alias("b")).collect():
+            assert r.a == r.b, r
+
+
+def test_answers_read_the_texts_once(spark, tmp_path):
+    when = dt.datetime(1998, 1, 5)
+    tables = {
+        "region": ([(0, "R")], "r_regionkey int, r_name string"), "nation": ([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "supplier": ([(k, f"Supplier {k}", 0, 9000.0) for k in (1, 2)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "orders": ([(k, 1, when) for k in (17, 34, 357)], "o_orderkey long, o_custkey long, o_orderdate timestamp"),
+        "lineitem": ([(1, 1, s, 1, 2.0, 10.0, 0.0, 0.0, "N", when) for s in (1, 2)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp")}
+    for name, (data, kind) in tables.items():
+        spark.createDataFrame(data, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = load()[0]["fmt1_answers"](spark, str(tmp_path))
+    assert "python" not in lines._jdf.queryExecution().toString().lower()
+    assert sorted((r.request_id, r.part, r.line) for r in lines.collect()) == [
+        (17, 0, "The closing price for Supplier 1 is 5.0000."), (34, 0, "The closing price for Supplier 1 is 5.0000."),
+        (357, 0, "The closing price for your portfolio are:"), (357, 1, "- Supplier 1: 5.0000"), (357, 1, "- Supplier 2: 5.0000")]
+
+
 def test_portfolio_in_a_request_stands_alone(spark):
     bars = spark.createDataFrame([("A", D(2024, 1, 2), 1.0), ("B", D(2024, 1, 2), 2.0)], "ticker string, date date, close double")
     held = spark.createDataFrame([("B", 1.0, 1.0)], "ticker string, shares double, avg_cost double")
