@@ -164,6 +164,17 @@ def test_a_pair_leaves_its_tiles_once_whatever_the_years(spark):
         comovement.pair_statistics(rets.union(rets), 1).collect()
 
 
+def test_tiles_are_sent_once_whatever_their_number(spark):
+    """A copy of each ticker's year for every pair of tiles filled the disk, and bars were made again to count tickers."""
+    rets = spark.createDataFrame([(D(2000 + y, 1, d), t, float(((y + 1) * d * k) % 11)) for y in range(2) for d in range(1, 6)
+                                  for k, t in enumerate("ABCDEFGH", 2)], "date date, ticker string, ret double")
+    found = comovement.pair_statistics(series.daily_returns(rets.withColumnRenamed("ret", "close")), 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan and found.count() == 28
+    shuffled = [line for line in plan.splitlines() if "Exchange" in line]
+    assert shuffled and all("tile" in line for line in shuffled)  # one row of a ticker and year, to its tile
+
+
 def test_every_declared_metric_runs(market):
     t = Tables(market.prices_daily, market.dividends, market.splits, market.tickers, market.portfolio, market.trading_calendar)
     for name in declared.DECLARED:
