@@ -175,6 +175,16 @@ def test_tiles_are_sent_once_whatever_their_number(spark):
     assert shuffled and all("tile" in line for line in shuffled)  # one row of a ticker and year, to its tile
 
 
+def test_the_matrix_makes_its_returns_once(spark):
+    """The diagonal made all bars and returns again; a ticker without a name is on it, too."""
+    rets = spark.createDataFrame([(D(2000, 1, d), t, float(d * k % 11)) for d in range(1, 6) for k, t in ((2, "A"), (3, "B"), (4, None))]
+                                 + [(D(2000, 1, 1), "C", None)], "date date, ticker string, ret double")
+    found = comovement.correlation_matrix(rets)
+    assert "ExistingRDD" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(((r.a, r.b) for r in found.collect()), key=str) == sorted(
+        [("A", "A"), ("A", "B"), ("B", "A"), ("B", "B"), (None, None)], key=str)
+
+
 def test_every_declared_metric_runs(market):
     t = Tables(market.prices_daily, market.dividends, market.splits, market.tickers, market.portfolio, market.trading_calendar)
     for name in declared.DECLARED:
