@@ -483,6 +483,32 @@ def test_far_rings_stay_closed(spark, monkeypatch):
     assert (bounds <= limit[:, None]).mean() < 0.3
 
 
+@pytest.mark.parametrize("spread, shelf", [(0.0, 1 << 16), (0.0, 64), (40.0, 64), (40.0, 1 << 16)])
+def test_a_query_meets_neighbouring_rings_once(spark, monkeypatch, spread, shelf):
+    """Vectors without structure open most rings, and a query's vector went to each of these by itself."""
+    monkeypatch.setattr(documents, "RING_ROWS", shelf)
+    rng = np.random.default_rng(5)
+    vectors = np.concatenate([c + rng.normal(0, 1, (50, 12)) for c in rng.normal(0, spread, (6, 12))] + [np.ones((90, 12))])
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "item_id long, vector array<double>")
+    queries = items.filter("item_id % 3 = 0").select(F.col("item_id").alias("query_id"), "vector")
+    sent, meet = [], documents._meet
+
+    def counted(*args):
+        sent.append(next(a for a in args if "query_id" in getattr(a, "columns", ())).count())
+        return meet(*args)
+
+    monkeypatch.setattr(documents, "_meet", counted)
+    got = collections.defaultdict(list)
+    for r in documents.nearest(queries, items, 5, block_rows=16).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.item_id, r.distance))
+    for q in range(0, len(vectors), 3):
+        away = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        first = np.lexsort((np.arange(len(vectors)), away))[:5]
+        assert [i for i, _ in got[q]] == first.tolist() and [d for _, d in got[q]] == pytest.approx(away[first].tolist())
+    shelves = 1 if shelf > len(vectors) else 2 * len(vectors) // shelf + 1
+    assert sum(sent) <= shelves * 130
+
+
 def test_first_of_each_text(spark):
     rows = [("a", 0, 5), ("a", 0, 3), ("b", 1, 1), ("a", 1, 0), (None, 0, 1), (None, None, 9), ("b", 1, 1), ("c", 0, None), ("c", 0, 2)]
     frame = spark.createDataFrame(rows, "text string, part int, row int")

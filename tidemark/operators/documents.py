@@ -27,9 +27,12 @@ BLOCK_ROWS, PIVOTS, RINGS = 4096, 256, 64
 VISITS = 1 << 18
 #: Pairs of a query and an item measured at once, about; products of a query and an item held at once.
 PAIRS, PRODUCTS = 1 << 15, 1 << 22
-#: Rows of a ring that is searched as one where the caller names no number: queries and items are sent once for each such block
-#: of the other side. Items of a block whose nearest one stands for them when the k-th distance is bounded.
+#: Rows of a ring that is searched as one where the caller names no number, and of smaller rings that are sent together: queries
+#: and items are sent once for each such block of the other side. Items of a block whose nearest one stands for them when the
+#: k-th distance is bounded.
 RING_ROWS, BESIDE = 1 << 16, 64
+#: Queries of a block that open its rings together.
+BESIDE_QUERIES = 256
 
 
 def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[tuple[str, bool]]:
@@ -186,7 +189,8 @@ class Rings:
     triangle inequality an item of a ring with distances from ``low`` to ``high`` lies at least as far from a query as the
     query's own distance to the pivot lies outside these; a ring beyond the k-th hit is never opened.
 
-    At most ``PIVOTS`` pivots and ``RINGS`` rings of each, whatever the table; a ring of more rows is cut by hash."""
+    At most ``PIVOTS`` pivots and ``RINGS`` rings of each, whatever the table; a ring of more rows is cut by hash.
+    Neighbouring rings of up to ``RING_ROWS`` rows together are a shelf (``Shelves``), which is what queries and items are sent to."""
 
     def __init__(self, pivots: np.ndarray, edges: dict[int, np.ndarray] | None = None):
         self.pivots, self.edges = pivots, edges or {}
@@ -230,6 +234,70 @@ class Rings:
         return mask
 
 
+class Shelves(Rings):
+    """Rings next to each other as one of up to ``RING_ROWS`` rows: a query meets it once, however many of the rings it opens."""
+
+    def __init__(self, rings: Rings, block_rows: int):
+        self.rings, self.of, self.starts = rings, np.zeros(len(rings.rows), np.int64), []
+        self.order = np.lexsort((rings.keys[:, 1], rings.keys[:, 0])) if len(rings.rows) else self.of
+        rows: list[int] = []
+        for at, ring in enumerate(self.order.tolist()):
+            if not rows or rows[-1] + rings.rows[ring] > RING_ROWS:
+                rows.append(0)
+                self.starts.append(at)
+            rows[-1] += int(rings.rows[ring])
+            self.of[ring] = len(rows) - 1
+        self.cell, self.rows = np.arange(len(rows)), np.array(rows)
+        self.keys = np.stack([self.cell, np.zeros_like(self.cell)], axis=1)
+        self.parts = -(-self.rows // max(block_rows, RING_ROWS))
+
+    def bounds(self, vectors: np.ndarray) -> np.ndarray:
+        return np.minimum.reduceat(self.rings.bounds(vectors)[:, self.order], self.starts, axis=1)
+
+    def placed(self, ringed: DataFrame) -> DataFrame:
+        """Items with the place of their ring (``at``) and the key of their shelf."""
+        kind = ringed.select("item_id", "vector").schema.simpleString()[7:-1] + ", at bigint, cell bigint, ring bigint"
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                at = np.array([self.rings.place[key] for key in zip(pdf["cell"].tolist(), pdf["ring"].tolist())], np.int64)
+                yield pdf[["item_id", "vector"]].assign(at=at, cell=self.of[at], ring=0)
+
+        return ringed.mapInPandas(run, kind)
+
+
+def _opened(rings: Rings, queries: pd.DataFrame, items: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest items of a block to each query, or those of them within the query's ``limit``, out of the rings that may hold
+    one: where no limit is known, the k-th hit in the nearest rings is one."""
+    vectors, item_vectors, item_ids = _matrix(queries["vector"]), _matrix(items["vector"]), items["item_id"].to_numpy()
+    here, at = np.unique(items["at"].to_numpy(), return_inverse=True)
+    held = Rings(rings.pivots)
+    held.cell, held.low, held.high, held.rows = rings.cell[here], rings.low[here], rings.high[here], np.bincount(at)
+    ids, limits = queries["query_id"].to_numpy(), queries["limit"].to_numpy(dtype=np.float64, na_value=np.nan)
+    limits, found = np.where(np.isnan(limits), np.inf, limits), []
+    order = np.argsort(held.distances(vectors).argmin(axis=1), kind="stable")
+    for first in range(0, len(order), BESIDE_QUERIES):
+        mine = order[first:first + BESIDE_QUERIES]
+        part, bounds, limit = vectors[mine], held.bounds(vectors[mine]), limits[mine].copy()
+
+        def hits(rings_open: np.ndarray) -> pd.DataFrame:
+            if rings_open.mean() > 0.5:
+                return _hits(ids[mine], part, item_ids, item_vectors, k)
+            those = np.flatnonzero(rings_open[at])
+            return _hits(ids[mine], part, item_ids[those], item_vectors[those], k)
+
+        if np.isinf(limit).any():
+            near = held.first(bounds, k).any(axis=0)
+            if near.mean() <= 0.5:
+                early = hits(near).groupby("query_id")["distance"].agg(["size", "max"])
+                early = early["max"].where(early["size"] >= k).reindex(ids[mine]).to_numpy()
+                limit = np.fmin(limit, early)
+        wanted = ~(bounds > limit[:, None])
+        if wanted.any():
+            found.append(hits(wanted.any(axis=0)))
+    return pd.concat(found) if found else _hits(np.array([]), np.empty((0, 0)), np.array([]), np.empty((0, 0)), k)
+
+
 def _ringed(items: DataFrame, k_rows: int, n: int) -> tuple[Rings, DataFrame]:
     """The rings of a table of items, and the items with their cell, ring and part."""
     pivots = items.orderBy(F.xxhash64("item_id"), "item_id").limit(min(PIVOTS, -(-n // k_rows))).select("vector").toPandas()
@@ -260,12 +328,11 @@ def _ringed(items: DataFrame, k_rows: int, n: int) -> tuple[Rings, DataFrame]:
     return rings, ringed
 
 
-def _meet(asked: DataFrame, items: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """Hits of queries (query_id, vector, cell, ring, parts) in the rings they ask for. A ring's rows and its queries are
-    both cut into parts of bounded size; queries into ones of one to four
-    times ``BLOCK_ROWS``, since each part gets the ring's rows."""
+def _meet(rings: Rings, asked: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """Hits of queries (query_id, vector, limit, cell, ring, parts) in the shelves they ask for. A shelf's rows and its queries are
+    both cut into parts of bounded size; queries into ones of some four times ``BLOCK_ROWS``, since each part gets the shelf's rows."""
     ring = ["cell", "ring"]
-    sizes = asked.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / max(BLOCK_ROWS, min(block_rows, 4 * BLOCK_ROWS))).cast("int").alias("groups"),
+    sizes = asked.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK_ROWS)).cast("int").alias("groups"),
                                      F.first("parts").alias("parts"))
     left = (asked.join(sizes.select(*ring, "groups"), ring)
             .withColumn("group", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int"))
@@ -277,11 +344,10 @@ def _meet(asked: DataFrame, items: DataFrame, k: int, block_rows: int) -> DataFr
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return _hits(np.array([]), np.empty((0, 0)), np.array([]), np.empty((0, 0)), k)
-        return _hits(left["query_id"].to_numpy(), _matrix(left["vector"]),
-                     right["item_id"].to_numpy(), _matrix(right["vector"]), k)
+        return _opened(rings, left, right, k)
 
-    return left.select(*keys, "query_id", "vector").groupBy(*keys).cogroup(
-        right.select(*keys, "item_id", "vector").groupBy(*keys)).applyInPandas(search, _HIT)
+    return left.select(*keys, "query_id", "vector", "limit").groupBy(*keys).cogroup(
+        right.select(*keys, "item_id", "vector", "at").groupBy(*keys)).applyInPandas(search, _HIT)
 
 
 def _visits(rings: Rings, k: int, later: bool):
@@ -293,35 +359,37 @@ def _visits(rings: Rings, k: int, later: bool):
                 part = pdf.iloc[at:at + step]
                 bounds = rings.bounds(_matrix(part["vector"]))
                 mask = rings.first(bounds, k)
+                limit = part["limit"].to_numpy(dtype=np.float64, na_value=np.nan) if later else np.full(len(part), np.nan)
                 if later:
-                    limit = part["limit"].fillna(np.inf).to_numpy()
-                    mask = ~mask & (bounds <= limit[:, None])
+                    mask = ~mask & ~(bounds > limit[:, None])
                 queries, opened = np.nonzero(mask)
                 ids, vectors = part["query_id"].to_numpy(), part["vector"].to_numpy()
                 for first in range(0, len(queries), BLOCK_ROWS):
                     query, ring = queries[first:first + BLOCK_ROWS], opened[first:first + BLOCK_ROWS]
-                    yield pd.DataFrame({"query_id": ids[query], "vector": vectors[query], "cell": rings.keys[ring, 0],
+                    yield pd.DataFrame({"query_id": ids[query], "vector": vectors[query], "limit": limit[query], "cell": rings.keys[ring, 0],
                                         "ring": rings.keys[ring, 1], "parts": rings.parts[ring]})
 
     return run
 
 
 def nearest_by_pivots(queries: DataFrame, items: DataFrame, k: int, n: int, block_rows: int) -> DataFrame:
-    """Hits (some more than k a query) in two rounds: the rings nearest to each query that hold k items, whose k-th hit is the
-    limit; then every other ring that may hold something within the limit."""
+    """Hits (some more than k a query) in two rounds: the shelves nearest to each query that hold k items, whose k-th hit is the
+    limit; then every other shelf that may hold something within the limit. Of a shelf only rings that may are searched."""
     rings, ringed = _ringed(items, block_rows, n)
-    kind = queries.select("query_id", "vector").schema.simpleString()[7:-1] + ", cell bigint, ring bigint, parts bigint"
-    early = landed(_meet(queries.select("query_id", "vector").mapInPandas(_visits(rings, k, False), kind), ringed, k, block_rows), "hits")
+    shelves = Shelves(rings, block_rows)
+    placed = shelves.placed(ringed)
+    kind = queries.select("query_id", "vector").schema.simpleString()[7:-1] + ", limit double, cell bigint, ring bigint, parts bigint"
+    early = landed(_meet(rings, queries.select("query_id", "vector").mapInPandas(_visits(shelves, k, False), kind), placed, k), "hits")
     limit = early.groupBy("query_id").agg(F.try_element_at(F.sort_array(F.collect_list("distance")), F.lit(k)).alias("limit"))
-    late = queries.select("query_id", "vector").join(limit, "query_id", "left").mapInPandas(_visits(rings, k, True), kind)
-    return early.union(_meet(late, ringed, k, block_rows))
+    late = queries.select("query_id", "vector").join(limit, "query_id", "left").mapInPandas(_visits(shelves, k, True), kind)
+    return early.union(_meet(rings, late, placed, k))
 
 
 def nearest(queries: DataFrame, items: DataFrame, k: int = 8, block_rows: int | None = None) -> DataFrame:
     """The k nearest items of every query by Euclidean distance, exact, ties by item id.
 
     queries(query_id, vector), items(item_id, vector). A table of at most ``block_rows`` items (``RING_ROWS``) meets the
-    queries block by block; of a larger one each query opens only the rings that may hold a hit.
+    queries block by block; of a larger one each query opens only the rings that may hold a hit; small rings are sent together.
     """
     n, block_rows = items.count(), block_rows or RING_ROWS
     hits = _nearest_in_blocks(queries, items, k) if n <= block_rows else nearest_by_pivots(
