@@ -554,3 +554,28 @@ def test_texts_come_to_the_hits_that_stay(spark):
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     carried = [line for line in plan.splitlines() if "min_by(" in line]
     assert carried and not any("text" in line for line in carried)
+
+
+def test_results_stay_in_place_for_their_lines(spark, monkeypatch):
+    """Every result was shuffled and sorted to learn whether its request has others, where Spark would not send that list."""
+    results = spark.createDataFrame(
+        [(1, "close", "A", D(2000, 1, 3), 1.5), (2, "close", "A", D(2000, 1, 3), 1.5), (2, "close", "B", D(2000, 1, 4), None),
+         (3, "close", None, None, 2.0), (None, "close", "A", D(2000, 1, 3), 9.0)],
+        "request_id long, metric string, ticker string, date date, value double")
+    asked = spark.createDataFrame([(1,), (2,), (3,), (4,)], "request_id long")
+    names = spark.createDataFrame([("A", "Ay"), ("B", "")], "ticker string, name string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = requests.answer_lines(asked, results, names)
+        text = lines._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(staging, "HELD_ROWS", 0, raising=False)
+        many = requests.answer_lines(asked, results, names)
+        want = [(1, 0, "A", "The closing price for Ay is 1.5000."), (2, 0, None, "The closing price for your portfolio are:"),
+                (2, 1, "A", "- Ay: 1.5000"), (2, 1, "B", "- B: None"), (3, 0, None, None),
+                (4, 0, None, "There is no data available for this query.")]
+        for found in (lines, many):
+            assert sorted(((r.request_id, r.part, r.ticker, r.line) for r in found.collect()), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1  # one list of requests without results
